@@ -2,13 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections import defaultdict
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nassaj.functions.arrays import ngrams
+from nassaj.functions.arrays import let, ngrams, positions
 from nassaj.functions.tokens import tokenize
 from nassaj.operators.sizes import broadcast_if_small
 
+_HEAD = 3  # words of a phrase that are tested before the whole phrase is built
+_LISTED_HEADS = 20_000
+
+
+def _phrases(gazetteer: DataFrame, phrase_col: str, type_col: str) -> DataFrame:
+    """``phrase, length, head, entity_type``, one row per phrase."""
+    words = tokenize(F.col(phrase_col))
+    parts = gazetteer.select(words.alias("words"), F.col(type_col).alias("entity_type"))
+    return (
+        parts.where(F.size("words") > 0)
+        .select(
+            F.array_join("words", " ").alias("phrase"),
+            F.size("words").alias("length"),
+            F.array_join(F.slice("words", 1, _HEAD), " ").alias("head"),
+            "entity_type",
+        )
+        .groupBy("phrase", "length", "head")
+        .agg(F.min("entity_type").alias("entity_type"))
+    )
+
+
+def _candidates(tokens: Column, lengths: list[int], heads: set[str] | None) -> Column:
+    """``array<struct<first, length, phrase>>`` of the word runs worth looking up."""
+    size = min(lengths[0], _HEAD)
+
+    def runs(starts: Column) -> Column:
+        known = positions(F.size(starts))
+        if heads is not None:
+            known = F.filter(known, lambda i: F.get(starts, i).isin(sorted(heads)))
+        return F.flatten(F.transform(known, lambda i: F.filter(
+            F.array(*[
+                F.struct(i.alias("first"), F.lit(n).alias("length"),
+                         F.array_join(F.slice(tokens, i + 1, F.lit(n)), " ").alias("phrase"))
+                for n in lengths
+            ]),
+            lambda run: run["first"] + run["length"] <= F.size(tokens),
+        )))
+
+    return let(ngrams(tokens, size), runs)
+
 
 def gazetteer_tags(
     df: DataFrame,
@@ -21,32 +63,33 @@ def gazetteer_tags(
     """``id, pos, token, tag`` of every token inside a known phrase.
 
     Where phrases overlap, a token belongs to the longest, then the earliest one;
-    the first token of its phrase is tagged B-, the others I-. Word runs are looked
-    up only in the lengths that the gazetteer has.
+    the first token of its phrase is tagged B-, the others I-. Word runs are built
+    only in the lengths that the gazetteer has and, while its phrases start in few
+    enough ways to list, only where such a start is found. A longer gazetteer gives
+    the same tags by looking up every run.
     """
-    words = tokenize(F.col(phrase_col))
-    # An untyped order between equal phrases would not be reproducible.
-    known = (
-        gazetteer.select(F.array_join(words, " ").alias("phrase"), F.size(words).alias("length"),
-                         F.col(type_col).alias("entity_type"))
-        .where("length > 0")
-        .groupBy("phrase", "length")
-        .agg(F.min("entity_type").alias("entity_type"))
-    )
-    lengths = sorted(r[0] for r in known.select("length").distinct().collect())
+    known = _phrases(gazetteer, phrase_col, type_col)
+    shapes = known.select("length", "head").distinct()
+    listed = shapes.limit(_LISTED_HEADS + 1).collect()
+    complete = len(listed) <= _LISTED_HEADS
+    if not complete:
+        listed = shapes.select("length").distinct().withColumn("head", F.lit("")).collect()
+    lengths: dict[int, set[int]] = defaultdict(set)
+    heads: dict[int, set[str]] = defaultdict(set)
+    for row in listed:
+        words = min(row["length"], _HEAD)
+        lengths[words].add(row["length"])
+        heads[words].add(row["head"])
+
+    none = F.array().cast("array<struct<first:int,length:int,phrase:string>>")
     tokens = df.select(id_col, tokenize(F.col(text_col)).alias("tokens"))
-    if not lengths:
-        return tokens.select(id_col, F.lit(0).alias("pos"), F.lit("").alias("token"),
-                             F.lit("").alias("tag")).where(F.lit(False))
-    runs = F.array(*[
-        F.struct(F.lit(n).alias("length"), ngrams(F.col("tokens"), n).alias("grams"))
-        for n in lengths
-    ])
-    candidates = (
-        tokens.select(id_col, F.inline(runs))
-        .select(id_col, "length", F.posexplode("grams").alias("first", "phrase"))
+    runs = [
+        _candidates(F.col("tokens"), sorted(lengths[k]), heads[k] if complete else None)
+        for k in sorted(lengths)
+    ]
+    found = tokens.select(id_col, F.inline(F.concat(none, *runs))).join(
+        broadcast_if_small(known.drop("head")), ["phrase", "length"]
     )
-    found = candidates.join(broadcast_if_small(known), ["phrase", "length"])
     covered = found.select(
         id_col, "length", "first", "entity_type",
         F.posexplode(F.split("phrase", " ")).alias("offset", "token"),

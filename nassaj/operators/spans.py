@@ -115,20 +115,22 @@ def token_accuracy(pairs: DataFrame) -> DataFrame:
 def _span_tallies(pairs: DataFrame) -> DataFrame:
     """``label, support, predicted, correct`` per entity type."""
     # Text keys let array_intersect hash; it compares structs pairwise.
-    keys = lambda c: F.array_distinct(F.transform(
-        entity_spans(F.col(c)),
-        lambda s: F.concat_ws(":", s["first"], s["last"], s["entity_type"]),
-    ))
+    def keys(tags: str) -> Column:
+        return F.array_distinct(F.transform(
+            entity_spans(F.col(tags)),
+            lambda s: F.concat_ws(":", s["first"], s["last"], s["entity_type"]),
+        ))
+
     per_row = _same_length(pairs).select(keys("truth").alias("t"), keys("prediction").alias("p"))
     per_row = per_row.select("t", "p", F.array_intersect("t", "p").alias("both"))
-    sides = [
-        F.transform(c, lambda k, c=c: F.struct(
+
+    def tally(keyed: str, counted: str) -> Column:
+        return F.transform(keyed, lambda k: F.struct(
             F.get(F.split(k, ":", 3), F.lit(2)).alias("label"),
-            *[F.lit(int(side == c)).alias(name)
-              for side, name in (("t", "support"), ("p", "predicted"), ("both", "correct"))],
+            *[F.lit(int(c == counted)).alias(c) for c in ("support", "predicted", "correct")],
         ))
-        for c in ("t", "p", "both")
-    ]
+
+    sides = [tally("t", "support"), tally("p", "predicted"), tally("both", "correct")]
     return per_row.select(F.inline(F.concat(*sides))).groupBy("label").agg(
         *[F.sum(c).alias(c) for c in ("support", "predicted", "correct")]
     )

@@ -203,7 +203,7 @@ c AS (
 WORD_IDS = """pieces AS (
   SELECT id, pos, unnest(range(0, 1 + length(token) // 5)) AS piece, tag FROM truth),
 ids AS (
-  SELECT id, pos AS word, piece, tag, row_number() OVER (PARTITION BY id ORDER BY pos, piece) AS at FROM pieces
+  SELECT id, pos AS word, piece, tag, row_number() OVER (PARTITION BY id ORDER BY pos, piece) AS ix FROM pieces
   UNION ALL SELECT DISTINCT id, NULL, NULL, NULL, 0 FROM pieces
   UNION ALL SELECT id, NULL, NULL, NULL, count(*) + 1 FROM pieces GROUP BY id)"""
 TAG_IDS = "dict AS (SELECT tag, row_number() OVER (ORDER BY tag) - 1 AS tag_id FROM (SELECT DISTINCT tag FROM truth))"
@@ -215,22 +215,22 @@ pieces AS (
          1.0::DOUBLE / (length(token) + j + 1) AS score,
          (CASE WHEN j > 0 THEN '##' ELSE '' END) || substring(token, j * 5 + 1, 5) AS word,
          pos * 1000 + j * 5 AS s, pos * 1000 + j * 5 + length(substring(token, j * 5 + 1, 5)) AS e,
-         row_number() OVER (PARTITION BY id ORDER BY pos, j) AS at FROM cut)"""
+         row_number() OVER (PARTITION BY id ORDER BY pos, j) AS ix FROM cut)"""
 WHOLE_WORDS = """whole AS (
   SELECT id, arg_min(tag, j) AS tag, arg_min(score, j) AS score,
-         replace(string_agg(word, ' ' ORDER BY j), ' ##', '') AS word, min(s) AS s, arg_max(e, j) AS e, pos AS at
+         replace(string_agg(word, ' ' ORDER BY j), ' ##', '') AS word, min(s) AS s, arg_max(e, j) AS e, pos AS ix
   FROM pieces GROUP BY id, pos)"""
 
 
 def grouped_entities(source: str) -> str:
     return f"""typed AS (SELECT *, regexp_replace(tag, '^[BI]-', '') AS kind FROM {source}),
 flagged AS (
-  SELECT *, (starts_with(tag, 'B-') OR kind IS DISTINCT FROM lag(kind) OVER (PARTITION BY id ORDER BY at))::INT AS f
+  SELECT *, (starts_with(tag, 'B-') OR kind IS DISTINCT FROM lag(kind) OVER (PARTITION BY id ORDER BY ix))::INT AS f
   FROM typed),
-islands AS (SELECT *, sum(f) OVER (PARTITION BY id ORDER BY at) AS island FROM flagged),
+islands AS (SELECT *, sum(f) OVER (PARTITION BY id ORDER BY ix) AS island FROM flagged),
 ents AS (
-  SELECT id, island, kind, avg(score) AS score, string_agg(word, ' ' ORDER BY at) AS word,
-         min(s) AS s, arg_max(e, at) AS e FROM islands GROUP BY ALL)
+  SELECT id, island, kind, avg(score) AS score, string_agg(word, ' ' ORDER BY ix) AS word,
+         min(s) AS s, arg_max(e, ix) AS e FROM islands GROUP BY ALL)
 SELECT id, row_number() OVER (PARTITION BY id ORDER BY island) - 1 AS k, kind AS entity_group,
        round(score, 6) AS score, replace(word, ' ##', '') AS word, s AS start_at, e AS end_at
 FROM ents WHERE kind <> 'O'"""
@@ -242,6 +242,9 @@ TURNS = """turns AS (
   FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1)"""
 
 
+UNICODE = r"[\p{L}\p{N}]+"
+
+
 def rouge_n(pattern: str) -> str:
     parts = []
     for n in (1, 2):
@@ -259,29 +262,32 @@ def rouge_n(pattern: str) -> str:
 x{n} AS (SELECT id, o / greatest(nh, 1) AS p, o / greatest(nr, 1) AS r,
          CASE WHEN o > 0 THEN 2 * (o / greatest(nh, 1)) * (o / greatest(nr, 1))
               / (o / greatest(nh, 1) + o / greatest(nr, 1)) ELSE 0 END AS f FROM m{n})""")
-    return f"WITH {TURNS}, " + ", ".join(parts)
+    return ", ".join(parts)
 
 
-ROUGE_COLUMNS = [(n, m, c) for n in (1, 2) for m, c in (("precision", "p"), ("recall", "r"), ("fmeasure", "f"))]
+def rouge_columns(measures: str) -> list[tuple[str, str, str]]:
+    return [
+        (n, m, c) for n in measures for m, c in (("precision", "p"), ("recall", "r"), ("fmeasure", "f"))
+    ]
 
 
 def rouge_rows(pattern: str) -> str:
-    cols = ", ".join(f"round(x{n}.{c}, 6) AS rouge{n}_{m}" for n, m, c in ROUGE_COLUMNS)
-    return f"{rouge_n(pattern)} SELECT id, {cols} FROM x1 JOIN x2 USING (id)"
+    cols = ", ".join(f"round(x{n}.{c}, 6) AS rouge{n}_{m}" for n, m, c in rouge_columns("12"))
+    return f"WITH {TURNS}, {rouge_n(pattern)} SELECT id, {cols} FROM x1 JOIN x2 USING (id)"
 
 
-def rouge_means() -> str:
-    means = ", ".join(f"round(avg(x{n}.{c}), 4) AS rouge{n}_{m}" for n, m, c in ROUGE_COLUMNS)
-    stds = ", ".join(f"round(stddev_pop(x{n}.{c}), 4) AS rouge{n}_{m}_std" for n, m, c in ROUGE_COLUMNS)
-    return f"{rouge_n(UNICODE)} SELECT count(*) AS num_samples, {means}, {stds} FROM x1 JOIN x2 USING (id)"
+def rouge_means(measures: str) -> str:
+    cols = rouge_columns(measures)
+    means = ", ".join(f'round(avg(x{n}.{c}), 4) AS "rouge{n}_{m}"' for n, m, c in cols)
+    stds = ", ".join(f'round(stddev_pop(x{n}.{c}), 4) AS "rouge{n}_{m}_std"' for n, m, c in cols)
+    tables = f"{TURNS}, {rouge_n(UNICODE)}" + (f", {LCS}" if "L" in measures else "")
+    joins = " ".join(f"JOIN x{n} USING (id)" for n in measures[1:])
+    return f"WITH RECURSIVE {tables} SELECT count(*) AS num_samples, {means}, {stds} FROM x1 {joins}"
 
 
-UNICODE = r"[\p{L}\p{N}]+"
-
 # The longest common subsequence row by row: a row is the running maximum of
 # "above" and, where the words agree, "above left plus one".
-ROUGE_L = f"""WITH RECURSIVE {TURNS},
-r AS (SELECT id, unnest(w) AS word, generate_subscripts(w, 1) AS i
+LCS = f"""r AS (SELECT id, unnest(w) AS word, generate_subscripts(w, 1) AS i
       FROM (SELECT id, regexp_extract_all(lower(ref), '{UNICODE}') AS w FROM turns)),
 h AS (SELECT id, unnest(w) AS word, generate_subscripts(w, 1) AS j
       FROM (SELECT id, regexp_extract_all(lower(hyp), '{UNICODE}') AS w FROM turns)),
@@ -294,12 +300,15 @@ step AS (
                 THEN 1 + coalesce(lag(s.v) OVER (PARTITION BY s.id ORDER BY s.j), 0) ELSE s.v END AS c
     FROM step s JOIN r ON r.id = s.id AND r.i = s.i + 1)),
 lcs AS (SELECT id, max(v) AS o FROM step GROUP BY id),
-n AS (
+mL AS (
   SELECT t.id, (SELECT count(*) FROM r WHERE r.id = t.id) AS nr, (SELECT count(*) FROM h WHERE h.id = t.id) AS nh,
          coalesce(l.o, 0) AS o FROM turns t LEFT JOIN lcs l USING (id)),
-x AS (SELECT id, o, o / greatest(nh, 1) AS p, o / greatest(nr, 1) AS r FROM n)
+xL AS (
+  SELECT id, p, r, CASE WHEN o > 0 THEN 2 * p * r / (p + r) ELSE 0 END AS f
+  FROM (SELECT id, o, o / greatest(nh, 1) AS p, o / greatest(nr, 1) AS r FROM mL))"""
+ROUGE_L = f"""WITH RECURSIVE {TURNS}, {LCS}
 SELECT id, round(p, 6) AS "rougeL_precision", round(r, 6) AS "rougeL_recall",
-       round(CASE WHEN o > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 6) AS "rougeL_fmeasure" FROM x"""
+       round(f, 6) AS "rougeL_fmeasure" FROM xL"""
 
 
 def padded(list_sql: str, length: int, pad: str) -> str:
@@ -351,19 +360,19 @@ t AS (SELECT doc_id, w, unnest(w) AS token, generate_subscripts(w, 1) AS i FROM
 hit AS (
   SELECT doc_id, i, n, kind FROM t JOIN phrases ON string_split(phrase, ' ')[1] = token
   WHERE array_to_string(w[i : i + n - 1], ' ') = phrase),
-cover AS (SELECT doc_id, i, n, kind, unnest(range(i, i + n)) AS at FROM hit),
+cover AS (SELECT doc_id, i, n, kind, unnest(range(i, i + n)) AS ix FROM hit),
 best AS (
-  SELECT *, row_number() OVER (PARTITION BY doc_id, at ORDER BY n DESC, i, kind DESC) AS rk FROM cover)
-SELECT b.doc_id, b.at - 1 AS pos, t.token,
-       (CASE WHEN b.at = b.i THEN 'B-' ELSE 'I-' END) || b.kind AS tag
-FROM best b JOIN t ON t.doc_id = b.doc_id AND t.i = b.at WHERE rk = 1"""
+  SELECT *, row_number() OVER (PARTITION BY doc_id, ix ORDER BY n DESC, i, kind DESC) AS rk FROM cover)
+SELECT b.doc_id, b.ix - 1 AS pos, t.token,
+       (CASE WHEN b.ix = b.i THEN 'B-' ELSE 'I-' END) || b.kind AS tag
+FROM best b JOIN t ON t.doc_id = b.doc_id AND t.i = b.ix WHERE rk = 1"""
 
 LABELS_OF_PIECES = f"""WITH {TOKENS}, {WORD_IDS}, {TAG_IDS}"""
 
 
 def piece_labels(label: str, after: str = "") -> str:
     return f"""{LABELS_OF_PIECES},
-l AS (SELECT id, list({label} ORDER BY at) AS l FROM ids LEFT JOIN dict USING (tag) GROUP BY id)
+l AS (SELECT id, list({label} ORDER BY ix) AS l FROM ids LEFT JOIN dict USING (tag) GROUP BY id)
 SELECT id, array_to_string({after or 'l'}, ' ') AS labels FROM l"""
 
 
@@ -439,11 +448,11 @@ FROM documents""",
     "align_labels_first_piece": piece_labels(
         "CASE WHEN word IS NULL OR piece > 0 THEN -100 ELSE tag_id END"),
     "pad_truncate": f"""{LABELS_OF_PIECES},
-l AS (SELECT id, list(coalesce(word, -1) ORDER BY at) AS l FROM ids GROUP BY id)
+l AS (SELECT id, list(coalesce(word, -1) ORDER BY ix) AS l FROM ids GROUP BY id)
 SELECT id, 128::BIGINT AS n, array_to_string({padded('l', 128, '0')}, ' ') AS ids FROM l""",
     "prepared_tags": piece_labels(ALL_PIECES, padded("l", 128, "-100")),
     "entity_groups_none": f"""WITH {TOKENS}, {PREDICTIONS}
-SELECT id, row_number() OVER (PARTITION BY id ORDER BY at) - 1 AS k, tag AS entity_group,
+SELECT id, row_number() OVER (PARTITION BY id ORDER BY ix) - 1 AS k, tag AS entity_group,
        round(score, 6) AS score, word, s AS start_at, e AS end_at FROM pieces WHERE tag <> 'O'""",
     "entity_groups_simple": f"WITH {TOKENS}, {PREDICTIONS}, {grouped_entities('pieces')}",
     "entity_groups_first": f"WITH {TOKENS}, {PREDICTIONS}, {WHOLE_WORDS}, {grouped_entities('whole')}",
@@ -491,6 +500,7 @@ SELECT round(p, 6) AS precision, round(r, 6) AS recall, round(2 * p * r / (p + r
     "rouge_n": rouge_rows(UNICODE),
     "rouge_n_ascii": rouge_rows("[a-z0-9]+"),
     "rouge_l": ROUGE_L,
-    "rouge_summary_n": rouge_means(),
+    "rouge_summary_n": rouge_means("12"),
+    "rouge_summary": rouge_means("12L"),
     "paired_eval": """SELECT doc_id AS id, quality::VARCHAR AS truth, toxic::VARCHAR AS prediction FROM labels""",
 }
