@@ -22,6 +22,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows over all cores when the input has fewer pieces than that.
+
+    Text work is bound by the processor, and a file of one row group is one task.
+    Inputs with pieces for every core, as all large ones, are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Store ``df`` for repeated passes, cutting its lineage where possible.
 

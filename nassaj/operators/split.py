@@ -116,8 +116,9 @@ def validation_flag(
         .select(F.col("_by").alias("_cut_by"), F.col("_key").alias("_cut_key"),
                 F.col("_id").alias("_cut_id"))
     )
-    if classes <= BROADCAST_ROWS:  # one row per label
-        last = F.broadcast(last)
+    if classes <= BROADCAST_ROWS:
+        # One row per label: found once, then as good as a literal for every later pass.
+        last = F.broadcast(df.sparkSession.createDataFrame(last.collect(), last.schema))
     own = F.col(by).cast("string") if by else F.lit("")
     key = order_key(id_col, seed)
     return (

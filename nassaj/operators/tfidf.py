@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -177,4 +177,5 @@ class TfidfModel:
     def features(self, df: DataFrame, text_col: str, output_col: str = "features") -> DataFrame:
         """Add the weights as a sparse ML vector."""
         vector = _sparse(F.lit(self.size), F.col("indices"), F.col("weights"))
-        return self.weights(df, text_col).withColumn(output_col, vector).drop("indices", "weights")
+        raw = self.raw_weights(df, text_col).withColumn("_raw", vector).drop("indices", "weights")
+        return Normalizer(p=2.0, inputCol="_raw", outputCol=output_col).transform(raw).drop("_raw")

@@ -76,7 +76,7 @@ def search(
         {"C": c, "one_vs_rest": form} for c in params.pop("grid", fixed.REGULARIZATION_GRID)
         for form in forms
     ]
-    stage = Pipeline()
+    stage = Pipeline(stages=[])
     candidates = [[estimator(model_type, classes, fold_rows, **g, **params)] for g in grid]
     folded = materialize(stratified_folds(train, "id", "label", fixed.GRID_FOLDS, seed))
     found = CrossValidator(

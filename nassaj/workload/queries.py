@@ -95,7 +95,7 @@ def _text_stats(spark, sf):
 
 def _stat_columns(spark, sf):
     c = F.col("text")
-    return views.table(spark, sf, "documents").select(
+    return views.documents(spark, sf).select(
         "doc_id", big(stats.word_count(c)).alias("words"), big(stats.char_count(c)).alias("chars"),
         F.round(stats.avg_word_length(c), 6).alias("avg_length"),
         F.round(stats.arabic_char_ratio(c), 6).alias("arabic_ratio"),
@@ -123,41 +123,41 @@ def _stratified_split(spark, sf):
 
 
 def _plain_split(spark, sf):
-    df = views.table(spark, sf, "documents").select("doc_id")
+    df = views.table(spark, sf, "documents", "doc_id")
     return split.validation_flag(df, "doc_id", None, fixed.SEQUENCE_TEST_SIZE)
 
 
 def _folds(spark, sf):
-    df = views.table(spark, sf, "documents").select("doc_id", "lang")
+    df = views.table(spark, sf, "documents", "doc_id", "lang")
     ranked = split.stratified_folds(df, "doc_id", "lang", fixed.GRID_FOLDS)
     return ranked.select("doc_id", "lang", big("fold").alias("fold"))
 
 
 def _ngram_terms(spark, sf):
     counted = value_counts(tfidf.document_terms(F.col("text")))
-    return views.table(spark, sf, "documents").select("doc_id", F.inline(counted)).select(
+    return views.documents(spark, sf).select("doc_id", F.inline(counted)).select(
         "doc_id", F.col("value").alias("term"), big("n").alias("n")
     )
 
 
 def _vocabulary(spark, sf):
-    return tfidf.vocabulary(views.table(spark, sf, "documents"), "text")
+    return tfidf.vocabulary(views.documents(spark, sf), "text")
 
 
 def _tfidf_fit(spark, sf):
-    return tfidf.fit_table(views.table(spark, sf, "documents"), "text").select(
+    return tfidf.fit_table(views.documents(spark, sf), "text").select(
         "term", "tf", "df", F.round("idf", 6).alias("idf")
     )
 
 
 def _tfidf_transform(spark, sf):
-    docs = views.table(spark, sf, "documents")
+    docs = views.documents(spark, sf)
     long = tfidf.TfidfModel.fit(docs, "text").weights_long(docs, "doc_id", "text")
     return long.select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
 def _tfidf_join(spark, sf):
-    docs = views.table(spark, sf, "documents")
+    docs = views.documents(spark, sf)
     long = tfidf.weights_by_join(docs, tfidf.fit_table(docs, "text"), "doc_id", "text")
     return long.select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
@@ -218,7 +218,7 @@ def _entities(strategy: str) -> Query:
 
 
 def _gazetteer(spark, sf):
-    docs = views.table(spark, sf, "documents").select(
+    docs = views.documents(spark, sf).select(
         "doc_id", F.regexp_replace("text", r"[.!?\n]+", " ").alias("text")
     )
     tags = gazetteer.gazetteer_tags(docs, views.benchmark_phrases(spark, sf), "doc_id")
@@ -247,7 +247,7 @@ def _seq2seq_ids(mask: bool) -> Query:
 
 
 def _extractive(spark, sf):
-    docs = views.table(spark, sf, "documents")
+    docs = views.documents(spark, sf)
     model = tfidf.TfidfModel.fit(docs, "text")
     return extract.extractive_summary(docs, model, "doc_id", "text")
 
@@ -267,7 +267,7 @@ def word_counter():
 
 def _batch_hook(spark, sf):
     run = hooks.batch_model(word_counter, "string")
-    return views.table(spark, sf, "documents").select("doc_id", run(F.col("text")).alias("result"))
+    return views.documents(spark, sf).select("doc_id", run(F.col("text")).alias("result"))
 
 
 def capital_tagger():
@@ -290,7 +290,7 @@ def capital_tagger():
 
 def _tagger_hook(spark, sf):
     run = hooks.tagger(capital_tagger)
-    found = views.table(spark, sf, "documents").select("doc_id", F.explode(run(F.col("text"))).alias("e"))
+    found = views.documents(spark, sf).select("doc_id", F.explode(run(F.col("text"))).alias("e"))
     return found.select("doc_id", "e.entity_group", "e.word", big("e.start").alias("start_at"),
                         big("e.end").alias("end_at"))
 
@@ -369,7 +369,7 @@ QUERIES: dict[str, Query] = {
     "normalize_alef": _texts(cl.normalize_alef),
     "normalize_teh_marbuta": _texts(cl.normalize_teh_marbuta),
     "remove_punctuation": _texts(cl.remove_punctuation),
-    "remove_english": lambda spark, sf: views.table(spark, sf, "documents").select(
+    "remove_english": lambda spark, sf: views.documents(spark, sf).select(
         "doc_id", cl.remove_english(F.col("text")).alias("cleaned")),
     "remove_numbers": _texts(cl.remove_numbers),
     "collapse_whitespace": _texts(cl.remove_extra_whitespace),

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nassaj.functions.arrays import let
+from nassaj.operators.sizes import spread
 
 # --- fixed values: the respelling of Latin letters, digits and marks ------------
 LATIN = "abcdefghijklmnopqrstuvwxyz0123456789,?;"
@@ -17,8 +18,13 @@ ARABIC = "أبةدَفإهيوكلمنـتقرسطعآشصاذ" + "".join(map(ch
 PIECE = 5  # letters per subword piece
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns or "*")
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, lang, text``, on all cores."""
+    return spread(table(spark, sf_dir, "documents", "doc_id", "lang", "text"))
 
 
 def respell(c: Column) -> Column:
@@ -31,12 +37,12 @@ def respelled(word: str) -> str:
 
 def docs_ar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, lang, text`` in Arabic letters."""
-    return table(spark, sf_dir, "documents").select("doc_id", "lang", respell(F.col("text")).alias("text"))
+    return documents(spark, sf_dir).select("doc_id", "lang", respell(F.col("text")).alias("text"))
 
 
 def labelled(spark: SparkSession, sf_dir: str, target: str = "quality") -> DataFrame:
     """``id, text, label`` of the labelled documents."""
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    docs, labels = documents(spark, sf_dir), table(spark, sf_dir, "labels", "doc_id", target)
     return docs.join(labels, "doc_id").select(
         F.col("doc_id").alias("id"), "text", F.col(target).cast("string").alias("label")
     )
@@ -83,7 +89,7 @@ def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
             .otherwise(t)
         )
 
-    docs = table(spark, sf_dir, "documents").select(
+    docs = documents(spark, sf_dir).select(
         F.col("doc_id").alias("id"), F.split("text", " ").alias("tokens")
     )
     docs = docs.withColumn("truth", let(F.transform("tokens", kind), tags))
