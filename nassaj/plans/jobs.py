@@ -43,15 +43,18 @@ def preprocess(
     apply_stemming: bool = False,
     text_column: str = "text",
     stopwords_path: str | None = None,
+    normalize_stopwords: bool = False,
     output_type: str = "parquet",
 ) -> None:
     """Clean and tokenize a corpus; every input column is kept.
 
     A text file gives one document per line. One narrow stage, whatever the size.
+    ``normalize_stopwords`` rewrites the letters of the stopwords as cleaning does.
     """
     custom: Iterable[str] = read_stopwords(spark, stopwords_path) if stopwords_path else ()
     corpus = read_any(spark, input_path)
-    processor = TextProcessor(config, stopword_list(custom))
+    config = CleanConfig.of(config)
+    processor = TextProcessor(config, stopword_list(custom, normalize_stopwords, config))
     result = processor.run_on_dataframe(corpus, text_column, remove_stops, apply_stemming)
     if output_type == "csv":
         save_csv(result, output_path)
