@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -17,6 +17,20 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def unnest(
+    df: DataFrame, array: Column, *keep: str | Column, name: str = "item", pos: str | None = None
+) -> DataFrame:
+    """One row per element, with the columns ``keep``.
+
+    A plain ``explode`` makes the optimizer add a filter on the size of the array,
+    which computes the whole array expression a second time and, pushed to the scan,
+    before any repartitioning. The outer form with the empty rows dropped does not.
+    """
+    if pos:
+        return df.select(*keep, F.posexplode_outer(array).alias(pos, name)).where(F.col(pos).isNotNull())
+    return df.select(*keep, F.explode_outer(array).alias(name)).where(F.col(name).isNotNull())
+
+
 def positions(size: Column) -> Column:
     """``[0, 1, .., size - 1]``, empty for size 0."""
     return F.slice(F.sequence(F.lit(0), F.greatest(size, F.lit(1))), F.lit(1), size)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nassaj.functions import fixed
-from nassaj.functions.arrays import let
+from nassaj.functions.arrays import let, unnest
 from nassaj.functions.tokens import tokenize
 
 
@@ -92,7 +92,7 @@ def corpus_summary(df: DataFrame, text_column: str, by: str) -> DataFrame:
         F.avg("arabic").alias("avg_arabic_char_ratio"),
     )
     vocabulary = (
-        per_text.select(by, F.explode(F.array_distinct("words")).alias("word"))
+        unnest(per_text, F.array_distinct("words"), by, name="word")
         .distinct()
         .groupBy(by)
         .agg(F.count(F.lit(1)).alias("unique_words"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from nassaj.functions import fixed
+from nassaj.functions.arrays import unnest
 from nassaj.functions.tokens import tokenize
 from nassaj.operators.tfidf import TfidfModel
 
@@ -16,9 +17,7 @@ def sentences(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id, pos, sentence`` with words separated by single spaces; empty ones left out."""
     pieces = F.split(F.coalesce(F.col(text_col), F.lit("")), SENTENCE_END)
     spaced = F.transform(pieces, lambda s: F.array_join(tokenize(s), " "))
-    return df.select(
-        id_col, F.posexplode(F.filter(spaced, lambda s: s != "")).alias("pos", "sentence")
-    )
+    return unnest(df, F.filter(spaced, lambda s: s != ""), id_col, name="sentence", pos="pos")
 
 
 def extractive_summary(

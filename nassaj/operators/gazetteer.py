@@ -7,7 +7,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nassaj.functions.arrays import let, ngrams, positions
+from nassaj.functions.arrays import let, ngrams, positions, unnest
 from nassaj.functions.tokens import tokenize
 from nassaj.operators.sizes import broadcast_if_small
 
@@ -87,12 +87,11 @@ def gazetteer_tags(
         _candidates(F.col("tokens"), sorted(lengths[k]), heads[k] if complete else None)
         for k in sorted(lengths)
     ]
-    found = tokens.select(id_col, F.inline(F.concat(none, *runs))).join(
+    found = unnest(tokens, F.concat(none, *runs), id_col, name="run").select(id_col, "run.*").join(
         broadcast_if_small(known.drop("head")), ["phrase", "length"]
     )
-    covered = found.select(
-        id_col, "length", "first", "entity_type",
-        F.posexplode(F.split("phrase", " ")).alias("offset", "token"),
+    covered = unnest(
+        found, F.split("phrase", " "), id_col, "length", "first", "entity_type", name="token", pos="offset"
     )
     best = F.max(F.struct(
         F.col("length"), (-F.col("first")).alias("order"), F.col("entity_type"), F.col("token")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nassaj.functions.arrays import let
+from nassaj.functions.arrays import let, unnest
 from nassaj.operators.metrics import label_scores, report_rows
 
 _NO_TYPE = "_"
@@ -91,7 +91,7 @@ def entity_spans(tags: Column) -> Column:
 
 def span_rows(df: DataFrame, id_col: str = "id", tags_col: str = "tags") -> DataFrame:
     """``id, entity_type, first, last``, one row per span."""
-    return df.select(id_col, F.inline(entity_spans(F.col(tags_col))))
+    return unnest(df, entity_spans(F.col(tags_col)), id_col, name="span").select(id_col, "span.*")
 
 
 def _same_length(pairs: DataFrame) -> DataFrame:
@@ -131,7 +131,7 @@ def _span_tallies(pairs: DataFrame) -> DataFrame:
         ))
 
     sides = [tally("t", "support"), tally("p", "predicted"), tally("both", "correct")]
-    return per_row.select(F.inline(F.concat(*sides))).groupBy("label").agg(
+    return unnest(per_row, F.concat(*sides), name="s").select("s.*").groupBy("label").agg(
         *[F.sum(c).alias(c) for c in ("support", "predicted", "correct")]
     )
 

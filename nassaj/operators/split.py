@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nassaj.functions import fixed
+from nassaj.functions.arrays import unnest
 from nassaj.operators.sizes import BROADCAST_ROWS
 
 _BUCKET_DIGITS = 4  # 65,536 buckets per label
@@ -28,7 +29,7 @@ def label_dictionary(df: DataFrame, label_col: str = "label") -> DataFrame:
 
 def tag_dictionary(df: DataFrame, tags_col: str = "tags") -> DataFrame:
     """:func:`label_dictionary` of the elements of an array column."""
-    tags = df.select(F.explode(F.array_distinct(tags_col)).alias("tag"))
+    tags = unnest(df, F.array_distinct(tags_col), name="tag")
     return label_dictionary(tags, "tag").withColumnsRenamed({"label": "tag", "label_id": "tag_id"})
 
 

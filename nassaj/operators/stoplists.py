@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nassaj.functions.arrays import unnest
 from nassaj.operators.sizes import broadcast_if_small
 
 
@@ -17,7 +18,7 @@ def remove_listed_tokens(
     A null marker keeps texts that lose every token.
     """
     marked = F.array_append(F.filter(tokens_col, lambda t: F.length(t) > 1), F.lit(None).cast("string"))
-    exploded = df.select(id_col, F.posexplode(marked).alias("_pos", "_token"))
+    exploded = unnest(df, marked, id_col, name="_token", pos="_pos")
     listed = broadcast_if_small(stopwords.select(F.col(word_col).alias("_token")).distinct())
     kept = exploded.join(listed, "_token", "left_anti")
     ordered = F.array_sort(F.collect_list(F.struct("_pos", "_token")))["_token"]

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nassaj.functions import fixed
-from nassaj.functions.arrays import let, ngrams, value_counts
+from nassaj.functions.arrays import let, ngrams, unnest, value_counts
 
 # A model's vocabulary is held by the driver and every executor.
 MODEL_FEATURES = 1_000_000
@@ -31,9 +31,7 @@ def term_statistics(df: DataFrame, text_col: str, ngram_range=fixed.NGRAM_RANGE)
     Terms are counted inside each document first; the only shuffle carries
     partial sums by term.
     """
-    counted = df.select(
-        F.explode(value_counts(document_terms(F.col(text_col), ngram_range))).alias("t")
-    )
+    counted = unnest(df, value_counts(document_terms(F.col(text_col), ngram_range)), name="t")
     return counted.groupBy(F.col("t.value").alias("term")).agg(
         F.sum("t.n").alias("tf"), F.count(F.lit(1)).alias("df")
     )
@@ -79,9 +77,8 @@ def weights_by_join(
     a term found in most documents makes a skewed partition, which adaptive
     execution splits because the vocabulary side is unique.
     """
-    counted = df.select(
-        F.col(id_col), F.explode(value_counts(document_terms(F.col(text_col), ngram_range))).alias("t")
-    ).select(id_col, F.col("t.value").alias("term"), F.col("t.n").alias("n"))
+    terms = value_counts(document_terms(F.col(text_col), ngram_range))
+    counted = unnest(df, terms, id_col, name="t").select(id_col, F.col("t.value").alias("term"), F.col("t.n").alias("n"))
     raw = counted.join(table.select("term", "idf"), "term").select(
         id_col, "term", ((F.log("n") + 1.0) * F.col("idf")).alias("w")
     )
@@ -165,9 +162,8 @@ class TfidfModel:
 
     def weights_long(self, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         """``id, term, weight``, one row per document and known term."""
-        entries = self.weights(df.select(id_col, text_col), text_col).select(
-            id_col, F.inline(F.arrays_zip("indices", "weights"))
-        )
+        weighted = self.weights(df.select(id_col, text_col), text_col)
+        entries = unnest(weighted, F.arrays_zip("indices", "weights"), id_col, name="e").select(id_col, "e.*")
         # Bounded by MODEL_FEATURES.
         table = F.broadcast(self.term_table(df.sparkSession).select("idx", "term"))
         return entries.join(table, F.col("indices") == F.col("idx")).select(

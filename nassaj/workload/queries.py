@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from nassaj.functions import clean as cl
 from nassaj.functions import fixed, stats, tokens
-from nassaj.functions.arrays import value_counts
+from nassaj.functions.arrays import unnest, value_counts
 from nassaj.operators import entities, extract, gazetteer, hooks, metrics, pairing, roc, rouge, sequences, spans, split, tfidf
 from nassaj.operators.stoplists import remove_listed_tokens
 from nassaj.plans import classify
@@ -79,9 +79,8 @@ def _process_columns(spark, sf):
 def top_stems(spark, sf, top: int = 20):
     """The most frequent stems of every language."""
     df = tokens.TextProcessor().run_on_dataframe(views.docs_ar(spark, sf), "text", True, True)
-    counts = df.select("lang", F.explode("stemmed_tokens").alias("stem")).groupBy("lang", "stem").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    stems = unnest(df, F.col("stemmed_tokens"), "lang", name="stem")
+    counts = stems.groupBy("lang", "stem").agg(F.count(F.lit(1)).alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "stem"))
     return counts.withColumn("rank", big(rank)).where(F.col("rank") <= top)
 
@@ -135,8 +134,8 @@ def _folds(spark, sf):
 
 def _ngram_terms(spark, sf):
     counted = value_counts(tfidf.document_terms(F.col("text")))
-    return views.documents(spark, sf).select("doc_id", F.inline(counted)).select(
-        "doc_id", F.col("value").alias("term"), big("n").alias("n")
+    return unnest(views.documents(spark, sf), counted, "doc_id", name="t").select(
+        "doc_id", F.col("t.value").alias("term"), big("t.n").alias("n")
     )
 
 
@@ -208,7 +207,7 @@ def _prepared_tags(spark, sf):
 def _entities(strategy: str) -> Query:
     def run(spark, sf):
         df = views.piece_predictions(spark, sf)
-        found = df.select("id", F.posexplode(entities.entity_groups(F.col("pieces"), strategy)).alias("k", "e"))
+        found = unnest(df, entities.entity_groups(F.col("pieces"), strategy), "id", name="e", pos="k")
         return found.select(
             "id", big("k").alias("k"), "e.entity_group", F.round("e.score", 6).alias("score"), "e.word",
             big("e.start").alias("start_at"), big("e.end").alias("end_at"),
@@ -290,7 +289,7 @@ def capital_tagger():
 
 def _tagger_hook(spark, sf):
     run = hooks.tagger(capital_tagger)
-    found = views.documents(spark, sf).select("doc_id", F.explode(run(F.col("text"))).alias("e"))
+    found = unnest(views.documents(spark, sf), run(F.col("text")), "doc_id", name="e")
     return found.select("doc_id", "e.entity_group", "e.word", big("e.start").alias("start_at"),
                         big("e.end").alias("end_at"))
 
