@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from nassaj.functions import fixed
 from nassaj.functions.arrays import let
-from nassaj.operators.sizes import BROADCAST_ROWS
+from nassaj.operators.sizes import collect_bounded
 from nassaj.operators.split import tag_dictionary
 
 
@@ -71,9 +71,7 @@ def prepare_tagged(
     max_length: int = fixed.TAGGER_MAX_LENGTH,
 ) -> DataFrame:
     """Add ``labels``: aligned with the pieces and of length ``max_length``."""
-    rows = tag_dictionary(df, tags_col).limit(BROADCAST_ROWS + 1).collect()
-    if len(rows) > BROADCAST_ROWS:
-        raise ValueError("these are not tags: too many distinct values")
+    rows = collect_bounded(tag_dictionary(df, tags_col), "distinct tags")
     tag_ids = {r["tag"]: r["tag_id"] for r in rows}
     labels = align_labels(F.col(word_ids_col), F.col(tags_col), tag_ids, label_all_tokens)
     return df.withColumn("labels", fit_length(labels, max_length, fixed.IGNORED_LABEL))

@@ -40,11 +40,20 @@ def materialize(df: DataFrame) -> DataFrame:
     cached blocks.
     """
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None and spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    if folder is None:
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and sc.master.startswith("local"):
+            folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        if folder is None:
+            return df.persist(StorageLevel.MEMORY_AND_DISK)
+        sc.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def collect_bounded(df: DataFrame, what: str, max_rows: int = BROADCAST_ROWS) -> list:
+    """Rows of a table that has to be small; one that is not raises instead of filling the driver."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"more than {max_rows} {what}")
+    return rows

@@ -13,6 +13,7 @@ from nassaj.functions.arrays import let, unnest
 from nassaj.operators.metrics import label_scores, report_rows
 
 _NO_TYPE = "_"
+_OUTSIDE = "O"
 
 
 def sequences(df: DataFrame, id_col: str, pos_col: str, *value_cols: str) -> DataFrame:
@@ -26,7 +27,7 @@ def _parsed(tag: Column) -> Column:
     rest = F.substring(tag, 2, 2**31 - 1)
     kind = F.substr(rest, F.instr(rest, F.lit("-")) + 1)
     return F.struct(
-        F.when(F.length(tag) > 0, F.substring(tag, 1, 1)).otherwise(F.lit("O")).alias("head"),
+        F.when(F.length(tag) > 0, F.substring(tag, 1, 1)).otherwise(F.lit(_OUTSIDE)).alias("head"),
         F.when(F.length(kind) > 0, kind).otherwise(F.lit(_NO_TYPE)).alias("kind"),
     )
 
@@ -55,22 +56,25 @@ def entity_spans(tags: Column) -> Column:
     its first character, so ``LOC`` counts as head ``L`` and type ``OC``; equal bare
     neighbours form one span.
     """
-    outside = F.array(F.struct(F.lit("O").alias("head"), F.lit(_NO_TYPE).alias("kind")))
-
-    def boundaries(parsed: Column) -> Column:
-        flags = F.zip_with(
-            F.concat(outside, parsed),
-            F.concat(parsed, outside),
-            lambda prev, cur: F.struct(
-                prev["kind"].alias("kind"),
-                _ends(prev, cur).alias("ends"),
-                _starts(prev, cur).alias("starts"),
+    outside = F.array(F.lit(_OUTSIDE))
+
+    def boundaries(known: Column) -> Column:
+        # Between two outside tags, the usual case, nothing starts or ends.
+        steps = F.zip_with(
+            F.concat(outside, known),
+            F.concat(known, outside),
+            lambda prev, cur: F.when(
+                (prev != _OUTSIDE) | (cur != _OUTSIDE),
+                F.struct(_parsed(prev).alias("prev"), _parsed(cur).alias("cur")),
             ),
         )
-        placed = F.transform(flags, lambda f, i: F.struct(
-            i.alias("at"), f["kind"].alias("kind"), f["ends"].alias("ends"), f["starts"].alias("starts")
-        ))
-        return F.filter(placed, lambda e: e["ends"] | e["starts"])
+        placed = F.transform(steps, lambda s, i: F.when(s.isNotNull(), F.struct(
+            i.alias("at"),
+            s["prev"]["kind"].alias("kind"),
+            _ends(s["prev"], s["cur"]).alias("ends"),
+            _starts(s["prev"], s["cur"]).alias("starts"),
+        )))
+        return F.filter(placed, lambda e: F.coalesce(e["ends"] | e["starts"], F.lit(False)))
 
     def spans(events: Column) -> Column:
         def span(e: Column, i: Column) -> Column:
@@ -85,7 +89,7 @@ def entity_spans(tags: Column) -> Column:
 
         return F.filter(F.transform(events, span), lambda s: s.isNotNull())
 
-    known = F.transform(F.coalesce(tags, F.array().cast("array<string>")), _parsed)
+    known = F.coalesce(tags, F.array().cast("array<string>"))
     return let(let(known, boundaries), spans)
 
 

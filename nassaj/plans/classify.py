@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from nassaj.functions import fixed
 from nassaj.operators.metrics import classification_metrics, classification_report, confusion_counts
-from nassaj.operators.sizes import BROADCAST_ROWS, materialize
+from nassaj.operators.sizes import collect_bounded, materialize
 from nassaj.operators.split import label_dictionary, stratified_folds, validation_flag
 from nassaj.operators.tfidf import TfidfModel
 from nassaj.sources.writers import load_document, load_model, path_exists, save_document, save_model
@@ -205,17 +205,14 @@ def train_text_classification(
             F.raise_error(F.lit("a training row has no label"))
         ).alias("label_text"),
     )
-    dictionary = label_dictionary(given, "label_text").limit(BROADCAST_ROWS + 1).collect()
-    labels = [r["label"] for r in dictionary]
+    labels = [r["label"] for r in collect_bounded(label_dictionary(given, "label_text"), "distinct labels")]
     if len(labels) < 2:
         raise ValueError(f"training needs at least two classes, found {len(labels)}")
-    if len(labels) > BROADCAST_ROWS:
-        raise ValueError("the label column holds too many distinct values for a classifier")
     numbers = spark.createDataFrame(
         [(x, float(i)) for i, x in enumerate(labels)], "label_text string, label double"
     )
     split = validation_flag(given, "id", "label_text", test_size, seed).join(
-        F.broadcast(numbers), "label_text"  # bounded just above
+        F.broadcast(numbers), "label_text"  # as many rows as labels, which were bounded above
     )
     train, held_out = split.where(~F.col("is_validation")), split.where("is_validation")
 
@@ -233,7 +230,7 @@ def train_text_classification(
     predicted = fitted.predict(held_out, "text").select(
         F.col("label_text").alias("truth"), "prediction"
     )
-    counts = confusion_counts(predicted).collect()
+    counts = collect_bounded(confusion_counts(predicted), "confusion cells")
     if not counts:
         raise ValueError("the validation set is empty")
     table = spark.createDataFrame(counts, "truth string, prediction string, n long")

@@ -20,7 +20,7 @@ from nassaj.operators.tfidf import TfidfModel
 from nassaj.plans.classify import Classifier, train_text_classification
 from nassaj.plans.evaluate import evaluate_classification, evaluate_ner, evaluate_summarization
 from nassaj.sources.readers import (
-    read_any, read_inference_input, read_stopwords, read_summary_pairs, read_tagged, read_text, with_row_id,
+    read_any, read_inference_input, read_stopwords, read_summary_pairs, read_tagged, with_row_id,
 )
 from nassaj.sources.writers import save_csv, save_predictions
 

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from nassaj.functions import fixed
 from nassaj.operators.pairing import first_known
+from nassaj.operators.sizes import collect_bounded
 
 FILE_TYPES = ("csv", "json", "jsonl", "txt", "parquet")
 TAGGED = T.StructType([
@@ -155,5 +156,9 @@ def read_inference_input(spark: SparkSession, path: str) -> tuple[DataFrame, str
 
 
 def read_stopwords(spark: SparkSession, path: str) -> list[str]:
-    """Extra stopwords, one per line; a missing file raises."""
-    return sorted(r[0] for r in read_text(spark, path).distinct().collect())
+    """Extra stopwords, one per line; a missing file raises.
+
+    For a list too long for an expression see ``remove_listed_tokens``.
+    """
+    words = read_text(spark, path).distinct()
+    return sorted(r[0] for r in collect_bounded(words, "stopwords"))
