@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nassaj.functions.arrays import ngrams, value_counts
+from nassaj.functions.arrays import let, ngrams, value_counts
 
 TOKENIZERS = {"unicode": r"[\p{L}\p{N}]+", "ascii": "[a-z0-9]+"}
 MEASURES = ("precision", "recall", "fmeasure")
@@ -33,6 +33,27 @@ def _numbered(grams: Column) -> Column:
     )))
 
 
+def _repeats(grams: Column) -> Column:
+    """Every occurrence of a gram but its first."""
+    return let(F.sort_array(grams), lambda s: F.filter(s, lambda g, i: g == F.get(s, i - 1)))
+
+
+def _overlap(a: Column, b: Column, levels: int = 2) -> Column:
+    """Size of the multiset intersection.
+
+    It is the set intersection plus the overlap of the repeats. The repeats are
+    few, and those left after ``levels`` rounds are compared by number.
+    """
+    if levels == 0:
+        return F.size(F.array_intersect(_numbered(a), _numbered(b)))
+    more = let(_repeats(a), lambda ra: let(_repeats(b), lambda rb: _overlap(ra, rb, levels - 1)))
+    return F.size(F.array_intersect(a, b)) + more
+
+
+def _gram_overlap(ref: Column, hyp: Column, n: int) -> Column:
+    return let(ngrams(ref, n), lambda r: let(ngrams(hyp, n), lambda h: _overlap(r, h)))
+
+
 def _scores(prefix: str, overlap: Column, ref_n: Column, hyp_n: Column) -> list[Column]:
     p = overlap / F.greatest(hyp_n, F.lit(1))
     r = overlap / F.greatest(ref_n, F.lit(1))
@@ -73,8 +94,7 @@ def rouge_scores(
 ) -> DataFrame:
     """Add precision, recall and F of each measure to every pair.
 
-    Clipped n-gram overlap is the intersection of the numbered grams of the two
-    texts; a pair is scored where it is, without exploding or shuffling grams.
+    A pair is scored where it is, without exploding or shuffling its grams.
     """
     out = pairs.withColumns({
         "_ref": rouge_tokens(F.col(reference_col), tokenizer, stemmer),
@@ -87,9 +107,7 @@ def rouge_scores(
             sizes = (F.size("_ref"), F.size("_hyp"))
         elif measure in ("rouge1", "rouge2"):
             n = int(measure[-1])
-            overlap = F.size(F.array_intersect(
-                _numbered(ngrams(F.col("_ref"), n)), _numbered(ngrams(F.col("_hyp"), n))
-            ))
+            overlap = _gram_overlap(F.col("_ref"), F.col("_hyp"), n)
             sizes = tuple(F.greatest(F.size(c) - (n - 1), F.lit(0)) for c in ("_ref", "_hyp"))
         else:
             raise ValueError(f"Unknown measure: {measure}")

@@ -26,7 +26,8 @@ def spread(df: DataFrame) -> DataFrame:
     """Deal rows over all cores when the input has fewer pieces than that.
 
     Text work is bound by the processor, and a file of one row group is one task.
-    Inputs with pieces for every core, as all large ones, are left as they are.
+    Inputs with pieces for every core, as all large ones, are left as they are. For
+    file scans: counting the partitions of a shuffled table would run it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

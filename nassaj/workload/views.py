@@ -136,7 +136,7 @@ def piece_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, truth, prediction``: each turn of a conversation and the turn after it."""
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    turns = spread(table(spark, sf_dir, "conversations", "conv_id", "turn", "text"))
     after = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("prediction"))
     return turns.join(after, ["conv_id", "turn"]).select(
         F.concat_ws(":", "conv_id", "turn").alias("id"), F.col("text").alias("truth"), "prediction"
