@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nassaj.llm import bpe, lines, packing
+from nassaj.llm import bpe, html, lines, packing, vafile
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFr
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def op1_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten largest inner products of every hundredth vector with all others."""
+    rows = _table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return vafile.top_k(rows, "vec_id", "embedding", F.col("vec_id") % 100 == 0, k=10, scale=1024)
+
+
 def op2_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line-first cleaning of every document: measures and verdict."""
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
@@ -41,6 +47,13 @@ def op3_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = _table(spark, sf_dir, "pages", "page_id", "url", "html")
+    found = pages.select("page_id", "url", html.extract("html").alias("text"))
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in sequences of at most 2048 tokens, mixed by source in proportion."""
     docs = _table(spark, sf_dir, "documents", "doc_id", "source", "text")
@@ -48,7 +61,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_vector_search": op1_vector_search,
     "op2_line_rules": op2_line_rules,
     "op3_tree_bpe": op3_tree_bpe,
+    "op8_main_text": op8_main_text,
     "op10_packing": op10_packing,
 }
