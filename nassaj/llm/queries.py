@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nassaj.llm import bpe, html, lines, packing, vafile
+from nassaj.llm.staging import small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +20,7 @@ def tokenizer_path() -> str:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 

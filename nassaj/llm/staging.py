@@ -56,3 +56,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 def release(df: DataFrame) -> None:
     """Remove a staged table that nothing reads any more."""
     drop(df.sparkSession, df.staged_path)
+
+
+def small_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Hand Python whole texts a few hundred at a time, so that a batch with long texts stays small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
