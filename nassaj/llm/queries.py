@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nassaj.llm import bpe, html, lines, packing, vafile
+from nassaj.llm import bpe, html, jaccard, lines, packing, vafile
 from nassaj.llm.staging import small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,12 @@ def op3_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share 85 % of their four-word shingles."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return jaccard.jaccard_components(docs, "doc_id", "text", shingle=4, percent=85)
+
+
 def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = _table(spark, sf_dir, "pages", "page_id", "url", "html")
@@ -66,6 +72,7 @@ QUERIES: dict[str, Query] = {
     "op1_vector_search": op1_vector_search,
     "op2_line_rules": op2_line_rules,
     "op3_tree_bpe": op3_tree_bpe,
+    "op4_jaccard_join": op4_jaccard_join,
     "op8_main_text": op8_main_text,
     "op10_packing": op10_packing,
 }
