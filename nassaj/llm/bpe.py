@@ -108,6 +108,13 @@ def _bytes_of_characters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def vocabulary_file(name: str = "byte_bpe_50k.json") -> str:
+    """Path of a public tokenizer's file; it has to be installed on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def encoder(path: str) -> Encoder:
     """The worker's encoder of a file."""
     if path not in _encoders:

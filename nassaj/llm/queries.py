@@ -7,18 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nassaj.llm import bpe, html, jaccard, lines, packing, vafile
+import corpus_pipeline
+from nassaj.llm import bpe, html, jaccard, langid, lines, packing, pii, quality, sharding, vafile
 from nassaj.llm.staging import small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def tokenizer_path() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
@@ -39,7 +34,7 @@ def op2_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by the tree, and what they decode to, as digests."""
-    path = tokenizer_path()
+    path = bpe.vocabulary_file()
     ids = bpe.encode(_table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text", path)
     return ids.select(
         "doc_id",
@@ -55,6 +50,30 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(docs, "doc_id", "text", shingle=4, percent=85)
 
 
+def op5_string_kernels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those not held out."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    out = langid.held_out("doc_id")
+    model = langid.fit(docs.where(~out), "doc_id", "text", "lang")
+    found = docs.select("doc_id", out.alias("held_out"), langid.identify("text", model).alias("v"))
+    return found.select("doc_id", "held_out", "v.*")
+
+
+def op6_shard_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of every document, of 64."""
+    docs = _table(spark, sf_dir, "documents", "doc_id")
+    return sharding.place(docs, "doc_id", [f"shard-{k:02d}" for k in range(64)])
+
+
+def op7_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learned from the labels not held out."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = _table(spark, sf_dir, "labels", "doc_id", "quality").where(~langid.held_out("doc_id"))
+    model = quality.fit(docs, labels, "doc_id", "text", "quality")
+    scored = docs.select("doc_id", langid.held_out("doc_id").alias("held_out"), quality.quality("text", model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
+
+
 def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = _table(spark, sf_dir, "pages", "page_id", "url", "html")
@@ -62,10 +81,17 @@ def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
+def op9_feistel_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal values under pseudonyms, and how many it has."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    found = docs.select("doc_id", pii.pseudonyms("text").alias("new"), F.size(pii.values("text")).cast("bigint").alias("n_values"))
+    return found.withColumnRenamed("new", "text")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in sequences of at most 2048 tokens, mixed by source in proportion."""
     docs = _table(spark, sf_dir, "documents", "doc_id", "source", "text")
-    return packing.pack(docs, tokenizer_path(), key="doc_id", source="source", text="text")
+    return packing.pack(docs, bpe.vocabulary_file(), key="doc_id", source="source", text="text")
 
 
 QUERIES: dict[str, Query] = {
@@ -73,6 +99,11 @@ QUERIES: dict[str, Query] = {
     "op2_line_rules": op2_line_rules,
     "op3_tree_bpe": op3_tree_bpe,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_string_kernels": op5_string_kernels,
+    "op6_shard_lookup": op6_shard_lookup,
+    "op7_quality_gam": op7_quality_gam,
     "op8_main_text": op8_main_text,
+    "op9_feistel_pii": op9_feistel_pii,
     "op10_packing": op10_packing,
+    "pipeline": corpus_pipeline.run,
 }
