@@ -178,13 +178,20 @@ class _Join:
         self.nodes = stage(grouped.agg(F.min("key").alias("rep"), F.first("n").alias("n"), F.first("bins").alias("bins")), "jaccard-nodes")
 
     def shared(self) -> DataFrame:
-        """Prefix rows whose shingle has more than one node, with the shingle's pivot, the smallest node."""
+        """Prefix rows whose shingle has more than one node, with the shingle's pivot.
+
+        The pivot is the node that has the shingle earliest: it has the fewest rare shingles, so of a group
+        of near copies it is the one that the others were made from, or the closest to it.
+        """
         rows = self.docs.select("text").mapInPandas(
             _prefixes(self.n, self.percent, self.sketch), "shingle bigint, node binary, n int, pos int"
         )
         same = Window.partitionBy("shingle")
-        wide = rows.withColumn("pivot", F.min(F.struct("node", "n", "pos")).over(same)).withColumn("last", F.max("node").over(same))
-        return stage(wide.where(F.col("pivot.node") != F.col("last")).drop("last"), "jaccard-shared")
+        wide = rows.withColumns({
+            "pivot": F.min(F.struct("pos", "node", "n")).over(same),
+            "low": F.min("node").over(same), "high": F.max("node").over(same),
+        })
+        return stage(wide.where("low != high").drop("low", "high"), "jaccard-shared")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Of distinct pairs of nodes, those that link."""
