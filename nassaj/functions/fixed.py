@@ -21,17 +21,21 @@ DIGITS = (
 NOT_ARABIC = r"[^؀-ۿݐ-ݿ]+"
 
 # --- fixed values: words and affixes ------------------------------------------
-STOPWORDS = (
-    "في من إلى على عن مع كان هذا هذه "
-    "ذلك تلك هو هي هم هن أن إن ما "
-    "لا هل أي كل بعض لم لن قد لقد "
-    "إنه إنها حتى بعد قبل عند تحت فوق "
-    "بين خلال حول حيث هناك هنا ثم أو "
-    "و ف ب ل ك ا فقد بل لكن "
-    "ليس ليست كن تكون يكون كانت كانوا"
-).split()
-PREFIXES = "ال س ف و ل ب ت ي ن أ إ".split()
-SUFFIXES = "ها هم هن كما كم كن نا ني وا ون ين ات ان ية".split()
+STOPWORDS = [
+    "في", "من", "إلى", "على", "عن", "مع", "كان", "هذا", "هذه", "ذلك",
+    "تلك", "هو", "هي", "هم", "هن", "أن", "إن", "ما", "لا", "هل",
+    "أي", "كل", "بعض", "لم", "لن", "قد", "لقد", "إنه", "إنها", "حتى",
+    "بعد", "قبل", "عند", "تحت", "فوق", "بين", "خلال", "حول", "حيث", "هناك",
+    "هنا", "ثم", "أو", "و", "ف", "ب", "ل", "ك", "ا", "فقد",
+    "بل", "لكن", "ليس", "ليست", "كن", "تكون", "يكون", "كانت", "كانوا",
+]
+PREFIXES = [
+    "ال", "س", "ف", "و", "ل", "ب", "ت", "ي", "ن", "أ",
+    "إ",
+]
+SUFFIXES = [
+    "ها", "هم", "هن", "كما", "كم", "كن", "نا", "ني", "وا", "ون", "ين", "ات", "ان", "ية",
+]
 STEM_PASSES = 3
 STEM_MIN_REST = 2  # letters an affix must leave behind
 

@@ -117,6 +117,9 @@ class TextProcessor:
         stems = self._stem(tokens) if apply_stemming else tokens
         return {"cleaned": cleaned, "tokens": tokens, "stemmed_tokens": stems}
 
+    def stems(self, tokens: Column) -> Column:
+        return self._stem(tokens)
+
     def run(self, c: Column, remove_stops: bool = True, apply_stemming: bool = False) -> Column:
         """One struct ``original, cleaned, tokens, stemmed_tokens`` per text."""
         parts = self.columns(c, remove_stops, apply_stemming)

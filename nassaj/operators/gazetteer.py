@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from nassaj.functions.arrays import let, ngrams, positions, unnest
 from nassaj.functions.tokens import tokenize
-from nassaj.operators.sizes import broadcast_if_small
+from nassaj.operators.entities import PREDICTIONS, entity_groups
 
 _HEAD = 3  # words of a phrase that are tested before the whole phrase is built
-_LISTED_HEADS = 20_000
+LISTED_HEADS = 20_000
 
 
 def _phrases(gazetteer: DataFrame, phrase_col: str, type_col: str) -> DataFrame:
@@ -59,19 +59,21 @@ def gazetteer_tags(
     text_col: str = "text",
     phrase_col: str = "phrase",
     type_col: str = "entity_type",
+    listed_heads: int = LISTED_HEADS,
 ) -> DataFrame:
     """``id, pos, token, tag`` of every token inside a known phrase.
 
     Where phrases overlap, a token belongs to the longest, then the earliest one;
     the first token of its phrase is tagged B-, the others I-. Word runs are built
-    only in the lengths that the gazetteer has and, while its phrases start in few
-    enough ways to list, only where such a start is found. A longer gazetteer gives
-    the same tags by looking up every run.
+    only in the lengths that the gazetteer has and, while its phrases start in at most
+    ``listed_heads`` ways, only where such a start is found: the list goes into the
+    expression. With more the tags are the same, by looking up every run. The starts
+    are found when the query is built.
     """
     known = _phrases(gazetteer, phrase_col, type_col)
     shapes = known.select("length", "head").distinct()
-    listed = shapes.limit(_LISTED_HEADS + 1).collect()
-    complete = len(listed) <= _LISTED_HEADS
+    listed = shapes.limit(listed_heads + 1).collect()
+    complete = len(listed) <= listed_heads
     if not complete:
         listed = shapes.select("length").distinct().withColumn("head", F.lit("")).collect()
     lengths: dict[int, set[int]] = defaultdict(set)
@@ -88,7 +90,7 @@ def gazetteer_tags(
         for k in sorted(lengths)
     ]
     found = unnest(tokens, F.concat(none, *runs), id_col, name="run").select(id_col, "run.*").join(
-        broadcast_if_small(known.drop("head")), ["phrase", "length"]
+        known.drop("head"), ["phrase", "length"]
     )
     covered = unnest(
         found, F.split("phrase", " "), id_col, "length", "first", "entity_type", name="token", pos="offset"
@@ -104,3 +106,21 @@ def gazetteer_tags(
             F.col("best.entity_type"),
         ).alias("tag"),
     )
+
+
+def gazetteer_entities(
+    df: DataFrame, gazetteer: DataFrame, id_col: str = "id", text_col: str = "text",
+    phrase_col: str = "phrase", type_col: str = "entity_type", strategy: str = "simple",
+) -> DataFrame:
+    """``id, entities`` of the texts with a known phrase: groups as a tagger gives them, with score 1.
+
+    ``start`` and ``end`` number tokens, not characters.
+    """
+    tags = gazetteer_tags(df, gazetteer, id_col, text_col, phrase_col, type_col)
+    piece = F.struct(
+        F.col("pos"), F.col("tag"), F.lit(1.0).alias("score"), F.col("token").alias("word"),
+        F.col("pos").alias("start"), (F.col("pos") + 1).alias("end"), F.lit(False).alias("is_subword"),
+    )
+    rows = tags.groupBy(id_col).agg(F.array_sort(F.collect_list(piece)).alias("p"))
+    pieces = F.transform("p", lambda p: F.struct(*[p[c].alias(c) for c in ("tag", "score", "word", "start", "end", "is_subword")]))
+    return rows.select(id_col, entity_groups(pieces.cast(PREDICTIONS), strategy).alias("entities"))

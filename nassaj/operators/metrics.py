@@ -17,11 +17,13 @@ def _f1(p: Column, r: Column) -> Column:
 
 
 def confusion_counts(pairs: DataFrame) -> DataFrame:
-    """``truth, prediction, n``; labels compared as strings."""
-    return pairs.groupBy(
-        F.col("truth").cast("string").alias("truth"),
-        F.col("prediction").cast("string").alias("prediction"),
-    ).agg(F.count(F.lit(1)).alias("n"))
+    """``truth, prediction, n``; labels compared as strings. A null label fails the query."""
+
+    def label(side: str) -> Column:
+        missing = F.raise_error(F.lit(f"a row has no {side}"))
+        return F.coalesce(F.col(side).cast("string"), missing.cast("string")).alias(side)
+
+    return pairs.groupBy(label("truth"), label("prediction")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def confusion_matrix(counts: DataFrame, labels: Sequence[str] | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -18,7 +18,7 @@ def pair(
 ) -> DataFrame:
     """``id, truth, prediction`` for every id; both sides must hold each id once.
 
-    A missing or repeated id fails the query when the row is computed. Stacking
+    A missing or repeated id fails the query, whichever columns are asked for. Stacking
     and grouping instead of joining keeps a repeated id from multiplying rows
     before the check sees it. ``cast`` makes labels comparable when one file
     held them as numbers.
@@ -49,13 +49,19 @@ def pair(
             F.col("n_prediction").cast("string"), F.lit(" prediction rows"),
         )
     )
-    return grouped.select(
-        "id",
-        F.when(complete, F.col("truth.v")).otherwise(problem).alias("truth"),
-        F.when(complete, F.col("prediction.v")).otherwise(problem).alias("prediction"),
+    return fail_unless(grouped, complete, problem).select(
+        "id", F.col("truth.v").alias("truth"), F.col("prediction.v").alias("prediction")
     )
 
 
+def fail_unless(df: DataFrame, good: Column, problem: Column) -> DataFrame:
+    """``df``, failing with ``problem`` at a row that is not ``good``.
+
+    The check is a filter, which is computed even where no column of the row is used.
+    """
+    return df.where(F.coalesce(good, F.lit(False)) | problem.cast("boolean"))
+
+
 def pick_column(df: DataFrame, wanted: str, position: int) -> str:
     """``wanted`` if the table has it, else the column at ``position``."""
     return wanted if wanted in df.columns else df.columns[position]

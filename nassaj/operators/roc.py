@@ -6,24 +6,33 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_RANGES = 256
+_PER_RANGE = 20_000
+_MOST_RANGES = 4096
 
 
 def _cumulative(df: DataFrame, label_col: str, score_col: str, positive: str) -> DataFrame:
     """Counts at each distinct score and running counts from the highest down.
 
     The running sum needs the global order of the scores. Score ranges at
-    approximate quantiles give every task its own piece; the pieces' totals,
-    at most ``_RANGES`` rows, give the offsets.
+    approximate quantiles, one for every ``_PER_RANGE`` distinct scores, give every
+    task its own piece; the ranges' totals give the offsets. The quantiles, and the
+    check that no label and no score is missing, are one pass when the query is built.
     """
     is_positive = (F.col(label_col).cast("string") == F.lit(str(positive))).cast("long")
     by_score = df.groupBy(F.col(score_col).cast("double").alias("score")).agg(
-        F.sum(is_positive).alias("pos"), F.sum(1 - is_positive).alias("neg")
+        F.sum(is_positive).alias("pos"), F.sum(1 - is_positive).alias("neg"),
+        F.count(F.when(F.col(label_col).isNull() | F.col(score_col).isNull(), 1)).alias("missing"),
     )
-    shares = [i / _RANGES for i in range(1, _RANGES)]
-    cuts = by_score.agg(F.percentile_approx("score", shares, 10 * _RANGES)).first()[0] or [0.0]
-    edges = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    ranged = Bucketizer(splits=edges, inputCol="score", outputCol="range").transform(by_score)
+    shares = [i / _MOST_RANGES for i in range(1, _MOST_RANGES)]
+    cuts, scores, missing = by_score.agg(
+        F.percentile_approx("score", shares, 10 * _MOST_RANGES), F.count("score"), F.sum("missing")
+    ).first()
+    if missing:
+        raise ValueError(f"ROC: {missing} rows have no label or no score")
+    ranges = min(_MOST_RANGES, max(1, scores // _PER_RANGE))
+    picked = {cuts[i * _MOST_RANGES // ranges - 1] for i in range(1, ranges)} if cuts else set()
+    edges = [float("-inf"), *sorted(picked or {0.0}), float("inf")]
+    ranged = Bucketizer(splits=edges, inputCol="score", outputCol="range").transform(by_score.drop("missing"))
 
     higher = Window.orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
     totals = ranged.groupBy("range").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
@@ -47,7 +56,10 @@ def _cumulative(df: DataFrame, label_col: str, score_col: str, positive: str) ->
 def roc_points(
     df: DataFrame, label_col: str = "label", score_col: str = "score", positive: str = "1"
 ) -> DataFrame:
-    """``threshold, fpr, tpr`` for every distinct score; no collinear point is dropped."""
+    """``threshold, fpr, tpr`` for every distinct score; no collinear point is dropped.
+
+    A row without a label or a score raises, as the curve could not end at (1, 1).
+    """
     return _cumulative(df, label_col, score_col, positive).select(
         F.col("score").alias("threshold"),
         F.when(F.col("all_neg") > 0, F.col("fp") / F.col("all_neg")).alias("fpr"),

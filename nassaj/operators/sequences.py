@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from nassaj.functions import fixed
 from nassaj.functions.arrays import let
-from nassaj.operators.sizes import collect_bounded
+from nassaj.operators.pairing import fail_unless
+from nassaj.operators.sizes import MAX_LABELS, collect_bounded
 from nassaj.operators.split import tag_dictionary
 
 
@@ -17,7 +18,7 @@ def check_tagged(df: DataFrame, tokens_col: str = "tokens", tags_col: str = "tag
         raise ValueError("Training tokens and tags must be provided.")
     same = F.coalesce(F.size(tokens_col) == F.size(tags_col), F.lit(False))
     problem = F.raise_error(F.lit("tokens and tags of a row differ in number"))
-    return df.withColumn(tags_col, F.when(same, F.col(tags_col)).otherwise(problem))
+    return fail_unless(df, same, problem)
 
 
 def check_pairs(df: DataFrame, text_col: str = "text", summary_col: str = "summary") -> DataFrame:
@@ -26,7 +27,7 @@ def check_pairs(df: DataFrame, text_col: str = "text", summary_col: str = "summa
         raise ValueError("Training texts and summaries must be provided.")
     both = F.col(text_col).isNotNull() & F.col(summary_col).isNotNull()
     problem = F.raise_error(F.lit("a row has no text or no summary"))
-    return df.withColumn(summary_col, F.when(both, F.col(summary_col)).otherwise(problem))
+    return fail_unless(df, both, problem)
 
 
 def align_labels(
@@ -69,9 +70,13 @@ def prepare_tagged(
     tags_col: str = "tags",
     label_all_tokens: bool = True,
     max_length: int = fixed.TAGGER_MAX_LENGTH,
+    max_tags: int = MAX_LABELS,
 ) -> DataFrame:
-    """Add ``labels``: aligned with the pieces and of length ``max_length``."""
-    rows = collect_bounded(tag_dictionary(df, tags_col), "distinct tags")
+    """Add ``labels``: aligned with the pieces and of length ``max_length``.
+
+    The tags are numbered when the query is built; more than ``max_tags`` raise.
+    """
+    rows = collect_bounded(tag_dictionary(df, tags_col), "distinct tags", max_tags)
     tag_ids = {r["tag"]: r["tag_id"] for r in rows}
     labels = align_labels(F.col(word_ids_col), F.col(tags_col), tag_ids, label_all_tokens)
     return df.withColumn("labels", fit_length(labels, max_length, fixed.IGNORED_LABEL))

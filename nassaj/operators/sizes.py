@@ -1,25 +1,15 @@
-"""Broadcasts behind a size check, and tables that survive lost executors."""
+"""Tables kept in the shared folder, small inputs on all cores, and bounded collects."""
 
 from __future__ import annotations
 
-import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when counting stops below ``max_rows``.
-
-    Above it the table is returned unhinted: the join shuffles, and adaptive
-    execution splits its skewed partitions.
-    """
-    if df.limit(max_rows + 1).count() > max_rows:
-        return df
-    return F.broadcast(df)
+MAX_LABELS = 5_000
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -33,26 +23,32 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Store ``df`` for repeated passes, cutting its lineage where possible.
+@contextmanager
+def kept(df: DataFrame, folder: str | None = None) -> Iterator[DataFrame]:
+    """``df`` written once for repeated passes, removed at the end of the ``with`` block.
 
-    Uses the checkpoint folder the cluster names. Where none is named, a local
-    session gets a temporary one and a cluster keeps the rows as recomputable
-    cached blocks.
+    The folder is the one given, else the one that ``spark.checkpoint.dir`` names; all executors have to
+    share it. Where none is named the rows are cached on the executors, to be computed again where lost.
     """
     spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and sc.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        if folder is None:
-            return df.persist(StorageLevel.MEMORY_AND_DISK)
-        sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
-
-
-def collect_bounded(df: DataFrame, what: str, max_rows: int = BROADCAST_ROWS) -> list:
+    folder = folder or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            yield cached
+        finally:
+            cached.unpersist()
+        return
+    path = f"{folder.rstrip('/')}/kept-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def collect_bounded(df: DataFrame, what: str, max_rows: int) -> list:
     """Rows of a table that has to be small; one that is not raises instead of filling the driver."""
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:

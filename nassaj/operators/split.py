@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from nassaj.functions import fixed
 from nassaj.functions.arrays import unnest
-from nassaj.operators.sizes import BROADCAST_ROWS
 
 _BUCKET_DIGITS = 4  # 65,536 buckets per label
 
@@ -37,6 +36,13 @@ def order_key(id_col: str, seed: int) -> Column:
     return F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.lit(str(seed))))
 
 
+def _group(by: str | None) -> Column:
+    """The group of a row; rows without a label are a group of their own."""
+    if not by:
+        return F.lit("")
+    return F.coalesce(F.concat(F.lit("="), F.col(by).cast("string")), F.lit(""))
+
+
 def _bucket_counts(keys: DataFrame) -> DataFrame:
     running = Window.partitionBy("_by").orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
@@ -50,7 +56,7 @@ def _bucket_counts(keys: DataFrame) -> DataFrame:
 
 def _keys(df: DataFrame, id_col: str, seed: int, by: str | None) -> DataFrame:
     return df.select(
-        (F.col(by).cast("string") if by else F.lit("")).alias("_by"),
+        _group(by).alias("_by"),
         order_key(id_col, seed).alias("_key"),
         F.col(id_col).alias("_id"),
     ).withColumn("_bucket", F.substring("_key", 1, _BUCKET_DIGITS))
@@ -61,7 +67,7 @@ def hashed_rank(
 ) -> DataFrame:
     """1-based rank of every row within its group, in hash order."""
     keyed = df.withColumns({
-        "_by": F.col(by).cast("string") if by else F.lit(""),
+        "_by": _group(by),
         "_key": order_key(id_col, seed),
     }).withColumn("_bucket", F.substring("_key", 1, _BUCKET_DIGITS))
     before = _bucket_counts(_keys(df, id_col, seed, by)).select(
@@ -95,7 +101,8 @@ def validation_flag(
     """Add ``is_validation``: the first ``ceil(test_size * n)`` rows of each label.
 
     Without a label column, or when the labels are too few to stratify by, the
-    whole table is one group. Only ids and labels are shuffled: they give the last
+    whole table is one group; counting them is a pass when the query is built. Rows
+    without a label are one more group. Only ids and labels are shuffled: they give the last
     validation key of each label, and the rows are then compared with that key in
     place.
     """
@@ -117,13 +124,9 @@ def validation_flag(
         .select(F.col("_by").alias("_cut_by"), F.col("_key").alias("_cut_key"),
                 F.col("_id").alias("_cut_id"))
     )
-    if classes <= BROADCAST_ROWS:
-        # One row per label: found once, then as good as a literal for every later pass.
-        last = F.broadcast(df.sparkSession.createDataFrame(last.collect(), last.schema))
-    own = F.col(by).cast("string") if by else F.lit("")
     key = order_key(id_col, seed)
     return (
-        df.withColumn("_own", own)
+        df.withColumn("_own", _group(by))
         .join(last, F.col("_own") == F.col("_cut_by"), "left")
         .withColumn(
             "is_validation",

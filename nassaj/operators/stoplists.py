@@ -5,21 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nassaj.functions import fixed
 from nassaj.functions.arrays import unnest
-from nassaj.operators.sizes import broadcast_if_small
+from nassaj.functions.clean import CleanConfig
 
 
 def remove_listed_tokens(
-    df: DataFrame, stopwords: DataFrame, id_col: str = "id", tokens_col: str = "tokens", word_col: str = "word"
+    df: DataFrame, stopwords: DataFrame, tokens_col: str = "tokens", word_col: str = "word"
 ) -> DataFrame:
-    """``id, tokens`` without listed and one-character tokens, in order.
+    """``df`` with listed and one-character tokens out of its token arrays, in order.
 
-    Tokens are joined against the list by an anti join and collected again per text.
-    A null marker keeps texts that lose every token.
+    Rows stay one to one and keep all columns. Each distinct token array sends its
+    distinct tokens once; those on the list come back as a short array, and the
+    row's tokens are filtered against it in place. A null array stays null.
     """
-    marked = F.array_append(F.filter(tokens_col, lambda t: F.length(t) > 1), F.lit(None).cast("string"))
-    exploded = unnest(df, marked, id_col, name="_token", pos="_pos")
-    listed = broadcast_if_small(stopwords.select(F.col(word_col).alias("_token")).distinct())
-    kept = exploded.join(listed, "_token", "left_anti")
-    ordered = F.array_sort(F.collect_list(F.struct("_pos", "_token")))["_token"]
-    return kept.groupBy(id_col).agg(F.array_compact(ordered).alias(tokens_col))
+    longer = F.filter(tokens_col, lambda t: F.length(t) > 1)
+    key = F.sha2(F.to_json(F.struct(F.col(tokens_col).alias("t"))), 256)
+    arrays = df.select(key.alias("_key"), F.array_distinct(longer).alias("_t")).dropDuplicates(["_key"])
+    listed = stopwords.select(F.col(word_col).alias("_token")).distinct()
+    found = unnest(arrays, F.col("_t"), "_key", name="_token").join(listed, "_token", "left_semi")
+    hits = found.groupBy("_key").agg(F.collect_list("_token").alias("_listed"))
+    none = F.coalesce("_listed", F.array().cast("array<string>"))
+    return (
+        df.withColumn("_key", key).join(hits, "_key", "left")
+        .withColumn(tokens_col, F.filter(longer, lambda t: ~F.array_contains(none, t)))
+        .select(*df.columns)
+    )
+
+
+def normal_words(words: DataFrame, config: CleanConfig, word_col: str = "word") -> DataFrame:
+    """The list with its letters rewritten as cleaning does."""
+    word = F.col(word_col)
+    if config.normalize_alef:
+        word = F.translate(word, fixed.ALEF_FORMS, fixed.ALEF * len(fixed.ALEF_FORMS))
+    if config.normalize_teh_marbuta:
+        word = F.translate(word, fixed.TEH_MARBUTA, fixed.HEH)
+    return words.select(word.alias(word_col)).distinct()

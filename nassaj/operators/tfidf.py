@@ -8,13 +8,11 @@ from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normali
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from nassaj.functions import fixed
 from nassaj.functions.arrays import let, ngrams, unnest, value_counts
 
-# A model's vocabulary is held by the driver and every executor.
-MODEL_FEATURES = 1_000_000
-
 
 def document_terms(c: Column, ngram_range: tuple[int, int] = fixed.NGRAM_RANGE) -> Column:
     """Lowercase words of at least two word characters, and their n-grams."""
@@ -25,13 +23,20 @@ def document_terms(c: Column, ngram_range: tuple[int, int] = fixed.NGRAM_RANGE)
     return let(words, lambda w: F.concat(*[ngrams(w, n) for n in range(low, high + 1)]))
 
 
+def _terms_of(df: DataFrame, column: str, ngram_range: tuple[int, int]) -> Column:
+    """The terms of a text column, or the array of a column that holds terms already."""
+    if isinstance(df.schema[column].dataType, T.ArrayType):
+        return F.col(column)
+    return document_terms(F.col(column), ngram_range)
+
+
 def term_statistics(df: DataFrame, text_col: str, ngram_range=fixed.NGRAM_RANGE) -> DataFrame:
     """``term, tf, df`` over the corpus.
 
     Terms are counted inside each document first; the only shuffle carries
     partial sums by term.
     """
-    counted = unnest(df, value_counts(document_terms(F.col(text_col), ngram_range)), name="t")
+    counted = unnest(df, value_counts(_terms_of(df, text_col, ngram_range)), name="t")
     return counted.groupBy(F.col("t.value").alias("term")).agg(
         F.sum("t.n").alias("tf"), F.count(F.lit(1)).alias("df")
     )
@@ -77,7 +82,7 @@ def weights_by_join(
     a term found in most documents makes a skewed partition, which adaptive
     execution splits because the vocabulary side is unique.
     """
-    terms = value_counts(document_terms(F.col(text_col), ngram_range))
+    terms = value_counts(_terms_of(df, text_col, ngram_range))
     counted = unnest(df, terms, id_col, name="t").select(id_col, F.col("t.value").alias("term"), F.col("t.n").alias("n"))
     raw = counted.join(table.select("term", "idf"), "term").select(
         id_col, "term", ((F.log("n") + 1.0) * F.col("idf")).alias("w")
@@ -86,14 +91,26 @@ def weights_by_join(
     return raw.select(id_col, "term", (F.col("w") / norm).alias("weight"))
 
 
-@F.udf(returnType=VectorUDT(), useArrow=True)
-def _sparse(size, indices, values):
-    return Vectors.sparse(size, indices, values)
+def sparse_vector(size: int, indices: Column, values: Column) -> Column:
+    """An ML vector from its indices and values.
+
+    No function makes one from arrays, but JSON is parsed into any type by its storage form.
+    """
+    stored = F.struct(
+        F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"), indices.alias("indices"), values.alias("values")
+    )
+    text = F.to_json(F.struct(stored.alias("v")))
+    return F.from_json(text, T.StructType([T.StructField("v", VectorUDT())]))["v"]
 
 
 @dataclass
 class TfidfModel:
-    """A fitted vocabulary with its idf; terms are numbered in sort order."""
+    """A fitted vocabulary with its idf; terms are numbered in sort order.
+
+    The driver and every executor hold the vocabulary: ``max_features`` terms, as the caller chose.
+    Where that is too many, ``weights_by_join`` takes a vocabulary of any size. A text column may also
+    be one of term arrays.
+    """
 
     terms: list[str]
     idf: list[float]
@@ -108,10 +125,9 @@ class TfidfModel:
         max_features: int = fixed.MAX_FEATURES,
         ngram_range=fixed.NGRAM_RANGE,
     ) -> TfidfModel:
-        if not 1 <= max_features <= MODEL_FEATURES:
-            raise ValueError(
-                f"max_features must lie in 1..{MODEL_FEATURES}; use weights_by_join beyond"
-            )
+        """Two passes over the texts, when called: one counts them, one counts their terms."""
+        if max_features < 1:
+            raise ValueError("max_features must be at least 1")
         rows = fit_table(df, text_col, max_features, ngram_range).select("term", "idf").collect()
         rows.sort(key=lambda r: r["term"].encode("utf-8"))
         return cls([r["term"] for r in rows], [r["idf"] for r in rows], tuple(ngram_range))
@@ -128,7 +144,7 @@ class TfidfModel:
         scale = ElementwiseProduct(
             scalingVec=Vectors.dense(self.idf), inputCol="_tf", outputCol="_tf_idf"
         )
-        terms = df.withColumn("_terms", document_terms(F.col(text_col), self.ngram_range))
+        terms = df.withColumn("_terms", _terms_of(df, text_col, self.ngram_range))
         return scale.transform(self._vectorizer.transform(terms)).drop("_terms")
 
     def raw_weights(self, df: DataFrame, text_col: str) -> DataFrame:
@@ -164,7 +180,7 @@ class TfidfModel:
         """``id, term, weight``, one row per document and known term."""
         weighted = self.weights(df.select(id_col, text_col), text_col)
         entries = unnest(weighted, F.arrays_zip("indices", "weights"), id_col, name="e").select(id_col, "e.*")
-        # Bounded by MODEL_FEATURES.
+        # Bounded by max_features.
         table = F.broadcast(self.term_table(df.sparkSession).select("idx", "term"))
         return entries.join(table, F.col("indices") == F.col("idx")).select(
             id_col, "term", F.col("weights").alias("weight")
@@ -172,6 +188,6 @@ class TfidfModel:
 
     def features(self, df: DataFrame, text_col: str, output_col: str = "features") -> DataFrame:
         """Add the weights as a sparse ML vector."""
-        vector = _sparse(F.lit(self.size), F.col("indices"), F.col("weights"))
+        vector = sparse_vector(self.size, F.col("indices"), F.col("weights"))
         raw = self.raw_weights(df, text_col).withColumn("_raw", vector).drop("indices", "weights")
         return Normalizer(p=2.0, inputCol="_raw", outputCol=output_col).transform(raw).drop("_raw")

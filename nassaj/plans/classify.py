@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -14,9 +15,9 @@ from pyspark.sql import functions as F
 
 from nassaj.functions import fixed
 from nassaj.operators.metrics import classification_metrics, classification_report, confusion_counts
-from nassaj.operators.sizes import collect_bounded, materialize
-from nassaj.operators.split import label_dictionary, stratified_folds, validation_flag
-from nassaj.operators.tfidf import TfidfModel
+from nassaj.operators.sizes import MAX_LABELS, collect_bounded, kept
+from nassaj.operators.split import stratified_folds, validation_flag
+from nassaj.operators.tfidf import TfidfModel, document_terms
 from nassaj.sources.writers import load_document, load_model, path_exists, save_document, save_model
 
 MODEL_TYPES = ("logistic_regression", "linear_svc")
@@ -78,13 +79,13 @@ def search(
     ]
     stage = Pipeline(stages=[])
     candidates = [[estimator(model_type, classes, fold_rows, **g, **params)] for g in grid]
-    folded = materialize(stratified_folds(train, "id", "label", fixed.GRID_FOLDS, seed))
-    found = CrossValidator(
-        estimator=stage,
-        estimatorParamMaps=ParamGridBuilder().addGrid(stage.stages, candidates).build(),
-        evaluator=MacroF1(), numFolds=fixed.GRID_FOLDS, foldCol="fold", seed=seed,
-        parallelism=parallelism,
-    ).fit(folded)
+    with kept(stratified_folds(train, "id", "label", fixed.GRID_FOLDS, seed)) as folded:
+        found = CrossValidator(
+            estimator=stage,
+            estimatorParamMaps=ParamGridBuilder().addGrid(stage.stages, candidates).build(),
+            evaluator=MacroF1(), numFolds=fixed.GRID_FOLDS, foldCol="fold", seed=seed,
+            parallelism=parallelism,
+        ).fit(folded)
     best = max(range(len(grid)), key=lambda i: found.avgMetrics[i])
     refit = Pipeline(stages=[estimator(model_type, classes, rows, **grid[best], **params)])
     return refit.fit(train), grid[best], found.avgMetrics[best]
@@ -119,7 +120,7 @@ class Classifier:
         added = [label.alias(output_col)]
         if return_proba:
             if "probability" in scored.columns:
-                names = F.array(*[F.lit(x) for x in self.labels])
+                names = _listed(self.labels)
                 proba = F.map_from_arrays(names, vector_to_array("probability"))
             else:
                 proba = F.lit(None).cast("map<string,double>")
@@ -158,12 +159,17 @@ class Classifier:
                    meta["accuracy"], meta["val_samples"])
 
 
+def _listed(labels: list[str]):
+    """Labels as one literal, however many."""
+    return F.from_json(F.lit(json.dumps(labels)), "array<string>")
+
+
 def label_of(prediction, labels: list[str]):
     """Label of a predicted number; numbers without a label stay as text."""
     number = prediction.cast("int")
     if not labels:
         return number.cast("string")
-    names = F.array(*[F.lit(x) for x in labels])
+    names = _listed(labels)
     return F.coalesce(F.get(names, number), number.cast("string"))
 
 
@@ -187,50 +193,54 @@ def train_text_classification(
     ngram_range: tuple[int, int] = fixed.NGRAM_RANGE,
     output_dir: str | None = None,
     hyperparameter_tuning: bool = False,
+    max_labels: int = MAX_LABELS,
+    staging: str | None = None,
     **params,
 ) -> tuple[Classifier, DataFrame]:
     """Fit on the training part of a labelled corpus and score the rest.
 
     Returns the classifier and the per-class validation report. ``params`` go to
-    :func:`estimator`. Rows without a label fail; an empty corpus or a single class
-    raises.
+    :func:`estimator`. Rows without a label fail; an empty corpus, a single class or
+    more than ``max_labels`` raises. Texts are split into terms once and vectors made
+    once; both are kept meanwhile in ``staging`` (see :func:`~nassaj.operators.sizes.kept`).
     """
     check_training_input(df, text_col, label_col, model_type)
     spark = df.sparkSession
     label = F.col(label_col).cast("string")
     given = df.select(
         F.col(id_col).alias("id"),
-        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+        document_terms(F.col(text_col).cast("string"), ngram_range).alias("terms"),
         F.when(label.isNotNull(), label).otherwise(
             F.raise_error(F.lit("a training row has no label"))
         ).alias("label_text"),
     )
-    labels = [r["label"] for r in collect_bounded(label_dictionary(given, "label_text"), "distinct labels")]
-    if len(labels) < 2:
-        raise ValueError(f"training needs at least two classes, found {len(labels)}")
-    numbers = spark.createDataFrame(
-        [(x, float(i)) for i, x in enumerate(labels)], "label_text string, label double"
-    )
-    split = validation_flag(given, "id", "label_text", test_size, seed).join(
-        F.broadcast(numbers), "label_text"  # as many rows as labels, which were bounded above
-    )
-    train, held_out = split.where(~F.col("is_validation")), split.where("is_validation")
-
-    tfidf = TfidfModel.fit(train, "text", max_features, ngram_range)
-    vectors = materialize(tfidf.features(train, "text").select("id", "label", "features"))
-    rows = vectors.count()
-    best_params, best_score = None, None
-    if hyperparameter_tuning:
-        model, best_params, best_score = search(vectors, model_type, len(labels), rows, seed, **params)
-    else:
-        model = Pipeline(stages=[estimator(model_type, len(labels), rows, **params)]).fit(vectors)
-    vectors.unpersist()
-
-    fitted = Classifier(model_type, labels, tfidf, model, best_params=best_params, best_score=best_score)
-    predicted = fitted.predict(held_out, "text").select(
-        F.col("label_text").alias("truth"), "prediction"
-    )
-    counts = collect_bounded(confusion_counts(predicted), "confusion cells")
+    with kept(given, folder=staging) as corpus:
+        found = collect_bounded(corpus.select("label_text").distinct(), "distinct labels", max_labels)
+        labels = sorted((r["label_text"] for r in found), key=lambda x: x.encode("utf-8"))
+        if len(labels) < 2:
+            raise ValueError(f"training needs at least two classes, found {len(labels)}")
+        numbers = spark.createDataFrame(
+            [(x, float(i)) for i, x in enumerate(labels)], "label_text string, label double"
+        )
+        split = validation_flag(corpus, "id", "label_text", test_size, seed).join(
+            F.broadcast(numbers), "label_text"  # at most max_labels rows
+        )
+        train, held_out = split.where(~F.col("is_validation")), split.where("is_validation")
+
+        tfidf = TfidfModel.fit(train, "terms", max_features, ngram_range)
+        best_params, best_score = None, None
+        with kept(tfidf.features(train, "terms").select("id", "label", "features"), folder=staging) as vectors:
+            rows = vectors.count()
+            if hyperparameter_tuning:
+                model, best_params, best_score = search(vectors, model_type, len(labels), rows, seed, **params)
+            else:
+                model = Pipeline(stages=[estimator(model_type, len(labels), rows, **params)]).fit(vectors)
+
+        fitted = Classifier(model_type, labels, tfidf, model, best_params=best_params, best_score=best_score)
+        predicted = fitted.predict(held_out, "terms").select(
+            F.col("label_text").alias("truth"), "prediction"
+        )
+        counts = collect_bounded(confusion_counts(predicted), "confusion cells", max_labels**2)
     if not counts:
         raise ValueError("the validation set is empty")
     table = spark.createDataFrame(counts, "truth string, prediction string, n long")

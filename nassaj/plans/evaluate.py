@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nassaj.operators.metrics import (
-    classification_metrics, classification_report, confusion_counts, confusion_matrix, format_report,
+    classification_metrics, classification_report, confusion_counts, confusion_matrix, format_report, label_scores,
+    report_rows,
 )
 from nassaj.operators.roc import roc_auc
 from nassaj.operators.rouge import rouge_scores, rouge_summary
-from nassaj.operators.sizes import collect_bounded
-from nassaj.operators.spans import ner_metrics, ner_report, token_accuracy
+from nassaj.operators.sizes import MAX_LABELS, collect_bounded
+from nassaj.operators.spans import micro_scores, ner_tally
 from nassaj.sources.writers import save_document
 
 _COLUMNS = ("precision", "recall", "f1", "support")
@@ -29,6 +30,16 @@ def _as_dict(rows: Sequence) -> dict:
     return out
 
 
+def _as_rows(report: dict) -> list[dict]:
+    """The rows that :func:`_as_dict` was made from, as far as a printed report needs them."""
+    total = report["macro avg"]["support"]
+    return [
+        {"label": k, "f1": v, "support": total} if k == "accuracy"
+        else {"label": k, **{c: v["f1-score" if c == "f1" else c] for c in _COLUMNS}}
+        for k, v in report.items()
+    ]
+
+
 def _save(df: DataFrame, metrics: dict, output_dir: str | None, name: str) -> None:
     if output_dir:
         save_document(df.sparkSession, metrics, f"{output_dir}/{name}")
@@ -40,19 +51,24 @@ def evaluate_classification(
     scores: DataFrame | None = None,
     output_dir: str | None = None,
     prefix: str = "",
+    max_labels: int = MAX_LABELS,
 ) -> dict:
     """All classification metrics of ``id, truth, prediction`` rows.
 
+    The result holds the whole matrix; more than ``max_labels`` labels raise, as does a null label.
+
     ``label_names`` orders the confusion matrix and must hold label values.
     ``scores`` (``label, score``) adds the ROC area when there are two labels, the
     second one being positive.
     """
-    counted = collect_bounded(confusion_counts(pairs), "confusion cells")
+    counted = collect_bounded(confusion_counts(pairs), "confusion cells", max_labels**2)
     if not counted:
         raise ValueError("nothing to evaluate")
     counts = pairs.sparkSession.createDataFrame(counted, "truth string, prediction string, n long")
     seen = sorted({r["truth"] for r in counted} | {r["prediction"] for r in counted})
     labels = [str(x) for x in label_names] if label_names else seen
+    if len(labels) > max_labels:
+        raise ValueError(f"more than {max_labels} labels")
     if not set(seen) <= set(labels):
         raise ValueError(f"label_names lacks {sorted(set(seen) - set(labels))}")
     metrics = classification_metrics(counts).first().asDict()
@@ -68,14 +84,21 @@ def evaluate_classification(
 def print_classification(pairs: DataFrame, label_names: Sequence[str] | None = None) -> dict:
     """:func:`evaluate_classification` with the report printed and nothing saved."""
     metrics = evaluate_classification(pairs, label_names)
-    print(format_report(classification_report(confusion_counts(pairs)).collect()))
+    print(format_report(_as_rows(metrics["classification_report"])))
     return metrics
 
 
-def evaluate_ner(pairs: DataFrame, output_dir: str | None = None, prefix: str = "") -> dict:
-    """Token accuracy and span scores of ``id, truth, prediction`` tag arrays."""
-    report = ner_report(pairs).collect()
-    metrics = token_accuracy(pairs).first().asDict() | ner_metrics(pairs).first().asDict()
+def evaluate_ner(
+    pairs: DataFrame, output_dir: str | None = None, prefix: str = "", max_types: int = MAX_LABELS
+) -> dict:
+    """Token accuracy and span scores of ``id, truth, prediction`` tag arrays, from one pass over them."""
+    rows = collect_bounded(ner_tally(pairs), "entity types", max_types)
+    tallies = pairs.sparkSession.createDataFrame(rows, "label string, support long, predicted long, correct long")
+    spans = tallies.where("label IS NOT NULL")
+    tokens = next((r for r in rows if r["label"] is None), None)
+    accuracy = tokens["correct"] / tokens["support"] if tokens and tokens["support"] else 0.0
+    report = report_rows(label_scores(spans), accuracy=False).collect()
+    metrics = {"accuracy": accuracy} | micro_scores(spans).first().asDict()
     metrics["per_entity"] = _as_dict(report)
     metrics["report_string"] = format_report(report)
     _save(pairs, metrics, output_dir, f"{prefix}ner_report.json")

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +14,11 @@ from nassaj.functions.clean import CleanConfig
 from nassaj.functions.tokens import TextProcessor, stopword_list
 from nassaj.operators import hooks
 from nassaj.operators.extract import extractive_summary
+from nassaj.operators.gazetteer import gazetteer_entities
 from nassaj.operators.pairing import pair, pick_column
 from nassaj.operators.sequences import check_pairs, check_tagged, prepare_summary_pairs, prepare_tagged
 from nassaj.operators.split import validation_flag
+from nassaj.operators.stoplists import normal_words, remove_listed_tokens
 from nassaj.operators.tfidf import TfidfModel
 from nassaj.plans.classify import Classifier, train_text_classification
 from nassaj.plans.evaluate import evaluate_classification, evaluate_ner, evaluate_summarization
@@ -45,17 +48,26 @@ def preprocess(
     stopwords_path: str | None = None,
     normalize_stopwords: bool = False,
     output_type: str = "parquet",
+    reader_options: Mapping | None = None,
 ) -> None:
     """Clean and tokenize a corpus; every input column is kept.
 
-    A text file gives one document per line. One narrow stage, whatever the size.
-    ``normalize_stopwords`` rewrites the letters of the stopwords as cleaning does.
+    A text file gives one document per line. One narrow stage, whatever the size; a stopword file, of
+    any length, adds a join of the distinct tokens. ``normalize_stopwords`` rewrites the letters of the
+    stopwords as cleaning does. ``reader_options`` go to the reader of the input.
     """
-    custom: Iterable[str] = read_stopwords(spark, stopwords_path) if stopwords_path else ()
-    corpus = read_any(spark, input_path)
+    corpus = read_any(spark, input_path, **(reader_options or {}))
     config = CleanConfig.of(config)
-    processor = TextProcessor(config, stopword_list(custom, normalize_stopwords, config))
-    result = processor.run_on_dataframe(corpus, text_column, remove_stops, apply_stemming)
+    processor = TextProcessor(config, stopword_list((), normalize_stopwords, config))
+    if stopwords_path and remove_stops:
+        words = read_stopwords(spark, stopwords_path)
+        listed = normal_words(words, config) if normalize_stopwords else words
+        tokens = processor.run_on_dataframe(corpus, text_column, True)
+        result = remove_listed_tokens(tokens, listed, "tokens")
+        if apply_stemming:
+            result = result.withColumn("stemmed_tokens", processor.stems(F.col("tokens")))
+    else:
+        result = processor.run_on_dataframe(corpus, text_column, remove_stops, apply_stemming)
     if output_type == "csv":
         save_csv(result, output_path)
     else:
@@ -75,10 +87,15 @@ def train_classifier(
     label_column: str = "label",
     id_col: str = "id",
     hyperparameter_tuning: bool = False,
+    reader_options: Mapping | None = None,
     **params,
 ) -> tuple[Classifier, DataFrame]:
-    """Train on a file; cleaned text is used when the file has it."""
-    df = _with_id(read_any(spark, data_path), id_col)
+    """Train on a file; cleaned text is used when the file has it.
+
+    Rows without an id are numbered by file name and place, so that the split is the same however the
+    files are read.
+    """
+    df = _with_id(read_any(spark, data_path, **(reader_options or {})), id_col)
     text = text_column or ("cleaned_text" if "cleaned_text" in df.columns else "text")
     return train_text_classification(
         df, model_type, text, label_column, id_col, output_dir=output_dir,
@@ -125,12 +142,13 @@ def prepare_seq2seq(
     output_dir: str,
     encode: Callable[[Column], Column],
     val_path: str | None = None,
+    reader_options: Mapping | None = None,
     **lengths,
 ) -> None:
     """Padded id rows for a summarizer; ``encode`` maps text to its piece ids."""
 
     def ready(path: str) -> DataFrame:
-        df = check_pairs(_with_id(read_summary_pairs(spark, path), "id"))
+        df = check_pairs(_with_id(read_summary_pairs(spark, path, **(reader_options or {})), "id"))
         df = df.withColumns({"input_ids": encode(F.col("text")), "target_ids": encode(F.col("summary"))})
         return prepare_summary_pairs(df, **lengths).drop("target_ids")
 
@@ -148,11 +166,13 @@ def batch_process(
     batch_size: int = fixed.BATCH_SIZE,
     output_path: str | None = None,
     output_type: str | None = None,
+    gazetteer: DataFrame | None = None,
 ) -> DataFrame:
     """Predict for every row of ``df`` and optionally save.
 
     Classification needs a loaded classifier; the other tasks run ``model_factory``.
-    Without one, summaries are extracted from the texts themselves.
+    Without one, entities are the phrases of ``gazetteer`` (``phrase, entity_type``), and
+    summaries are extracted from the texts themselves.
     """
     _check_task(task)
     text = F.col(text_col)
@@ -162,9 +182,16 @@ def batch_process(
         output = "label" if return_proba else "prediction"
         result = classifier.predict(df, text_col, return_proba, output)
     elif task == "ner":
-        if model_factory is None:
-            raise RuntimeError("NER model not loaded. Pass a model factory.")
-        result = df.withColumn("entities", hooks.tagger(model_factory, aggregation_strategy, batch_size)(text))
+        if model_factory is not None:
+            result = df.withColumn("entities", hooks.tagger(model_factory, aggregation_strategy, batch_size)(text))
+        elif gazetteer is not None:
+            keyed = _with_id(df, "id")
+            found = gazetteer_entities(keyed, gazetteer, "id", text_col, strategy=aggregation_strategy)
+            result = keyed.join(found, "id", "left").withColumn(
+                "entities", F.coalesce("entities", F.array().cast(found.schema["entities"].dataType))
+            )
+        else:
+            raise RuntimeError("NER model not loaded. Pass a model factory or a gazetteer.")
     elif model_factory is not None:
         result = df.withColumn("summary", hooks.summarizer(model_factory, batch_size)(text))
     else:
@@ -187,21 +214,28 @@ def infer(
     model_path: str | None = None,
     model_factory: hooks.ModelFactory | None = None,
     batch_size: int = fixed.BATCH_SIZE,
+    model_type: str | None = None,
+    gazetteer_path: str | None = None,
+    reader_options: Mapping | None = None,
     **options,
 ) -> DataFrame | None:
-    """Load the model, read texts, predict, save. No input means no output."""
+    """Load the model, read texts, predict, save. No input means no output.
+
+    ``model_type`` chooses where ``model_path`` holds more than one classifier.
+    """
     _check_task(task)
     classifier = None
     if task == "classification":
         if model_path is None:
             raise ValueError("classification needs model_path")
-        classifier = Classifier.load(spark, model_path)
-    df, text_col = read_inference_input(spark, input_path)
+        classifier = Classifier.load(spark, model_path, model_type)
+    gazetteer = read_any(spark, gazetteer_path) if gazetteer_path else None
+    df, text_col = read_inference_input(spark, input_path, **(reader_options or {}))
     if df.isEmpty():
         logger.warning("No input texts found in %s", input_path)
         return None
     return batch_process(df, task, text_col, classifier, model_factory,
-                         batch_size=batch_size, output_path=output_path, **options)
+                         batch_size=batch_size, output_path=output_path, gazetteer=gazetteer, **options)
 
 
 def _paired(truth: DataFrame, prediction: DataFrame, id_col: str, by_position: bool, t: str, p: str,
@@ -225,28 +259,33 @@ def evaluate(
     prediction_column: str = "prediction",
     by_position: bool = False,
     prefix: str = "",
+    model_type: str | None = None,
+    label_names: Sequence[str] | None = None,
+    reader_options: Mapping | None = None,
 ) -> dict:
     """Score stored predictions, or a classifier's, against a labelled file.
 
-    Rows are paired by ``id_col``; ``by_position`` pairs two single files line by
-    line instead.
+    Rows are paired by ``id_col``; ``by_position`` pairs them by their place instead, in the order of
+    the files' names and of the rows in them. ``model_type`` chooses between classifiers,
+    ``label_names`` orders the confusion matrix.
     """
     _check_task(task)
+    read = partial(read_any, spark, **(reader_options or {}))
     if task == "classification":
         if not prediction_path and not model_path:
             raise ValueError("Either model_path or prediction_path is required for classification.")
-        truth = read_any(spark, input_path)
+        truth = read(input_path)
         label = pick_column(truth, label_column, 1)
         if prediction_path:
-            predicted = read_any(spark, prediction_path)
+            predicted = read(prediction_path)
             column = pick_column(predicted, prediction_column, 1)
             pairs = _paired(truth, predicted, id_col, by_position, label, column)
         else:
             text = pick_column(truth, text_column, 0)
-            pairs = Classifier.load(spark, model_path).predict(truth, text, output_col="_predicted").select(
+            pairs = Classifier.load(spark, model_path, model_type).predict(truth, text, output_col="_predicted").select(
                 F.col(label).cast("string").alias("truth"), F.col("_predicted").alias("prediction")
             )
-        return evaluate_classification(pairs, output_dir=output_dir, prefix=prefix)
+        return evaluate_classification(pairs, label_names, output_dir=output_dir, prefix=prefix)
     if not prediction_path:
         raise ValueError(f"prediction_path is required for {task}.")
     if task == "ner":
@@ -254,7 +293,7 @@ def evaluate(
         truth, predicted = read_tagged(spark, input_path, key), read_tagged(spark, prediction_path, key)
         pairs = _paired(truth, predicted, id_col, by_position, "tags", "tags", None)
         return evaluate_ner(pairs, output_dir, prefix)
-    truth, predicted = read_any(spark, input_path), read_any(spark, prediction_path)
+    truth, predicted = read(input_path), read(prediction_path)
     reference = label_column if label_column in truth.columns else "summary"
     hypothesis = prediction_column if prediction_column in predicted.columns else "summary"
     pairs = _paired(truth, predicted, id_col, by_position, reference, hypothesis)

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pathlib import PurePosixPath
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nassaj.functions import fixed
 from nassaj.operators.pairing import first_known
-from nassaj.operators.sizes import collect_bounded
 
 FILE_TYPES = ("csv", "json", "jsonl", "txt", "parquet")
 TAGGED = T.StructType([
@@ -26,26 +25,20 @@ def strip(c: Column) -> Column:
 
 
 def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
-    """Number rows 0, 1, .. in file order without moving them.
+    """Number rows 0, 1, .. in the order of their files' names and of their places in them.
 
-    Counts the rows of each input partition in a first pass; needs an input whose
-    partitions are the same in both passes, as files have.
+    For tables read from files. The numbers do not depend on how the files are split. A first pass
+    counts the rows of each block that a task reads at once; one row per block is all that is put in order.
     """
-    placed = df.withColumn("_at", F.monotonically_increasing_id())
-    part = F.shiftright("_at", 33)
-    sizes = placed.groupBy(part.alias("p")).count().orderBy("p").collect()
-    starts, total = [], 0
-    for r in sizes:
-        starts.append((r["p"], total))
-        total += r["count"]
-    offsets = df.sparkSession.createDataFrame(starts, "_part long, _start long")
-    # One row per input partition.
-    return (
-        placed.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
-        .select(name, *df.columns)
-    )
+    placed = df.select(
+        "*", F.monotonically_increasing_id().alias("_at"), F.input_file_name().alias("_file"),
+        F.input_file_block_start().alias("_block"),
+    ).withColumn("_part", F.shiftright("_at", 33))
+    at = ["_file", "_block", "_part"]
+    blocks = placed.groupBy(*at).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy(*at).rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select(*at, (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return placed.join(starts, at).withColumn(name, F.col("_at") + F.col("_shift")).select(name, *df.columns)
 
 
 def read_text(
@@ -67,13 +60,19 @@ load_text_data = read_text
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: str | T.StructType | None = None, multiline: bool = True, **options
+    spark: SparkSession, path: str, schema: str | T.StructType | None = None, multiline: bool = False,
+    check_quotes: bool = True, **options,
 ) -> DataFrame:
     """CSV with a header; all columns are strings unless ``schema`` says otherwise.
 
-    Quoted line breaks need ``multiline``, which reads each file in one task; set
-    it off for large files without them.
+    Large files are read in parallel pieces. Line breaks inside quotes need ``multiline``, which reads
+    each file in one task; without it a line with an open quote raises, found by a pass over the lines
+    that ``check_quotes=False`` leaves out.
     """
+    if check_quotes and not multiline:
+        quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+        if not spark.read.text(path).where(quotes % 2 == 1).isEmpty():
+            raise ValueError(f"{path} has a quoted line break or an open quote; pass multiline=True")
     reader = spark.read.options(**options)
     if schema is not None:
         reader = reader.schema(schema)
@@ -129,36 +128,32 @@ def with_summary_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def read_summary_pairs(spark: SparkSession, path: str) -> DataFrame:
+def read_summary_pairs(spark: SparkSession, path: str, **options) -> DataFrame:
     """Text and summary pairs from CSV, JSON or JSON Lines."""
     kind = _extension(path)
     if kind == "csv":
-        df = read_csv(spark, path)
+        df = read_csv(spark, path, **options)
         missing = [c for c in ("text", "summary") if c not in df.columns]
         if missing:
             raise ValueError(f"no column {', '.join(missing)} in {path}")
         return with_summary_columns(df)
-    return with_summary_columns((read_json if kind == "json" else read_jsonl)(spark, path))
+    return with_summary_columns((read_json if kind == "json" else read_jsonl)(spark, path, **options))
 
 
-def read_inference_input(spark: SparkSession, path: str) -> tuple[DataFrame, str]:
+def read_inference_input(spark: SparkSession, path: str, **options) -> tuple[DataFrame, str]:
     """A corpus and the name of its text column.
 
     Cleaned text is preferred to raw text when a table has both.
     """
     kind = _extension(path)
     if kind not in ("csv", "parquet"):
-        return read_text(spark, path), "text"
-    df = read_any(spark, path)
+        return read_text(spark, path, **options), "text"
+    df = read_any(spark, path, **options)
     if "cleaned_text" in df.columns:
         return df, "cleaned_text"
     return df, first_known(df, ("text", "content"))
 
 
-def read_stopwords(spark: SparkSession, path: str) -> list[str]:
-    """Extra stopwords, one per line; a missing file raises.
-
-    For a list too long for an expression see ``remove_listed_tokens``.
-    """
-    words = read_text(spark, path).distinct()
-    return sorted(r[0] for r in collect_bounded(words, "stopwords"))
+def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
+    """``word``: extra stopwords, one per line of the file; a missing file raises."""
+    return read_text(spark, path, "word").distinct()

@@ -9,7 +9,6 @@ from __future__ import annotations
 import string
 
 from nassaj.functions import fixed
-from nassaj.workload.queries import CUSTOM_STOPWORDS
 from nassaj.workload.views import ARABIC, LATIN
 
 W = r"[\s\x1c-\x1f\x{85}\p{Z}]"
@@ -89,8 +88,18 @@ def token_query(expression: str) -> str:
     )
 
 
-BUILT_IN = list(fixed.STOPWORDS)
-WITH_CUSTOM = BUILT_IN + CUSTOM_STOPWORDS
+# --- fixed values: the built-in stopwords, and six English ones in the respelling ----
+BUILT_IN = [
+    "في", "من", "إلى", "على", "عن", "مع", "كان", "هذا", "هذه", "ذلك",
+    "تلك", "هو", "هي", "هم", "هن", "أن", "إن", "ما", "لا", "هل",
+    "أي", "كل", "بعض", "لم", "لن", "قد", "لقد", "إنه", "إنها", "حتى",
+    "بعد", "قبل", "عند", "تحت", "فوق", "بين", "خلال", "حول", "حيث", "هناك",
+    "هنا", "ثم", "أو", "و", "ف", "ب", "ل", "ك", "ا", "فقد",
+    "بل", "لكن", "ليس", "ليست", "كن", "تكون", "يكون", "كانت", "كانوا",
+]
+WITH_CUSTOM = BUILT_IN + [
+    "طه", "اند", "ف", "يس", "ن", "شيطه",
+]
 ALL_CLEAN = collapse(numbers(english(punctuation(teh(alef(tatweel(diacritics("text"))))))))
 
 STATS = f"""s AS (
@@ -115,6 +124,31 @@ WEIGHTS = f"""WITH {TERMS}, {VOCABULARY},
 raw AS (SELECT doc_id, term, (1 + ln(n)) * idf AS w FROM counted JOIN fit USING (term))
 SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM raw"""
 
+# A logistic model whose coefficients are stated by each term's length and first letter.
+STATED = f"""{TERMS}, {VOCABULARY},
+raw AS (SELECT doc_id, term, (1 + ln(n)) * idf AS w FROM counted JOIN fit USING (term)),
+unit AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w FROM raw),
+stated AS (
+  SELECT d.doc_id, 1 / (1 + exp(-0.1 - coalesce(sum(w * (((7 * length(term) + unicode(term)) % 11 - 5) / 2.0)), 0))) AS p
+  FROM documents d LEFT JOIN unit USING (doc_id) GROUP BY d.doc_id)"""
+STATED_REPORT = f"""WITH {STATED},
+pairs AS (SELECT quality::VARCHAR AS t, CASE WHEN p > 0.5 THEN '1' ELSE '0' END AS y FROM stated JOIN labels USING (doc_id)),
+names AS (SELECT t AS label FROM pairs UNION SELECT y FROM pairs),
+tally AS (
+  SELECT label, (SELECT count(*) FROM pairs WHERE t = label) AS support, (SELECT count(*) FROM pairs WHERE y = label) AS guessed,
+    (SELECT count(*) FROM pairs WHERE t = label AND y = label) AS hit FROM names),
+scores AS (
+  SELECT label, support, CASE WHEN guessed > 0 THEN hit / guessed ELSE 0 END AS p, CASE WHEN support > 0 THEN hit / support ELSE 0 END AS r
+  FROM tally),
+f AS (SELECT *, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END AS f1 FROM scores),
+n AS (SELECT count(*) AS n, avg((t = y)::INT) AS a FROM pairs),
+rows AS (
+  SELECT label, p, r, f1, support FROM f
+  UNION ALL SELECT 'accuracy', a, a, a, n FROM n
+  UNION ALL SELECT 'macro avg', avg(p), avg(r), avg(f1), sum(support) FROM f
+  UNION ALL SELECT 'weighted avg', sum(p * support) / sum(support), sum(r * support) / sum(support), sum(f1 * support) / sum(support), sum(support) FROM f)
+SELECT label, round(p, 6) AS precision, round(r, 6) AS recall, round(f1, 6) AS f1, support::BIGINT AS support FROM rows"""
+
 # --- tags --------------------------------------------------------------------
 TOKENS = r"""tok AS (
   SELECT doc_id AS id, unnest(string_split(text, ' ')) AS token,
@@ -323,9 +357,9 @@ def seq2seq(fill: str) -> str:
         return f"array_to_string({x}, ' ')"
 
     return f"""WITH {TURNS}, e AS (SELECT id, {lengths('ref')} AS s, {lengths('hyp')} AS t FROM turns)
-SELECT id, {text(padded('s', 64, '0'))} AS input_ids,
-       {text(padded('list_transform(s, lambda q: 1)', 64, '0'))} AS attention_mask,
-       {text(padded('t', 32, fill))} AS labels FROM e"""
+SELECT id, {text(padded('s', 512, '0'))} AS input_ids,
+       {text(padded('list_transform(s, lambda q: 1)', 512, '0'))} AS attention_mask,
+       {text(padded('t', 128, fill))} AS labels FROM e"""
 
 
 # Sentence terms are counted per sentence against the vocabulary of the corpus.
@@ -503,4 +537,9 @@ SELECT round(p, 6) AS precision, round(r, 6) AS recall, round(2 * p * r / (p + r
     "rouge_summary_n": rouge_means("12"),
     "rouge_summary": rouge_means("12L"),
     "paired_eval": """SELECT doc_id AS id, quality::VARCHAR AS truth, toxic::VARCHAR AS prediction FROM labels""",
+    "paired_tables": """SELECT doc_id AS id, quality::VARCHAR AS truth, (n_chars > 500)::INT::VARCHAR AS prediction
+FROM labels JOIN documents USING (doc_id)""",
+    "stated_predictions": f"""WITH {STATED}
+SELECT doc_id, CASE WHEN p > 0.5 THEN '1' ELSE '0' END AS prediction, round(p, 6) AS probability FROM stated""",
+    "stated_report": STATED_REPORT,
 }

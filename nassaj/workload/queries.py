@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.common import _py2java
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -56,7 +60,7 @@ def _tokens(op: Callable[[Column], Column]) -> Query:
 def _by_list(spark, sf):
     words = spark.createDataFrame([(w,) for w in tokens.stopword_list(CUSTOM_STOPWORDS)], "word string")
     docs = views.docs_ar(spark, sf).select("doc_id", tokens.tokenize(cl.clean(F.col("text"))).alias("tokens"))
-    kept = remove_listed_tokens(docs, words, "doc_id")
+    kept = remove_listed_tokens(docs, words)
     return kept.select("doc_id", big(F.size("tokens")).alias("n"), joined("tokens").alias("tokens"))
 
 
@@ -237,7 +241,7 @@ def _seq2seq_ids(mask: bool) -> Query:
         df = views.turn_pairs(spark, sf).select(
             "id", length("truth").alias("input_ids"), length("prediction").alias("target_ids")
         )
-        out = sequences.prepare_summary_pairs(df, max_input_length=64, max_target_length=32, mask_pad=mask)
+        out = sequences.prepare_summary_pairs(df, mask_pad=mask)
         return out.select("id", *[
             joined(F.col(c).cast("array<string>")).alias(c) for c in ("input_ids", "attention_mask", "labels")
         ])
@@ -358,6 +362,38 @@ def _paired(spark, sf):
     return pairs.select("id", "truth", "prediction")
 
 
+def _paired_tables(spark, sf):
+    """Quality labels against a guess from the text, from two tables."""
+    labels = views.table(spark, sf, "labels", "doc_id", "quality")
+    docs = views.table(spark, sf, "documents", "doc_id", "n_chars").join(labels.select("doc_id"), "doc_id", "left_semi")
+    guess = docs.select("doc_id", (F.col("n_chars") > 500).cast("int").alias("guess"))
+    return pairing.pair(labels, guess, "doc_id", "quality", "guess", "string").select("id", "truth", "prediction")
+
+
+def _stated_classifier(spark, docs) -> classify.Classifier:
+    """A model with stated coefficients over the corpus' own TF-IDF weights."""
+    fitted = tfidf.TfidfModel.fit(docs, "text")
+    weights = [((7 * len(t) + ord(t[0])) % 11 - 5) / 2 for t in fitted.terms]
+    java = spark._jvm.org.apache.spark.ml.classification.LogisticRegressionModel(
+        "stated", _py2java(spark.sparkContext, Vectors.dense(weights)), 0.1
+    )
+    model = LogisticRegressionModel(java)
+    return classify.Classifier("logistic_regression", ["0", "1"], fitted, PipelineModel([model]))
+
+
+def _stated_predictions(spark, sf):
+    docs = views.documents(spark, sf)
+    out = _stated_classifier(spark, docs).predict(docs, "text", return_proba=True)
+    return out.select("doc_id", "prediction", F.round(F.col("probabilities")["1"], 6).alias("probability"))
+
+
+def _stated_report(spark, sf):
+    model = _stated_classifier(spark, views.documents(spark, sf))
+    pairs = model.predict(views.labelled(spark, sf), "text").select(F.col("label").alias("truth"), "prediction")
+    report = metrics.classification_report(metrics.confusion_counts(pairs))
+    return _rounded(report, "precision", "recall", "f1")
+
+
 QUERIES: dict[str, Query] = {
     "clean_default": _cleaned(None),
     "clean_all_flags": _cleaned(ALL_FLAGS),
@@ -430,4 +466,7 @@ QUERIES: dict[str, Query] = {
     "rouge_summary_n": _rouge_summary("rouge1", "rouge2"),
     "rouge_summary": _rouge_summary("rouge1", "rouge2", "rougeL"),
     "paired_eval": _paired,
+    "paired_tables": _paired_tables,
+    "stated_predictions": _stated_predictions,
+    "stated_report": _stated_report,
 }

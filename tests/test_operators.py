@@ -317,15 +317,14 @@ def brute_gazetteer(text, phrases):
 
 
 @pytest.mark.parametrize("listed", [20_000, 0])
-def test_gazetteer(spark, monkeypatch, listed):
-    monkeypatch.setattr(gazetteer, "_LISTED_HEADS", listed)
+def test_gazetteer(spark, listed):
     rng = random.Random(5)
     texts = [" ".join(rng.choice("abc") for _ in range(rng.randint(0, 25))) for _ in range(20)]
     phrases = [("a", "ONE"), ("a b", "TWO"), ("b c a", "THREE"), ("a b c a b", "FIVE"), ("c c", "CC"), (" ", "NONE")]
     docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
     known = spark.createDataFrame(phrases, "phrase string, entity_type string")
     got = defaultdict(set)
-    for r in gazetteer.gazetteer_tags(docs, known).collect():
+    for r in gazetteer.gazetteer_tags(docs, known, listed_heads=listed).collect():
         got[r["id"]].add((r["pos"], r["token"], r["tag"]))
     kept = [p for p in phrases if p[0].strip()]
     assert {i: got[i] for i in range(20)} == {i: brute_gazetteer(t, kept) for i, t in enumerate(texts)}
@@ -427,10 +426,20 @@ def test_hook_checks_result_count(spark):
 
 # --- sizes ----------------------------------------------------------------------
 
-def test_broadcast_is_checked(spark):
-    small, big = spark.range(3), spark.range(100)
-    assert sizes.broadcast_if_small(big, 10) is big
-    assert sizes.broadcast_if_small(small, 10) is not small
+def test_kept_tables_go_at_the_end(spark, tmp_path):
+    df = spark.range(5)
+    with sizes.kept(df, str(tmp_path)) as written:
+        assert written.count() == 5 and len(list(tmp_path.iterdir())) == 1
+    assert not list(tmp_path.iterdir())
+    with sizes.kept(df) as cached:
+        assert cached.count() == 5 and cached.storageLevel.useMemory
+    assert not df.storageLevel.useMemory
+
+
+def test_collect_is_bounded(spark):
+    assert len(sizes.collect_bounded(spark.range(5), "rows", 5)) == 5
+    with pytest.raises(ValueError, match="more than 4 rows"):
+        sizes.collect_bounded(spark.range(5), "rows", 4)
 
 
 def test_spread(spark):
