@@ -41,10 +41,14 @@ ASIDE = frozenset(
 )
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
 ASIDE_NAMES = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion sidebar menu nav navbar navigation "
-    "breadcrumb breadcrumbs footer masthead comment comments respond disqus cookie cookies consent notice notices gdpr "
-    "newsletter subscribe popup modal related share sharing social toolbar widget".split()
+    "ad ads adbox adslot adsense adsbygoogle advert adverts advertisement advertisements advertising sponsor sponsored promo "
+    "promotion banner sidebar aside menu menubar nav navbar navigation topbar toolbar breadcrumb breadcrumbs pagination pager "
+    "footer masthead comment comments commentlist reply replies respond disqus cookie cookies consent gdpr notice notices alert "
+    "announcement newsletter subscribe subscription signup login popup modal overlay related recommended recommendations "
+    "trending share sharing social widget widgets copyright".split()
 )
+#: Words that turn a name into a remark about the page, as in ``has-sidebar``.
+REMARKS = frozenset("no has with without".split())
 ARTICLE = frozenset(("article", "main"))
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*+)>""")
@@ -71,8 +75,13 @@ def _is_aside(name: str, attributes: str, in_article: bool) -> bool:
         elif key == "aria-hidden":
             if value == "true":
                 return True
-        elif not ASIDE_NAMES.isdisjoint(re.split(r"[^a-z0-9]+", value)):
-            return True
+        else:
+            for one in value.split():
+                words = re.split(r"[^a-z0-9]+", one)
+                if REMARKS.isdisjoint(words) and (
+                    not ASIDE_NAMES.isdisjoint(words) or "header" in words and not in_article
+                ):
+                    return True
     return bool(_HIDDEN.search(re.sub(r"\"[^\"]*\"|'[^']*'", "", rest).replace("aria-hidden", "")))
 
 

@@ -142,6 +142,8 @@ def test_main_text(spark):
         3: (None, ""), 4: ("", ""), 5: ("<html><body></body>", ""), 6: ("just text", "just text"),
         7: ("<main><p>a < b &lt; c &#233;</p><script>var x='</p>';</script><p hidden>no</p><form><p>f</p></form></main>", "a < b < c é"),
         8: ("<article>" + "".join(f"<p>{escape('<x> ' + str(k))}</p>" for k in range(3000)), "\n".join(f"<x> {k}" for k in range(3000))),
+        11: (f"<div class='page has-sidebar'><div class='site-header'><p>{p}</p></div><p>{p}</p><p class='note cookie-banner'>{p}</p></div>", p),
+        12: (f"<article><header><h1>T</h1></header><p>{p}<section class='reader-comments'><article><p>{p}</p></article></section></article>", f"T\n{p}"),
         9: ("<!-- <article>no</article> --><p>one", "one"), 10: ("<p>open <b attr='", "open <b attr='"),
     }
     df = spark.createDataFrame([(k, h) for k, (h, _) in pages.items()], "page_id long, html string")
