@@ -235,7 +235,8 @@ def _join_pieces(path: str):
 
 def encode(docs: DataFrame, key: str, text: str, path: str, piece_chars: int = PIECE_CHARS) -> DataFrame:
     """``key, ids`` of every row. Rows that agree in key and text share their pieces and are given back as often as they came."""
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    # Keys go through Python as text: numbers with nulls among them would lose digits there.
+    rows = docs.select(F.col(key).cast("string").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     short = rows.where(F.length("text") <= piece_chars).select("key", encode_column("text", path).alias("ids"))
     starts = F.sequence(F.lit(0), F.floor((F.length("text") - 1) / piece_chars).cast("int"))
     pieces = (
@@ -246,4 +247,4 @@ def encode(docs: DataFrame, key: str, text: str, path: str, piece_chars: int = P
     schema = T.StructType([*pieces.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
     many = pieces.repartition(F.col("key"), F.col("digest"), F.col("no")).mapInPandas(_encode_pieces(path), schema)
     joined = many.groupBy("key", "digest").applyInPandas(_join_pieces(path), T.StructType([rows.schema["key"], schema["ids"]]))
-    return short.unionByName(joined).select(F.col("key").alias(key), "ids")
+    return short.unionByName(joined).select(F.col("key").cast(docs.schema[key].dataType).alias(key), "ids")

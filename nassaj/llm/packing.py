@@ -163,8 +163,9 @@ def pack(
     The ids are written once to the shared folder; sums over the written parts, one row for each
     source and part, give each part its place in the queues.
     """
+    # Keys go through Python as text: numbers with nulls among them would lose digits there.
     rows = docs.select(
-        F.col(key).alias("key"), F.col(source).cast("string").alias("source"), F.col(text).alias("text"),
+        F.col(key).cast("string").alias("key"), F.col(source).cast("string").alias("source"), F.col(text).alias("text"),
         F.spark_partition_id().alias("part"),
     )
     ids_schema = T.StructType([
@@ -183,5 +184,5 @@ def pack(
     placed = ids.join(bases, F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p"))).select(
         "key", "source", "ids", "n", (F.col("base") + F.col("before")).alias("at")
     )
-    schema = T.StructType([rows.schema["key"], *T._parse_datatype_string(PIECES).fields])
-    return placed.mapInPandas(_place(mixture, length), schema).withColumnRenamed("key", key)
+    pieces = placed.mapInPandas(_place(mixture, length), "key string, " + PIECES)
+    return pieces.withColumn("key", F.col("key").cast(docs.schema[key].dataType)).withColumnRenamed("key", key)

@@ -48,7 +48,8 @@ def test_whole_and_tree_agree_with_the_library(path, library):
 
 
 def test_rows_come_back_as_they_were(spark, path, library):
-    rows = [(1, "a b c " * 50), (1, "a b c " * 50), (1, "other"), (2, None), (None, "x" * 300), (3, ""), (4, "über\n\n<|endoftext|> 's" * 40)]
+    far = 2**62 + 1
+    rows = [(1, "a b c " * 50), (1, "a b c " * 50), (1, "other"), (2, None), (None, "x" * 300), (far, "y" * 99), (3, ""), (4, "über\n\n<|endoftext|> 's" * 40)]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "7 AS ids", "'k' AS key", "1 AS no", "2 AS piece")
     out = bpe.encode(df, "doc_id", "text", path, piece_chars=64)
     assert out.columns == ["doc_id", "ids"]
@@ -120,3 +121,5 @@ def test_packing_is_gapless_and_true(spark, path, library):
             assert r["doc_tokens"] == len(ids)
             assert r["ids_crc32"] == zlib.crc32(ids[r["start"] : r["start"] + r["length"]].tobytes())
     assert packing.pack(df.limit(0), path).count() == 0
+    odd = spark.createDataFrame([(None, "s", "a"), (2**62 + 1, None, "b")], "doc_id long, source string, text string")
+    assert {r["doc_id"] for r in packing.pack(odd.coalesce(1), path).collect()} == {None, 2**62 + 1}
