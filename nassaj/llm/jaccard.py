@@ -4,7 +4,8 @@ A document's set is its distinct n-word shingles, ASCII letters lowered, as 64-b
 words than n the whole sequence is the one shingle; without words, or with null text, the set is
 empty and links with nothing. Documents link when ``100 * common >= percent * union``.
 
-1. Every set gets a 128-bit digest; equal sets are one node from here on, however many rows hold it.
+1. Every set gets a 64-bit digest, its node; equal sets are one node from here on, however many rows hold
+   it. Two different sets share a digest once in 2^64 pairs.
    The same pass counts all shingles into a sketch of ``SKETCH`` counters, of one size for any input.
 2. Shingles are ordered by count, rare first, ties by hash. Two sets that link share a shingle among
    their first ``size - ceil(percent * size) + 1``; only these are shuffled. A shingle with one node
@@ -57,15 +58,15 @@ def shingles(text: str | None, n: int) -> np.ndarray:
     return np.unique(h)
 
 
-def digest(hashes: np.ndarray) -> bytes:
-    return xxhash.xxh3_128_digest(hashes.tobytes())
+def digest(hashes: np.ndarray) -> int:
+    return xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63)
 
 
 def _profile(hashes: np.ndarray) -> np.ndarray:
     return np.bincount((hashes >> np.uint64(58)).astype(np.int64), minlength=BINS)
 
 
-_SUMMARY = "key bigint, n bigint, node binary, bins array<int>, chunk int, counts binary"
+_SUMMARY = "key string, n bigint, node bigint, bins array<int>, chunk int, counts binary"
 
 
 def _summarise(n: int):
@@ -78,7 +79,7 @@ def _summarise(n: int):
             for key, text in zip(df["key"], df["text"], strict=True):
                 h = shingles(text, n)
                 np.add.at(counts, (h & np.uint64(SKETCH - 1)).astype(np.int64), 1)
-                rows.append((key, len(h), digest(h) if len(h) else None, _profile(h) if len(h) else None, None, None))
+                rows.append((key, len(h), digest(h), _profile(h), None, None))
             yield pd.DataFrame(rows, columns=["key", "n", "node", "bins", "chunk", "counts"])
         if counts.any():
             parts = counts.reshape(-1, CHUNK)
@@ -105,25 +106,25 @@ def _prefixes(n: int, percent: int, sketch):
     """The first shingles of each set in the common order, with their places."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: set[bytes] = set()
+        seen: set[int] = set()
         for df in batches:
             keys, nodes, sizes, places = [], [], [], []
             for text in df["text"]:
                 h = shingles(text, n)
-                node = digest(h) if len(h) else None
-                if node is None or node in seen:
+                node = digest(h)
+                if not len(h) or node in seen:
                     continue
                 if len(seen) < 1_000_000:  # only spares sending a node twice
                     seen.add(node)
                 order = np.lexsort((h, sketch.value[(h & np.uint64(SKETCH - 1)).astype(np.int64)]))
                 first = order[: len(h) - (percent * len(h) + 99) // 100 + 1]
                 keys.append(h[first].view(np.int64))
-                nodes += [node] * len(first)
+                nodes.append(np.full(len(first), node))
                 sizes.append(np.full(len(first), len(h)))
                 places.append(np.arange(len(first)))
             if keys:
                 yield pd.DataFrame({
-                    "shingle": np.concatenate(keys), "node": nodes, "n": np.concatenate(sizes), "pos": np.concatenate(places),
+                    "shingle": np.concatenate(keys), "node": np.concatenate(nodes), "n": np.concatenate(sizes), "pos": np.concatenate(places),
                 })
 
     return run
@@ -166,15 +167,17 @@ def _overlap_bound(a: str, b: str):
 class _Join:
     def __init__(self, docs: DataFrame, n: int, percent: int) -> None:
         self.docs, self.n, self.percent, self.spark = docs, n, percent, docs.sparkSession
-        summary = stage(docs.mapInPandas(_summarise(n), _SUMMARY), "jaccard-summary")
-        self.rows = summary.where("chunk IS NULL").select("key", "n", "node", "bins")
+        # Ids go through Python as text: numbers with nulls among them would lose digits there.
+        named = docs.select(F.col("key").cast("string").alias("key"), "text")
+        summary = stage(named.mapInPandas(_summarise(n), _SUMMARY), "jaccard-summary")
+        self.rows = summary.where("chunk IS NULL").select(F.col("key").cast("bigint").alias("key"), "n", "node", "bins")
         parts = summary.where("chunk IS NOT NULL").select("chunk", "counts")
         sums = parts.repartition("chunk").mapInPandas(_add_up, "chunk int, counts binary").collect()
         table = np.zeros(SKETCH, np.uint8)
         for chunk, counts in sums:  # SKETCH bytes, whatever the input
             table[chunk * CHUNK : (chunk + 1) * CHUNK] = np.frombuffer(counts, np.uint8)
         self.sketch = self.spark.sparkContext.broadcast(table)
-        grouped = self.rows.where("node IS NOT NULL").groupBy("node")
+        grouped = self.rows.where("n > 0").groupBy("node")
         self.nodes = stage(grouped.agg(F.min("key").alias("rep"), F.first("n").alias("n"), F.first("bins").alias("bins")), "jaccard-nodes")
 
     def shared(self) -> DataFrame:
@@ -184,7 +187,7 @@ class _Join:
         of near copies it is the one that the others were made from, or the closest to it.
         """
         rows = self.docs.select("text").mapInPandas(
-            _prefixes(self.n, self.percent, self.sketch), "shingle bigint, node binary, n int, pos int"
+            _prefixes(self.n, self.percent, self.sketch), "shingle bigint, node bigint, n int, pos int"
         )
         same = Window.partitionBy("shingle")
         wide = rows.withColumns({
@@ -207,14 +210,14 @@ class _Join:
         if wanted.count() <= BROADCAST_ROWS:
             wanted = F.broadcast(wanted)
         texts = self.docs.join(wanted, "key", "left_semi").where("text IS NOT NULL").select("text")
-        sets = texts.mapInPandas(_sets(self.n), "node binary, hashes binary")
+        sets = texts.mapInPandas(_sets(self.n), "node bigint, hashes binary")
         sets = stage(sets.groupBy("node").agg(F.first("hashes").alias("hashes")), "jaccard-sets")
         both = (
             open_.select("x", "y")
             .join(sets.select(F.col("node").alias("x"), F.col("hashes").alias("hx")), "x")
             .join(sets.select(F.col("node").alias("y"), F.col("hashes").alias("hy")), "y")
         )
-        return stage(both.mapInPandas(_verify(self.percent), "x binary, y binary"), "jaccard-links")
+        return stage(both.mapInPandas(_verify(self.percent), "x bigint, y bigint"), "jaccard-links")
 
     def run(self) -> DataFrame:
         shared = self.shared()
@@ -231,13 +234,14 @@ class _Join:
         named = stage(labels.join(smallest, "label").select("node", "component"), "jaccard-named")
         found = self.nodes.select("node", "rep").join(named, "node", "left")
         found = found.select("node", F.coalesce("component", "rep").alias("component"))
-        return self.rows.select("key", "n", "node").join(found, "node", "left").select(
+        rows = self.rows.select("key", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"))
+        return rows.join(found, "node", "left").select(
             "key", F.col("n").alias("n_shingles"), F.coalesce("component", "key").alias("component_id")
         )
 
     def left_over(self, shared: DataFrame, labels: DataFrame) -> DataFrame:
         """Pairs across components that share a prefix shingle, smaller node first."""
-        part = shared.drop("pivot").distinct().join(labels, "node", "left")
+        part = shared.drop("pivot").join(labels, "node", "left")
         part = part.select("shingle", "node", "n", "pos", F.coalesce("label", "node").alias("part"))
         same = Window.partitionBy("shingle")
         wide = part.withColumn("low", F.min("part").over(same)).withColumn("high", F.max("part").over(same))

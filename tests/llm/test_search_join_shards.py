@@ -113,9 +113,10 @@ def test_join_of_a_large_group(spark):
 def test_join_of_nothing_and_repeats(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.jaccard_components(df).collect() == []
-    df = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (None, "q"), (2, None)], "doc_id long, text string")
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "q"), (2, None), (2**62 + 1, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     assert sorted((str(r[0]), r[1], str(r[2])) for r in jaccard.jaccard_components(df).collect()) == [
-        ("1", 2, "1"), ("1", 2, "1"), ("2", 0, "2"), ("None", 1, "None"),
+        ("1", 2, "1"), ("1", 2, "1"), ("2", 0, "2"), (str(2**62 + 1), 1, str(2**62 + 1)), ("None", 1, "None"),
     ]
 
 
