@@ -77,30 +77,30 @@ def summary(c: Column) -> Column:
 def corpus_summary(df: DataFrame, text_column: str, by: str) -> DataFrame:
     """The statistics of every group of texts, including its distinct words.
 
-    Words are reduced to the distinct ones of their text before the shuffle, and
-    distinct words are exchanged by (group, word), so one large group is spread
-    over all tasks.
+    Texts are read once. Words are reduced to the distinct ones of their text before the shuffle,
+    and exchanged by (group, word), so one large group is spread over all tasks; the texts' own
+    sums travel with them, added up in each task first.
     """
     text = F.col(text_column)
-    per_text = df.select(F.col(by), tokenize(text).alias("words"), _letters(text).alias("letters"),
+    per_text = df.select(F.col(by).alias("_by"), tokenize(text).alias("words"), _letters(text).alias("letters"),
                          char_count(text).alias("chars"), arabic_char_ratio(text).alias("arabic"))
-    totals = per_text.groupBy(by).agg(
-        F.count(F.lit(1)).alias("documents"),
-        F.sum(F.size("words")).alias("words"),
-        F.sum("chars").alias("chars"),
-        _ratio(F.sum("letters"), F.sum(F.size("words"))).alias("avg_word_length"),
-        F.avg("arabic").alias("avg_arabic_char_ratio"),
-    )
-    vocabulary = (
-        unnest(per_text, F.array_distinct("words"), by, name="word")
-        .distinct()
-        .groupBy(by)
-        .agg(F.count(F.lit(1)).alias("unique_words"))
-    )
-    return (
-        totals.join(vocabulary, totals[by].eqNullSafe(vocabulary[by]), "left")
-        .select(totals[by], "documents", "words", "chars", "avg_word_length",
-                "avg_arabic_char_ratio",
-                F.coalesce("unique_words", F.lit(0)).alias("unique_words"))
-        .withColumn("lexical_diversity", _ratio(F.col("unique_words"), F.col("words")))
+    # One row with the text's own sums, and one without for each of its words.
+    nothing = F.lit(None).cast("bigint")
+    own = F.struct(
+        F.lit(None).cast("string").alias("word"), F.size("words").cast("bigint").alias("n_words"),
+        F.col("letters").cast("bigint").alias("n_letters"), F.col("chars").cast("bigint").alias("n_chars"),
+        F.col("arabic").cast("double").alias("n_arabic"),
     )
+    words = F.transform(F.array_distinct("words"), lambda w: F.struct(
+        w.alias("word"), nothing.alias("n_words"), nothing.alias("n_letters"), nothing.alias("n_chars"),
+        F.lit(None).cast("double").alias("n_arabic"),
+    ))
+    sums = ("n_words", "n_letters", "n_chars", "n_arabic")
+    rows = unnest(per_text, F.concat(F.array(own), words), "_by", name="w").select("_by", "w.*")
+    by_word = rows.groupBy("_by", "word").agg(F.count("n_words").alias("documents"), *[F.sum(c).alias(c) for c in sums])
+    return by_word.groupBy("_by").agg(
+        F.sum("documents").alias("documents"), F.sum("n_words").alias("words"), F.sum("n_chars").alias("chars"),
+        _ratio(F.sum("n_letters"), F.sum("n_words")).alias("avg_word_length"),
+        (F.sum("n_arabic") / F.sum("documents")).alias("avg_arabic_char_ratio"),
+        F.count("word").alias("unique_words"),
+    ).withColumn("lexical_diversity", _ratio(F.col("unique_words"), F.col("words"))).withColumnRenamed("_by", by)
