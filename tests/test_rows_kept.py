@@ -9,7 +9,7 @@ from nassaj.operators import gazetteer, metrics, pairing, roc, sequences, spans,
 from nassaj.operators.stoplists import remove_listed_tokens
 from nassaj.operators.tfidf import TfidfModel
 from nassaj.plans import evaluate, jobs
-from nassaj.plans.classify import Classifier
+from nassaj.plans.classify import Classifier, train_text_classification
 from nassaj.sources import readers
 from tests.conftest import plan_of
 
@@ -138,6 +138,20 @@ def test_two_models_in_one_folder(spark, tmp_path):
     assert "Python" not in plan_of(model.predict(spark.createDataFrame([("team goal",)], "text string")))
 
 
+def test_training_reads_the_texts_once(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(text):
+        read.add(1)
+        return text
+
+    rows = [(i, " ".join(list(WORDS.values())[i % 2].split()[: 2 + i % 3]), list(WORDS)[i % 2]) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, text string, label string").select("id", seen("text").alias("text"), "label")
+    model, _ = train_text_classification(df, "logistic_regression", staging=str(tmp_path), max_iter=20)
+    assert model.accuracy == 1.0 and read.value == len(rows)
+
+
 def test_vectors_are_those_of_the_weights(spark):
     df = spark.createDataFrame([(1, "aa bb aa cc"), (2, "bb"), (3, None), (4, "")], "id long, text string")
     model = TfidfModel.fit(df, "text")
