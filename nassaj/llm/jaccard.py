@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from nassaj.llm.components import components
-from nassaj.llm.staging import stage
+from nassaj.llm.staging import release, stage
 
 SHINGLE, PERCENT = 5, 80
 SKETCH = 1 << 22
@@ -207,9 +207,8 @@ class _Join:
             "jaccard-open",
         )
         wanted = stage(open_.select(F.explode(F.array("rx", "ry")).alias("key")).distinct(), "jaccard-wanted")
-        if wanted.count() <= BROADCAST_ROWS:
-            wanted = F.broadcast(wanted)
-        texts = self.docs.join(wanted, "key", "left_semi").where("text IS NOT NULL").select("text")
+        ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+        texts = self.docs.join(ids, "key", "left_semi").where("text IS NOT NULL").select("text")
         sets = texts.mapInPandas(_sets(self.n), "node bigint, hashes binary")
         sets = stage(sets.groupBy("node").agg(F.first("hashes").alias("hashes")), "jaccard-sets")
         both = (
@@ -217,7 +216,10 @@ class _Join:
             .join(sets.select(F.col("node").alias("x"), F.col("hashes").alias("hx")), "x")
             .join(sets.select(F.col("node").alias("y"), F.col("hashes").alias("hy")), "y")
         )
-        return stage(both.mapInPandas(_verify(self.percent), "x bigint, y bigint"), "jaccard-links")
+        linked = stage(both.mapInPandas(_verify(self.percent), "x bigint, y bigint"), "jaccard-links")
+        for done in (open_, wanted, sets):
+            release(done)
+        return linked
 
     def run(self) -> DataFrame:
         shared = self.shared()
@@ -226,7 +228,10 @@ class _Join:
         first = stage(to_pivot.select(F.col("pivot.node").alias("x"), F.col("node").alias("y")).distinct(), "jaccard-round1")
         links = self.links(first)
         labels = components(links, "x", "y")
-        second = stage(self.left_over(shared, labels).join(first, ["x", "y"], "left_anti"), "jaccard-round2")
+        mixed = self.mixed(shared, labels)
+        second = stage(self.left_over(mixed).join(first, ["x", "y"], "left_anti"), "jaccard-round2")
+        for done in (shared, first, mixed):
+            release(done)
         links = links.unionByName(self.links(second))
         labels = components(links, "x", "y")
         smallest = labels.join(self.nodes.select("node", "rep"), "node")
@@ -239,13 +244,16 @@ class _Join:
             "key", F.col("n").alias("n_shingles"), F.coalesce("component", "key").alias("component_id")
         )
 
-    def left_over(self, shared: DataFrame, labels: DataFrame) -> DataFrame:
-        """Pairs across components that share a prefix shingle, smaller node first."""
+    def mixed(self, shared: DataFrame, labels: DataFrame) -> DataFrame:
+        """Prefix rows whose shingle has nodes of different components, with their component."""
         part = shared.drop("pivot").join(labels, "node", "left")
         part = part.select("shingle", "node", "n", "pos", F.coalesce("label", "node").alias("part"))
         same = Window.partitionBy("shingle")
         wide = part.withColumn("low", F.min("part").over(same)).withColumn("high", F.max("part").over(same))
-        mixed = stage(wide.where("low != high").drop("low", "high"), "jaccard-mixed")
+        return stage(wide.where("low != high").drop("low", "high"), "jaccard-mixed")
+
+    def left_over(self, mixed: DataFrame) -> DataFrame:
+        """Pairs across components that share a prefix shingle, smaller node first."""
         sizes = mixed.groupBy("shingle", "part").agg(F.count("*").alias("k"))
         main = sizes.groupBy("shingle").agg(F.max_by("part", F.struct("k", "part")).alias("main"))
         outside = mixed.join(main, "shingle").where(F.col("part") != F.col("main"))
