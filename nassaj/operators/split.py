@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from nassaj.functions import fixed
 from nassaj.functions.arrays import unnest
+from nassaj.operators.sizes import collect_bounded
 
 _BUCKET_DIGITS = 4  # 65,536 buckets per label
 
@@ -97,12 +98,14 @@ def validation_flag(
     label_col: str | None = None,
     test_size: float = fixed.TEST_SIZE,
     seed: int = fixed.SEED,
+    max_labels: int = 200_000,
 ) -> DataFrame:
     """Add ``is_validation``: the first ``ceil(test_size * n)`` rows of each label.
 
     Without a label column, or when the labels are too few to stratify by, the
     whole table is one group; counting them is a pass when the query is built. Rows
-    without a label are one more group. Only ids and labels are shuffled: they give the last
+    without a label are one more group. The last validation keys, one per label, are found when the
+    query is built and broadcast; more than ``max_labels`` labels raise. Only ids and labels are shuffled: they give the last
     validation key of each label, and the rows are then compared with that key in
     place.
     """
@@ -124,6 +127,9 @@ def validation_flag(
         .select(F.col("_by").alias("_cut_by"), F.col("_key").alias("_cut_key"),
                 F.col("_id").alias("_cut_id"))
     )
+    # One row per label: found once, then as good as a literal for every later pass.
+    rows = collect_bounded(last, "labels to split by", max_labels)
+    last = F.broadcast(df.sparkSession.createDataFrame(rows, last.schema))
     key = order_key(id_col, seed)
     return (
         df.withColumn("_own", _group(by))
