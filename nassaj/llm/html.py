@@ -6,9 +6,10 @@ Link text is kept but weighs nothing. Text lengths are summed over a sliding win
 window that rises above the surge height begins a region, and the region ends where the windows dive
 to nothing. What stands between is the main text.
 
-A page that marks its article (``article`` or ``main``) is searched inside it alone, and there any
-text, links too, is a surge. Elsewhere the surge height is ``surge`` characters and regions with less than a
-fifth of the largest one's text are dropped; if nothing surges, the largest region is kept.
+A page that marks its article (``article`` or ``main``) is searched inside it alone, in the same way, from a
+quarter of the surge height: runs of links dive there too. Elsewhere the surge height is ``surge`` characters and regions with less than a
+fifth of the largest one's text are dropped. If nothing surges, the largest region is kept; if all text is linked,
+links weigh as text. A title (``h1``) weighs in full, linked or not.
 
 Null, empty and markup-only pages give an empty text. Unclosed elements end with the page; a stray
 ``<`` is text. Pages are read whole and judged one by one.
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 
 WINDOW = 3
 SURGE = 80
+ARTICLE_SHARE = 4
 REGION_SHARE = 5
 
 # --- fixed values: HTML elements by their part in a page --------------------------
@@ -92,12 +94,13 @@ class _Lines:
         self.rows: list[tuple[str, int, bool]] = []
         self.parts: list[str] = []
         self.linked: list[str] = []
+        self.title = False
 
     def end(self, article: bool) -> None:
         if self.parts:
             text = " ".join(unescape("".join(self.parts)).split())
             if text:
-                link = len(" ".join(unescape("".join(self.linked)).split()))
+                link = 0 if self.title else len(" ".join(unescape("".join(self.linked)).split()))
                 self.rows.append((text, max(0, len(text) - link), article))
             self.parts, self.linked = [], []
 
@@ -158,6 +161,7 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
                 out.linked.append(" ")
         elif name not in INLINE:
             out.end(articles > 0)
+            out.title = name == "h1" and not closing
         if not closing and name in RAW:
             close = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(html, at)
             at = end if not close else close.start()
@@ -194,10 +198,10 @@ def main_text(html: str, window: int = WINDOW, surge: int = SURGE) -> str:
     if marked:
         rows = [r if r[2] else ("", 0, False) for r in rows]
     lengths = [n for _, n, _ in rows]
-    if marked or not any(lengths):
+    if not any(lengths):
         lengths = [len(text) for text, _, _ in rows]
     everything = regions(lengths, window, 0)
-    found = regions(lengths, window, 0 if marked else surge)
+    found = regions(lengths, window, surge // ARTICLE_SHARE if marked else surge)
     if not found and everything:
         found = [max(everything, key=lambda r: sum(lengths[r[0] : r[1]]))]
     if not marked:

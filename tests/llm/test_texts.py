@@ -156,6 +156,15 @@ def test_regions():
     assert html.regions([5, 5], 3, 0) == [(0, 2)] and html.regions([], 3, 0) == [] and html.regions([0, 0], 3, 0) == []
 
 
+def test_links_dive_inside_articles_too():
+    p = "A long enough paragraph of the article, with some words in it, and then even more of them."
+    links = "<ul>" + "".join(f"<li><a href={k}>Another story of today, number {k}</a></li>" for k in range(5)) + "</ul>"
+    for mark in ("article", "main"):
+        page = f"<{mark}>{links}<h1><a href=x>Title</a></h1><p>{p}</p>{links}<p>{p} <a href=y>source</a></p>{links}</{mark}>"
+        assert html.main_text(page) == f"Title\n{p}\n{p} source"
+    assert html.main_text("<article><p><a href=x>All linked</a></p></article>") == "All linked"
+
+
 # --- pseudonyms -------------------------------------------------------------------
 VALUES = {
     "email": "foo.42@mail8.example.com", "card": "4111 1111 1111 1111", "plain card": "4041894974608795", "phone": "+1 (988) 555-2485",
