@@ -11,7 +11,8 @@ quarter of the surge height: runs of links dive there too. Elsewhere the surge h
 fifth of the largest one's text are dropped. If nothing surges, the largest region is kept; if all text is linked,
 links weigh as text. A title (``h1``) weighs in full, linked or not.
 
-Null, empty and markup-only pages give an empty text. Unclosed elements end with the page; a stray
+Null, empty and markup-only pages give an empty text. Elements end where HTML ends them, so an end tag
+that may be left out (of head, p, li, dd, option, table parts) is not missed; others end with their parent or the page. A stray
 ``<`` is text. Pages are read whole and judged one by one.
 """
 
@@ -49,6 +50,26 @@ ASIDE_NAMES = frozenset(
     "announcement newsletter subscribe subscription signup login popup modal overlay related recommended recommendations "
     "trending share sharing social widget widgets copyright".split()
 )
+#: Elements whose start tag ends an open paragraph.
+PARAGRAPH_ENDS = frozenset(
+    "address article aside blockquote center details dialog dd dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 "
+    "h5 h6 header hgroup hr li listing main menu nav ol p pre search section summary table ul xmp".split()
+)
+#: By start tag: the open elements that it ends, and those beyond which it does not look for them.
+SIBLINGS = {
+    **dict.fromkeys(("li",), (frozenset(("li",)), frozenset("ul ol menu dir".split()))),
+    **dict.fromkeys(("dd", "dt"), (frozenset(("dd", "dt")), frozenset(("dl",)))),
+    "option": (frozenset(("option",)), frozenset("select datalist optgroup".split())),
+    "optgroup": (frozenset(("option", "optgroup")), frozenset("select datalist".split())),
+    **dict.fromkeys(("td", "th"), (frozenset(("td", "th")), frozenset(("tr", "table")))),
+    "tr": (frozenset(("td", "th", "tr")), frozenset(("table",))),
+    **dict.fromkeys(("tbody", "thead", "tfoot"), (frozenset("td th tr tbody thead tfoot caption".split()), frozenset(("table",)))),
+}
+#: An end tag reaches no element outside these, unless it is of a part of the table itself.
+SCOPES = frozenset("table td th caption object template marquee html".split())
+TABLE_PARTS = frozenset("table tbody thead tfoot tr td th caption object template marquee body html".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+IN_HEAD = frozenset("head base basefont bgsound link meta noframes noscript script style template title".split())
 #: Words that turn a name into a remark about the page, as in ``has-sidebar``.
 REMARKS = frozenset("no has with without".split())
 ARTICLE = frozenset(("article", "main"))
@@ -109,14 +130,70 @@ class _Lines:
         self.rows += [("", 0, False)] * (1 + blocks)
 
 
+class _Open:
+    """The open elements but inline ones, which end where HTML ends them, with or without an end tag."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+        self.counts: dict[str, int] = {}
+        self.aside = -1  # the place of the aside being skipped
+
+    def push(self, name: str) -> None:
+        self.names.append(name)
+        self.counts[name] = self.counts.get(name, 0) + 1
+
+    def cut(self, size: int) -> None:
+        while len(self.names) > size:
+            self.counts[self.names.pop()] -= 1
+
+    def place(self, ends: frozenset[str], scope: frozenset[str]) -> int:
+        """The innermost open element of some names inside a scope, or -1."""
+        if any(self.counts.get(name) for name in ends):
+            for k in range(len(self.names) - 1, -1, -1):
+                if self.names[k] in ends:
+                    return k
+                if self.names[k] in scope:
+                    break
+        return -1
+
+    def start(self, name: str) -> None:
+        """End what a start tag ends."""
+        if self.counts.get("head") and name not in IN_HEAD:
+            self.end("head")
+        if name in SIBLINGS:
+            ends, scope = SIBLINGS[name]
+            last = at = self.place(ends, scope)
+            while last >= 0:  # a row ends its cells and the row before
+                at = last
+                self.cut(at)
+                last = self.place(ends, scope)
+        if name in PARAGRAPH_ENDS:
+            at = self.place(frozenset(("p",)), SCOPES | {"button"})
+            if at >= 0:
+                self.cut(at)
+
+    def end(self, name: str) -> None:
+        """End what an end tag ends; a stray one ends nothing."""
+        ends = HEADINGS if name in HEADINGS else frozenset((name,))
+        at = self.place(ends, frozenset(("table",)) if name in TABLE_PARTS else SCOPES)
+        if name in INLINE and at > self.aside and at >= 0:  # blocks in it stay open
+            self.counts[self.names.pop(at)] -= 1
+        elif at >= 0:
+            self.cut(at)
+
+
 def lines(html: str) -> list[tuple[str, int, bool]]:
-    out = _Lines()
+    out, opened = _Lines(), _Open()
     at, end, articles, links = 0, len(html), 0, 0
-    skip, depth, blocks = "", 0, 0  # the aside being skipped, how often it is open, block tags met in it
+    skip, blocks = "", 0  # the aside being skipped, block tags met in it
     while at < end:
         lt = html.find("<", at)
         if lt < 0:
             lt = end
+        if skip == "head" and opened.names[-1] == "head" and html[at:lt].strip():
+            opened.end("head")
+            out.gap(blocks)
+            skip, opened.aside = "", -1
         if lt > at and not skip:
             out.parts.append(html[at:lt])
             if links:
@@ -139,20 +216,33 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
             continue
         closing, name, attributes = m[1], m[2].lower(), m[3]
         at = m.end()
+        if closing:
+            opened.end(name)
+        else:
+            opened.start(name)
+        ended = False
         if skip:
             blocks += name not in INLINE
-            if name == skip:
-                depth += -1 if closing else (not attributes.endswith("/"))
-                if depth == 0:
-                    out.gap(blocks - 1)
-                    skip = ""
+            ended = len(opened.names) <= opened.aside
+            if ended:
+                out.gap(blocks - 1)
+                skip, opened.aside = "", -1
+        holds = not closing and name not in VOID and (not attributes.endswith("/") or name in RAW)
+        if skip or ended and closing and name not in ARTICLE:
+            if holds and (name not in INLINE or name == skip):
+                opened.push(name)
+            if closing and name == "a":
+                links = 0
         elif not closing and name not in VOID and _is_aside(name, attributes, articles > 0):
             out.end(articles > 0)
-            if not attributes.endswith("/") or name in RAW:
-                skip, depth, blocks = name, 1, 0
+            if holds:
+                skip, opened.aside, blocks = name, len(opened.names), 0
+                opened.push(name)
         elif name in ARTICLE:
             out.end(articles > 0)
             articles = max(0, articles + (-1 if closing else 1))
+            if holds:
+                opened.push(name)
         elif name == "a":
             links = 0 if closing else 1
         elif name == "br":
@@ -162,6 +252,8 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
         elif name not in INLINE:
             out.end(articles > 0)
             out.title = name == "h1" and not closing
+            if holds:
+                opened.push(name)
         if not closing and name in RAW:
             close = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(html, at)
             at = end if not close else close.start()

@@ -165,6 +165,25 @@ def test_links_dive_inside_articles_too():
     assert html.main_text("<article><p><a href=x>All linked</a></p></article>") == "All linked"
 
 
+@pytest.mark.parametrize("page", [
+    "<head><title>x</title><body><p>{p}", "<head><title>x</title><p>{p}", "<head><meta charset=utf-8>{p}",
+    "<p class=ad>Buy<p>{p}", "<p class=ad>Buy<div>{p}</div>", "<div><p class=ad>Buy</div>{p}", "<p class=ad>Buy <b>now<h2>{p}</h2>",
+    "<ul><li class=menu>Home<li>{p}</ul>", "<ul><li class=menu>Home<ul><li>Sub</ul></ul><p>{p}",
+    "<dl><dt class=menu>Home<dd>{p}</dl>", "<dl><dd class=ad>Buy</dl><p>{p}", "<select><option>One<option>Two</select><p>{p}",
+    "<div><option>One<option>Two</div><p>{p}", "<table><tr><td class=ad>Buy<td>{p}</table>", "<table><tr class=ad><td>Buy<tr><td>{p}</table>",
+    "<p>{p}<p><span class=ad>Buy <span>now</span> or never</span></p>", "<div class=ad><p>Buy</div></p></div><p>{p}",
+    "<div><div class=ad><table><tr><td></div>Buy</table></div>{p}</div>", "<span class=ad><span><div>Buy</span>now</div></span><p>{p}",
+    "<aside><p>Buy<p>now<ul><li>or<li>never</ul></aside><p>{p}",
+])
+def test_asides_end_where_html_ends_them(page):
+    p = "A long enough paragraph of the article, with some words in it, and then even more of them."
+    assert html.main_text(page.format(p=p)) == p
+
+
+def test_an_article_ends_with_an_aside_left_open_in_it():
+    assert html.main_text("<article><p>One<p class=ad>Buy</article><p>Two</p>") == "One"
+
+
 # --- pseudonyms -------------------------------------------------------------------
 VALUES = {
     "email": "foo.42@mail8.example.com", "card": "4111 1111 1111 1111", "plain card": "4041894974608795", "phone": "+1 (988) 555-2485",
