@@ -1,15 +1,16 @@
 """Main text of HTML pages by line-block distribution.
 
 Markup is stripped into lines, one per block. Scripts, menus, headers, footers, sidebars, notices,
-adverts, forms and reader comments, known by element, role, class or id, leave their lines empty.
+adverts, forms and reader comments, known by element, role, class or id, leave no lines.
 Link text is kept but weighs nothing. Text lengths are summed over a sliding window of ``window`` lines: a
 window that rises above the surge height begins a region, and the region ends where the windows dive
 to nothing. What stands between is the main text.
 
 A page that marks its article (``article`` or ``main``) is searched inside it alone, in the same way, from a
-quarter of the surge height: runs of links dive there too. Elsewhere the surge height is ``surge`` characters and regions with less than a
-fifth of the largest one's text are dropped. If nothing surges, the largest region is kept; if all text is linked,
-links weigh as text. A title (``h1``) weighs in full, linked or not.
+quarter of the surge height: runs of links dive there too. Elsewhere the surge height is ``surge`` characters.
+What stands below it is kept between regions that surge, and where it lies in the same container (div, section,
+table cell) as one of them. If nothing surges, the largest region counts as one that does; if all text is linked, links
+weigh as text. A title (``h1``) weighs in full, linked or not.
 
 Null, empty and markup-only pages give an empty text. Elements end where HTML ends them, so an end tag
 that may be left out (of head, p, li, dd, option, table parts) is not missed; others end with their parent or the page. A stray
@@ -29,7 +30,6 @@ from pyspark.sql import functions as F
 WINDOW = 3
 SURGE = 80
 ARTICLE_SHARE = 4
-REGION_SHARE = 5
 
 # --- fixed values: HTML elements by their part in a page --------------------------
 RAW = frozenset("script style title textarea xmp noframes".split())
@@ -73,6 +73,7 @@ IN_HEAD = frozenset("head base basefont bgsound link meta noframes noscript scri
 #: Words that turn a name into a remark about the page, as in ``has-sidebar``.
 REMARKS = frozenset("no has with without".split())
 ARTICLE = frozenset(("article", "main"))
+CONTAINERS = frozenset("div section article main td th center fieldset details".split())
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*+)>""")
 _LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
@@ -109,26 +110,23 @@ def _is_aside(name: str, attributes: str, in_article: bool) -> bool:
 
 
 class _Lines:
-    """The lines of a page: text, its length without links, whether in an article; empty at asides."""
+    """The lines of a page: text, its length without links, whether in an article, the container of its block."""
 
     def __init__(self) -> None:
-        self.rows: list[tuple[str, int, bool]] = []
+        self.rows: list[tuple[str, int, bool, int]] = []
         self.parts: list[str] = []
         self.linked: list[str] = []
         self.title = False
+        self.home = 0
 
     def end(self, article: bool) -> None:
         if self.parts:
             text = " ".join(unescape("".join(self.parts)).split())
             if text:
                 link = 0 if self.title else len(" ".join(unescape("".join(self.linked)).split()))
-                self.rows.append((text, max(0, len(text) - link), article))
+                self.rows.append((text, max(0, len(text) - link), article, self.home))
             self.parts, self.linked = [], []
 
-    def gap(self, blocks: int) -> None:
-        """The lines of an aside, empty."""
-        self.rows += [("", 0, False)] * (1 + blocks)
-
 
 class _Open:
     """The open elements but inline ones, which end where HTML ends them, with or without an end tag."""
@@ -136,15 +134,27 @@ class _Open:
     def __init__(self) -> None:
         self.names: list[str] = []
         self.counts: dict[str, int] = {}
+        self.homes: list[tuple[int, int]] = []  # of open containers: their place and number
+        self.met = 0
         self.aside = -1  # the place of the aside being skipped
 
     def push(self, name: str) -> None:
+        if name in CONTAINERS:
+            self.met += 1
+            self.homes.append((len(self.names), self.met))
         self.names.append(name)
         self.counts[name] = self.counts.get(name, 0) + 1
 
     def cut(self, size: int) -> None:
         while len(self.names) > size:
             self.counts[self.names.pop()] -= 1
+        while self.homes and self.homes[-1][0] >= size:
+            self.homes.pop()
+
+    def home(self) -> int:
+        """The container that the block at hand lies in; a container with text of its own is a block."""
+        own = bool(self.homes) and self.homes[-1][0] == len(self.names) - 1
+        return self.homes[-1 - own][1] if len(self.homes) > own else 0
 
     def place(self, ends: frozenset[str], scope: frozenset[str]) -> int:
         """The innermost open element of some names inside a scope, or -1."""
@@ -182,19 +192,20 @@ class _Open:
             self.cut(at)
 
 
-def lines(html: str) -> list[tuple[str, int, bool]]:
+def lines(html: str) -> list[tuple[str, int, bool, int]]:
     out, opened = _Lines(), _Open()
     at, end, articles, links = 0, len(html), 0, 0
-    skip, blocks = "", 0  # the aside being skipped, block tags met in it
+    skip = ""  # the aside being skipped
     while at < end:
         lt = html.find("<", at)
         if lt < 0:
             lt = end
         if skip == "head" and opened.names[-1] == "head" and html[at:lt].strip():
             opened.end("head")
-            out.gap(blocks)
             skip, opened.aside = "", -1
         if lt > at and not skip:
+            if not out.parts:
+                out.home = opened.home()
             out.parts.append(html[at:lt])
             if links:
                 out.linked.append(html[at:lt])
@@ -211,6 +222,7 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
         m = _TAG.match(html, lt) or _LOOSE_TAG.match(html, lt)
         if not m:
             if not skip:
+                out.home = out.home if out.parts else opened.home()
                 out.parts.append("<")
             at = lt + 1
             continue
@@ -220,13 +232,9 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
             opened.end(name)
         else:
             opened.start(name)
-        ended = False
-        if skip:
-            blocks += name not in INLINE
-            ended = len(opened.names) <= opened.aside
-            if ended:
-                out.gap(blocks - 1)
-                skip, opened.aside = "", -1
+        ended = bool(skip) and len(opened.names) <= opened.aside
+        if ended:
+            skip, opened.aside = "", -1
         holds = not closing and name not in VOID and (not attributes.endswith("/") or name in RAW)
         if skip or ended and closing and name not in ARTICLE:
             if holds and (name not in INLINE or name == skip):
@@ -236,7 +244,7 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
         elif not closing and name not in VOID and _is_aside(name, attributes, articles > 0):
             out.end(articles > 0)
             if holds:
-                skip, opened.aside, blocks = name, len(opened.names), 0
+                skip, opened.aside = name, len(opened.names)
                 opened.push(name)
         elif name in ARTICLE:
             out.end(articles > 0)
@@ -246,6 +254,7 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
         elif name == "a":
             links = 0 if closing else 1
         elif name == "br":
+            out.home = out.home if out.parts else opened.home()
             out.parts.append(" ")
             if links:
                 out.linked.append(" ")
@@ -286,20 +295,21 @@ def regions(lengths: list[int], window: int, surge: int) -> list[tuple[int, int]
 
 def main_text(html: str, window: int = WINDOW, surge: int = SURGE) -> str:
     rows = lines(html)
-    marked = any(inside for _, _, inside in rows)
-    if marked:
-        rows = [r if r[2] else ("", 0, False) for r in rows]
-    lengths = [n for _, n, _ in rows]
+    if any(inside for _, _, inside, _ in rows):
+        rows, surge = [r for r in rows if r[2]], surge // ARTICLE_SHARE
+    lengths = [n for _, n, _, _ in rows]
     if not any(lengths):
-        lengths = [len(text) for text, _, _ in rows]
+        lengths = [len(text) for text, _, _, _ in rows]
     everything = regions(lengths, window, 0)
-    found = regions(lengths, window, surge // ARTICLE_SHARE if marked else surge)
-    if not found and everything:
-        found = [max(everything, key=lambda r: sum(lengths[r[0] : r[1]]))]
-    if not marked:
-        largest = max((sum(lengths[a:b]) for a, b in found), default=0)
-        found = [(a, b) for a, b in found if REGION_SHARE * sum(lengths[a:b]) >= largest]
-    return "\n".join(rows[k][0] for a, b in found for k in range(a, b) if rows[k][0])
+    if not everything:
+        return ""
+    found = regions(lengths, window, surge) or [max(everything, key=lambda r: sum(lengths[r[0] : r[1]]))]
+    homes = {rows[k][3] for a, b in found for k in range(a, b)}
+    kept = [
+        (a, b) for a, b in everything
+        if found[0][0] <= a <= found[-1][0] or any(rows[k][3] in homes for k in range(a, b) if lengths[k])
+    ]
+    return "\n".join(rows[k][0] for a, b in kept for k in range(a, b))
 
 
 def extract(html: Column | str, window: int = WINDOW, surge: int = SURGE) -> Column:

@@ -180,6 +180,17 @@ def test_asides_end_where_html_ends_them(page):
     assert html.main_text(page.format(p=p)) == p
 
 
+def test_asides_and_small_regions_lose_no_text():
+    p = "A long enough paragraph of the article, with some words in it, and then even more of them."
+    body, advert = "".join(f"<p>{p}</p>" for _ in range(20)), "<div class=ad><p>Buy</p><p>now</p><p>or never</p></div>"
+    links = "".join(f"<p><a href={k}>Another story of today, number {k}</a></p>" for k in range(4))
+    whole = "\n".join([p] * 20)
+    assert html.main_text(f"<div>{body}{advert}<p>{p} {p}</p>{advert}<p>- Yes.</p></div>") == f"{whole}\n{p} {p}\n- Yes."
+    assert html.main_text(f"<div>{body}{links}<p>- No.</p>{links}</div><div><p>{p}</p></div>") == f"{whole}\n- No.\n{p}"
+    assert html.main_text(f"<div>{body}{links}<p>- No.</p></div>") == f"{whole}\n- No."
+    assert html.main_text(f"<div>{body}{links}</div><div><p>Small print.</p></div>") == whole
+
+
 def test_an_article_ends_with_an_aside_left_open_in_it():
     assert html.main_text("<article><p>One<p class=ad>Buy</article><p>Two</p>") == "One"
 
