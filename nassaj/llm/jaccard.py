@@ -17,6 +17,8 @@ empty and links with nothing. Documents link when ``100 * common >= percent * un
    outside the shingle's main component with those of other components: all that is left to find.
 
 No link between components is missed; pairs inside a component found in round one are not needed.
+``jaccard_links`` is the second mode: it makes every pair of nodes that share a prefix shingle, verifies each
+once, and knows all links; as many as a group has pairs.
 Repeated rows and ids keep their rows. Other columns are not looked at. No documents: no rows.
 """
 
@@ -39,6 +41,8 @@ CHUNK = 1 << 13
 BINS = 64
 #: Ids of a node's text are sent to all tasks up to this many rows, 8 bytes each; beyond, a join.
 BROADCAST_ROWS = 500_000
+#: Nodes of a shingle are paired in blocks of about so many; two blocks at a time are one key.
+BLOCK = 256
 
 
 def shingles(text: str | None, n: int) -> np.ndarray:
@@ -244,6 +248,26 @@ class _Join:
             "key", F.col("n").alias("n_shingles"), F.coalesce("component", "key").alias("component_id")
         )
 
+    def all_links(self) -> DataFrame:
+        """Every pair of nodes that links, smaller node first."""
+        shared = self.shared()
+        n_blocks = F.ceil(F.col("k") / BLOCK).cast("int")
+        sizes = shared.groupBy("shingle").agg(F.count("*").alias("k")).select("shingle", n_blocks.alias("blocks"))
+        rows = shared.drop("pivot").join(sizes, "shingle")
+        rows = rows.withColumn("own", F.pmod(F.xxhash64("node", "shingle"), F.col("blocks")).cast("int"))
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        rows = rows.select(
+            "shingle", "node", "n", "pos", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
+        )
+        a, b = rows.alias("a"), rows.alias("b")
+        met = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("shingle", "low", "high")]
+        once = (F.col("a.low") == F.col("a.high")) | (F.col("a.own") != F.col("b.own"))
+        near = _may_link(self.percent, F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"))
+        pairs = a.join(b, met[0] & met[1] & met[2] & once & near & (F.col("a.node") < F.col("b.node")))
+        pairs = stage(pairs.select(F.col("a.node").alias("x"), F.col("b.node").alias("y")).distinct(), "jaccard-pairs")
+        release(shared)
+        return self.links(pairs)
+
     def mixed(self, shared: DataFrame, labels: DataFrame) -> DataFrame:
         """Prefix rows whose shingle has nodes of different components, with their component."""
         part = shared.drop("pivot").join(labels, "node", "left")
@@ -274,3 +298,29 @@ def jaccard_components(
     """``<key>, n_shingles, component_id`` of every row; the component is named by its smallest key."""
     rows = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
     return _Join(rows, shingle, percent).run().withColumnRenamed("key", key)
+
+
+def jaccard_links(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT
+) -> tuple[DataFrame, DataFrame]:
+    """All links, as two tables: rows and pairs.
+
+    Rows: ``<key>, n_shingles, set_id, n_links`` of every row. Equal sets have one ``set_id``, null without words;
+    ``n_links`` counts the other rows that link with the row, those of an equal set among them. Pairs: ``x, y``,
+    each two different sets that link, once. Rows count as they are, with null and repeated keys too.
+    """
+    kept = docs.select(F.col(key).alias("name"), F.col(text).alias("text"), F.monotonically_increasing_id().alias("key"))
+    kept = stage(kept, "jaccard-rows")  # the numbers of rows are made once
+    join = _Join(kept.select("key", "text"), shingle, percent)
+    pairs = join.all_links()
+    members = join.rows.where("n > 0").groupBy("node").agg(F.count("*").alias("members"))
+    both = pairs.select("x", "y").unionByName(pairs.select(F.col("y").alias("x"), F.col("x").alias("y")))
+    linked = both.join(members.withColumnRenamed("node", "y"), "y").groupBy("x").agg(F.sum("members").alias("far"))
+    counts = members.join(linked.withColumnRenamed("x", "node"), "node", "left")
+    counts = counts.select("node", (F.col("members") - 1 + F.coalesce("far", F.lit(0))).alias("n_links"))
+    sets = join.rows.select("key", "n", F.when(F.col("n") > 0, F.col("node")).alias("node")).join(counts, "node", "left")
+    rows = kept.select("key", "name").join(sets, "key").select(
+        F.col("name").alias(key), F.col("n").alias("n_shingles"), F.col("node").alias("set_id"),
+        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+    )
+    return rows, pairs

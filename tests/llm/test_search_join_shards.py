@@ -120,6 +120,27 @@ def test_join_of_nothing_and_repeats(spark):
     ]
 
 
+@pytest.mark.parametrize("block", [7, 256])
+def test_every_link_is_counted(spark, block, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    r = random.Random(2)
+    rows = []
+    for i in range(60):
+        w = [f"b{k}" for k in range(160)]
+        for _ in range(r.randint(0, 2)):
+            w[r.randrange(len(w))] = f"x{r.randrange(40)}"
+        rows.append((i if i % 5 else None, " ".join(w)))
+    rows += [(3, rows[3][1]), (None, rows[4][1]), (90, None), (91, " "), (None, "c d e f"), (None, "c d e f")]
+    sets = [set(jaccard.shingles(t, 4).tolist()) for _, t in rows]
+    like = [[bool(a and b) and 100 * len(a & b) >= 85 * len(a | b) for b in sets] for a in sets]
+    want = [(str(k), len(s), sum(like[i]) - bool(s)) for i, ((k, _), s) in enumerate(zip(rows, sets, strict=True))]
+    found, pairs = jaccard.jaccard_links(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "doc_id", "text", 4, 85)
+    assert sorted((str(r["doc_id"]), r["n_shingles"], r["n_links"]) for r in found.collect()) == sorted(want)
+    distinct = [set(s) for s in {frozenset(s) for s in sets if s}]
+    n_pairs = sum(100 * len(a & b) >= 85 * len(a | b) for i, a in enumerate(distinct) for b in distinct[:i])
+    assert pairs.count() == pairs.distinct().count() == n_pairs > 300
+
+
 def test_components_of_long_chains(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (101, 100), (200, 200)]
     df = spark.createDataFrame(random.Random(1).sample(links, len(links)), "x long, y long")
