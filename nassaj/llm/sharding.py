@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLOTS = 65_537
+FILE_BYTES = 128 << 20
 
 
 def _is_prime(n: int) -> bool:
@@ -82,7 +83,18 @@ def place(
     return rows.join(F.broadcast(lookup(df.sparkSession, shards, slots, weights)), "slot").select(*kept, "slot", "shard")
 
 
-def write(placed: DataFrame, path: str, files_per_shard: int = 1) -> None:
-    """Write placed rows as one folder per shard, ``files_per_shard`` files in each."""
-    rows = placed.repartition("shard", F.col("slot") % files_per_shard)
-    rows.write.partitionBy("shard").parquet(path)
+def write(placed: DataFrame, path: str, files_per_shard: int | None = None, file_bytes: int = FILE_BYTES) -> None:
+    """Write placed rows as one folder per shard, ``files_per_shard`` files at most in each.
+
+    If not given, a shard has a file for every ``file_bytes`` of its rows as JSON, which reads ``placed`` once more.
+    Rows are dealt in turn, so a hot key is spread over the files of its shard.
+    """
+    part, files, many = "_part_of_shard", "_files_of_shard", []
+    rows = placed.withColumn(files, F.lit(files_per_shard))
+    if not files_per_shard:
+        size = F.sum(F.octet_length(F.to_json(F.struct(*placed.columns))))
+        counts = placed.groupBy("shard").agg(F.greatest(F.lit(1), F.ceil(size / file_bytes)).cast("bigint").alias(files)).collect()
+        many = [max(1, sum(r[files] for r in counts))]  # a row per shard
+        rows = placed.join(F.broadcast(placed.sparkSession.createDataFrame(counts, f"shard string, {files} bigint")), "shard")
+    rows = rows.withColumn(part, F.monotonically_increasing_id() % F.col(files))
+    rows.repartition(*many, "shard", part).drop(part, files).write.partitionBy("shard").parquet(path)

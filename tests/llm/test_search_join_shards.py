@@ -175,3 +175,11 @@ def test_placement(spark, tmp_path):
     assert sharding.place(hot, "k", names, 101, salt="salt").select("shard").distinct().count() == 3
     sharding.write(sharding.place(df, "doc_id", names, 101), f"{tmp_path}/out")
     assert spark.read.parquet(f"{tmp_path}/out").count() == 4
+
+
+def test_large_shards_are_written_in_several_files(spark, tmp_path):
+    placed = sharding.place(spark.range(0, 4000, 1, 4).selectExpr("1 AS k", "id", "repeat('x', 100) AS t"), "k", ["p", "q"], 101)
+    sharding.write(placed, f"{tmp_path}/out", file_bytes=60_000)
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert sorted(r["id"] for r in out.collect()) == list(range(4000))
+    assert out.select(F.input_file_name()).distinct().count() > 1
