@@ -152,10 +152,50 @@ WITH d AS (
 SELECT doc_id, slot, 'shard-' || lpad(holders[slot + 1], 2, '0') AS shard FROM d, t
 """
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+OP11 = rf"""
+WITH d AS (
+    SELECT row_number() OVER () AS row, doc_id, regexp_extract_all({_LOW.format("coalesce(text, '')")}, '{_TERM}') AS terms
+    FROM documents
+), q AS (
+    SELECT item, item_id, unnest(list_distinct(terms)) AS term
+    FROM (
+        SELECT row_number() OVER () AS item, item_id, regexp_extract_all({_LOW.format("coalesce(text, '')")}, '{_TERM}') AS terms
+        FROM benchmark
+    )
+), t AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM d) GROUP BY ALL),
+g AS (SELECT count(*) FILTER (len(terms) > 0) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM d),
+w AS (
+    SELECT term, CAST(floor(1000 * ln((2 * max(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM t, g GROUP BY term
+), m AS (
+    SELECT row, doc_id, 10 + (90 * len(terms) * n_docs) // n_terms AS m FROM d, g WHERE len(terms) > 0
+), scored AS (
+    SELECT item, item_id, row, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+    FROM q JOIN w USING (term) JOIN t USING (term) JOIN m USING (row) GROUP BY ALL
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS place FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 10
+"""
+
+OP12 = rf"""
+WITH d AS (
+    SELECT doc_id, {_LOW.format("coalesce(text, '')")} AS t, row_number() OVER () AS row FROM documents
+), o AS (
+    SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST, row) AS place,
+        count(*) OVER (PARTITION BY t) AS group_size, max(doc_id) OVER (PARTITION BY t) AS keep_id
+    FROM d
+)
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(t) AS text_sha256 FROM o
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_vector_search": OP1,
     "op2_line_rules": OP2,
     "op4_jaccard_join": OP4,
     "op6_shard_lookup": OP6,
     "op8_main_text": OP8,
+    "op11_ranked_search": OP11,
+    "op12_exact_dedup": OP12,
 }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from nassaj.llm import bpe, html, jaccard, langid, lines, packing, pii, quality, sharding, vafile
+from nassaj.llm import bpe, html, jaccard, langid, lines, nra, packing, pii, quality, refine, sharding, vafile, whitening
 from nassaj.llm.staging import small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,6 +94,22 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, bpe.vocabulary_file(), key="doc_id", source="source", text="text")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest-scoring documents of every benchmark item."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return nra.search(docs, _table(spark, sf_dir, "benchmark", "item_id", "text"), k=10)
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal documents, the row that stays, and the digest of every text."""
+    return refine.exact_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text", digest_all=True)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the 32 leading components, whitened."""
+    return whitening.whiten(_table(spark, sf_dir, "embeddings", "vec_id", "embedding"), "vec_id", "embedding", components=32)
+
+
 QUERIES: dict[str, Query] = {
     "op1_vector_search": op1_vector_search,
     "op2_line_rules": op2_line_rules,
@@ -105,5 +121,8 @@ QUERIES: dict[str, Query] = {
     "op8_main_text": op8_main_text,
     "op9_feistel_pii": op9_feistel_pii,
     "op10_packing": op10_packing,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_whitening": op13_whitening,
     "pipeline": corpus_pipeline.run,
 }
