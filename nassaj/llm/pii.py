@@ -14,8 +14,11 @@ values have equal pseudonyms in every document, so links between documents stay.
     phone    +country code and 7 to 12 digits, or ddd ddd dddd with an area code; the country code stays
 
 A Feistel round adds a keyed MD5 of one half to the other, in the other's own alphabet; eight rounds
-permute all values of a format. With ``restore`` they run backwards and give the values back (in all
-formats that find themselves again). Values that fail their validation stay. Null stays null, a text
+permute all values of a format. The key is the caller's secret: who has it can restore all values. With ``restore`` they run backwards and give the values back (in all
+formats that find themselves again). Values that fail their validation stay. No context is asked for: every date
+is taken for one of a person, and four numbers up to 255 with dots, such as a long version number, for an address. An
+e-mail address has at most 64 characters before the @ and labels of at most 63 after it, as its format prescribes;
+patterns are bounded by such lengths, so that time grows with the length of a text, whatever it holds. Null stays null, a text
 without values stays as it is. Rows are done one by one; all other columns are kept.
 """
 
@@ -25,10 +28,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
-KEY = "nassaj"
 
 # --- fixed values: how the formats are written -------------------------------------
-EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9][A-Za-z0-9-]*(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+EMAIL = r"(?<![A-Za-z0-9])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@(?:[A-Za-z0-9][A-Za-z0-9-]{0,62}+\.){1,126}[A-Za-z]{2,63}"
 SECRET = (
     r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36}\b|\bsk-[A-Za-z0-9]{20,}"
     r"|(?i:password|passwd|pwd|token|secret|api[_-]?key)\s*[=:]\s*[\"']?[A-Za-z0-9_./+-]{8,}"
@@ -89,8 +91,8 @@ class _Sql:
         """A string, each character within its digits, small or capital letters."""
 
         def changed(half: str, other: str) -> str:
-            one = self.turned(f"substring({half}, i, 1)", self.mac(f"'{kind}'", "r", other, "i"))
-            return f"if(length({half}) = 0, '', array_join(transform(sequence(1, length({half})), i -> {one}), ''))"
+            one = self.turned("c", self.mac(f"'{kind}'", "r", "d", "i + 1"))
+            return f"transform(array(md5({other})), d -> array_join(transform(split({half}, ''), (c, i) -> {one}), ''))[0]"
 
         start = f"named_struct('a', substring({s}, 1, length({s}) div 2), 'b', substring({s}, length({s}) div 2 + 1))"
         step = (
@@ -182,17 +184,17 @@ class _Sql:
         return f"if({t} rlike '{SIGNS}', transform({self.patterns(t)}, v -> {joined})[0], {t})"
 
 
-def pseudonyms(text: str, key: str = KEY, restore: bool = False) -> Column:
+def pseudonyms(text: str, key: str, restore: bool = False) -> Column:
     """A text column with its personal values permuted, or permuted back."""
     return F.expr(_Sql(key, restore).text(f"`{text}`"))
 
 
 def values(text: str) -> Column:
     """The personal values found in a text, in order."""
-    found = f"transform({_Sql(KEY, False).patterns(f'`{text}`')}, v -> regexp_extract_all(`{text}`, v, 0))[0]"
+    found = f"transform({_Sql("", False).patterns(f'`{text}`')}, v -> regexp_extract_all(`{text}`, v, 0))[0]"
     return F.expr(f"if(`{text}` rlike '{SIGNS}', {found}, array())")
 
 
-def pseudonymise(df: DataFrame, text: str = "text", key: str = KEY, restore: bool = False) -> DataFrame:
+def pseudonymise(df: DataFrame, text: str, key: str, restore: bool = False) -> DataFrame:
     """``df`` with the text's personal values replaced."""
     return df.withColumn(text, pseudonyms(text, key, restore))

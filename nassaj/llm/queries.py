@@ -11,6 +11,9 @@ import corpus_pipeline
 from nassaj.llm import bpe, html, jaccard, langid, lines, nra, packing, pii, quality, refine, sharding, vafile, whitening
 from nassaj.llm.staging import small_batches
 
+#: Of the registered query alone; who pseudonymises data keeps a key of their own.
+SHOWN_KEY = "shown"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -84,7 +87,7 @@ def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_feistel_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal values under pseudonyms, and how many it has."""
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
-    found = docs.select("doc_id", pii.pseudonyms("text").alias("new"), F.size(pii.values("text")).cast("bigint").alias("n_values"))
+    found = docs.select("doc_id", pii.pseudonyms("text", SHOWN_KEY).alias("new"), F.size(pii.values("text")).cast("bigint").alias("n_values"))
     return found.withColumnRenamed("new", "text")
 
 
