@@ -3,9 +3,9 @@
 Texts are equal when identical after lower-casing A-Z alone. Only texts of one length and one beginning can be equal, so
 a first read takes both, which needs no more than ``PREFIX`` characters of a text, and counts them. Pairs of length and
 beginning that occur more than once are marked in a sieve of ``SIEVE_BITS`` bits, one bit for each by its hash. The second
-read hashes the whole text only where that bit is set, and only these rows are shuffled, as hashes. The sieve goes to
-all tasks, as at most ``SIEVE_BITS / 64`` rows of 16 bytes. Two pairs can share a bit: then a text that is alone
-is hashed in full and found alone there, so the result does not depend on the size of the sieve.
+read hashes the whole text only where that bit is set, and only these rows are shuffled, as hashes. Two pairs can share
+a bit: then a text that is alone is hashed in full and found alone there, so the result does not depend on the size
+of the sieve.
 
 Equal texts are counted in ``PARTS`` parts of a group, then over the parts, so that no task gets a large group whole.
 
@@ -21,10 +21,10 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nassaj.llm.sieve import SIEVE_BITS, marked
 from nassaj.llm.staging import stage
 
 PREFIX = 128
-SIEVE_BITS = 1 << 24
 PARTS = 64
 
 
@@ -32,13 +32,6 @@ def normalised(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
-def sieve(shared: DataFrame, bits: int) -> DataFrame:
-    """``word, marks``: 64 bits a row, the bit of every ``pair`` set."""
-    bit = F.pmod("pair", F.lit(bits))
-    marked = shared.select(F.shiftright(bit, 6).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(pair, {bits}L) % 64 AS int))").alias("mark"))
-    return marked.groupBy("word").agg(F.bit_or("mark").alias("marks"))
-
-
 def exact_duplicates(
     df: DataFrame, key: str = "doc_id", text: str = "text", digest_all: bool = False, bits: int = SIEVE_BITS
 ) -> DataFrame:
@@ -49,12 +42,9 @@ def exact_duplicates(
     docs = df.select(F.col(key).cast("bigint").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     docs = docs.withColumn("pair", F.xxhash64(F.length("text"), normalised(F.substring("text", 1, PREFIX))))
     shared = docs.groupBy("pair").count().where("count > 1")
-    marks = F.broadcast(sieve(shared, bits))  # at most bits / 64 rows
-    sieved = docs.withColumn("word", F.shiftright(F.pmod("pair", F.lit(bits)), 6)).join(marks, "word", "left")
-    open_ = F.coalesce(F.expr(f"getbit(marks, cast(pmod(pair, {bits}L) % 64 AS int)) = 1"), F.lit(False))
     full = F.unhex(F.sha2(normalised(F.col("text")), 256))
     rows = stage(
-        sieved.select("key", "text", open_.alias("open")).select(
+        marked(docs, "pair", shared, bits).select(
             F.monotonically_increasing_id().alias("row"), "key", "open",
             (full if digest_all else F.when(F.col("open"), full)).alias("hash"),
         ),

@@ -110,6 +110,48 @@ def test_join_of_a_large_group(spark):
     assert sorted(map(tuple, got.collect())) == brute_components(rows, 4, 85)
 
 
+@pytest.mark.parametrize(("hot", "block"), [(1024, 256), (4, 3)])
+def test_links_go_through_null_and_repeated_ids(spark, monkeypatch, hot, block):
+    monkeypatch.setattr(jaccard, "HOT", hot)
+    monkeypatch.setattr(jaccard, "HOT_MEANS", 0)
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    chain = [f"w{i}" for i in range(60)]
+    texts = [" ".join(chain[i : i + 50]) for i in (0, 2, 4)]  # one and two link, two and three do, one and three do not
+    r = random.Random(3)
+    rows = [(1, texts[0]), (None, texts[1]), (3, texts[2]), (7, "x y z"), (None, "x y z"), (None, "only nulls here"), (None, "ONLY nulls here")]
+    for i in range(60):
+        w = [f"b{k}" for k in range(80)]
+        for _ in range(r.randint(0, 2)):
+            w[r.randrange(len(w))] = f"x{r.randrange(10**6)}"
+        rows.append((r.choice([None, 20, 30, 40 + i]), " ".join(w)))
+    rows += [(30, "under a number of others"), (None, None), (None, ""), (50, None)]
+    want = []
+    least = dict()
+    groups = brute_components([(i, t) for i, (_, t) in enumerate(rows)], 4, 85)
+    for i, _, c in groups:
+        if rows[i][0] is not None:
+            least[c] = min(least.get(c, 10**9), rows[i][0])
+    want = [(str(rows[i][0]), n, str(least.get(c))) for i, n, c in groups]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(str(r[0]), r[1], str(r[2])) for r in jaccard.jaccard_components(df, "doc_id", "text", 4, 85).collect()]
+    assert sorted(got) == sorted(want)
+    assert sorted(got)[0][2] == "1" and ("3", 47, "1") in got
+
+
+def test_profiles_of_different_lengths_bound_the_overlap(spark):
+    r = np.random.default_rng(1)
+    rows, want = [], []
+    for n, m, common in [(250, 260, 200), (1000, 1100, 1000), (4000, 4090, 10), (9000, 9500, 8000), (3, 4, 2)]:
+        h = np.unique(r.integers(0, 1 << 64, n + m, dtype=np.uint64))
+        a, b = np.sort(h[:n]), np.sort(np.concatenate([h[:common], h[n : n + m - common]]))
+        rows.append((jaccard._profile(a), jaccard._profile(b)))
+        want.append((len(np.intersect1d(a, b)), min(len(a), len(b))))
+    df = spark.createDataFrame(rows, "a array<smallint>, b array<smallint>").coalesce(1)
+    for (least, most), bound in zip(want, df.select(jaccard._overlap_bound("a", "b")).collect(), strict=True):
+        assert least <= bound[0] <= most
+    assert df.select(jaccard._overlap_bound("a", "b")).collect()[2][0] < 0.85 * 4000
+
+
 def test_join_of_nothing_and_repeats(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.jaccard_components(df).collect() == []
