@@ -8,16 +8,20 @@ tables stay empty.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nassaj.llm import bpe, jaccard, langid, packing, pii, quality
+from nassaj.llm.sieve import marked
 from nassaj.llm.staging import small_batches, stage
 from nassaj.shipping import ship
 
 #: A language has to be likelier than all others together.
 LEAST_LANGUAGE_SCORE = 0.5
+#: Where a session names the secret key of its pseudonyms; the one shown here is for trials.
+KEY_NAME, SHOWN_KEY = "spark.nassaj.pseudonym.key", "shown"
 
 
 def _judged(docs: DataFrame, measure: Column, keeps: Callable[[Column], Column]) -> DataFrame:
@@ -50,23 +54,31 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by 80 % of their five-word shingles, the one with the smallest id.
 
-    Rows that share an id are one document, and one of them stays.
+    Rows are told apart by all their columns. Where the smallest id is on several rows, or all ids are null, the one
+    with the smallest digest stays; of rows that are equal throughout, one. Texts without words stay. Only rows that can
+    be in a group are moved, told by a sieve.
     """
     ship(spark)
     small_batches(spark)
-    classes = stage(jaccard.jaccard_components(docs, "doc_id", "text"), "pipeline-classes")
-    gone = classes.where("doc_id != component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    again = stage(classes.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "pipeline-again")
-    if again.isEmpty():
-        return kept
-    once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(again, "doc_id", "left_anti").unionByName(once).select(*docs.columns)
+    digest = F.xxhash64(*docs.columns)
+    row = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), digest)
+    named = docs.select(F.struct(*docs.columns).alias("doc"), row.alias("row"), F.xxhash64(row).alias("hash"))
+    classes = stage(jaccard.jaccard_labels(named.select("row", "doc.text"), "row", "text"), "pipeline-classes")
+    number = F.substring_index("row", ":", 1)
+    number = F.when(number != "", number).cast("bigint")
+    first = F.min(F.struct(number.isNull().alias("nameless"), number.alias("id"), "row")).alias("first")
+    groups = classes.where("label IS NOT NULL").groupBy("label").agg(F.count("*").alias("rows"), first).where("rows > 1")
+    grouped = classes.join(groups, "label").select("row", F.xxhash64("row").alias("hash"), (F.col("first.row") == F.col("row")).alias("stays"))
+    grouped = stage(grouped.distinct(), "pipeline-grouped")
+    told = marked(named, "hash", grouped.select("hash"))
+    met = told.where("open").join(grouped.select("row", "stays"), "row", "left")
+    kept = [told.where("NOT open"), met.where("stays IS NULL"), met.where("stays").dropDuplicates(["row"])]
+    return reduce(DataFrame.unionByName, [rows.select("doc.*") for rows in kept])
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their personal values under pseudonyms."""
-    kept = pii.pseudonymise(docs, "text").select(*docs.columns)
+    """Documents with their personal values under pseudonyms, with the key that the session names."""
+    kept = pii.pseudonymise(docs, "text", spark.conf.get(KEY_NAME, SHOWN_KEY)).select(*docs.columns)
     if "n_chars" not in docs.columns:
         return kept
     length = F.length("text").cast(docs.schema["n_chars"].dataType)
