@@ -345,6 +345,7 @@ def jaccard_components(
     found = stage(_Join(rows, shingle, percent).labels(), "jaccard-rows")
     found = found.withColumn("key", F.expr("nullif(key, '')").cast("bigint"))
     smallest = found.where("label IS NOT NULL").groupBy("label").agg(F.min("key").alias("component"))
+    smallest = stage(smallest, "jaccard-names")  # a written side lets adaptive execution split a large component's rows
     own = F.when(F.col("label").isNull(), F.col("key")).otherwise(F.col("component"))
     return found.join(smallest, "label", "left").select(
         F.col("key").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id")
