@@ -68,6 +68,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     number = F.when(number != "", number).cast("bigint")
     first = F.min(F.struct(number.isNull().alias("nameless"), number.alias("id"), "row")).alias("first")
     groups = classes.where("label IS NOT NULL").groupBy("label").agg(F.count("*").alias("rows"), first).where("rows > 1")
+    groups = stage(groups, "pipeline-groups")  # a written side lets adaptive execution split a large group's rows
     grouped = classes.join(groups, "label").select("row", F.xxhash64("row").alias("hash"), (F.col("first.row") == F.col("row")).alias("stays"))
     grouped = stage(grouped.distinct(), "pipeline-grouped")
     told = marked(named, "hash", grouped.select("hash"))
