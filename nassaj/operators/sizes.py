@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 MAX_LABELS = 5_000
 
@@ -23,6 +23,11 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def named_folder(spark: SparkSession) -> str | None:
+    """The shared folder that the session names, if it names one."""
+    return spark.conf.get("spark.checkpoint.dir", None)
+
+
 @contextmanager
 def kept(df: DataFrame, folder: str | None = None) -> Iterator[DataFrame]:
     """``df`` written once for repeated passes, removed at the end of the ``with`` block.
@@ -31,7 +36,7 @@ def kept(df: DataFrame, folder: str | None = None) -> Iterator[DataFrame]:
     share it. Where none is named the rows are cached on the executors, to be computed again where lost.
     """
     spark = df.sparkSession
-    folder = folder or spark.conf.get("spark.checkpoint.dir", None)
+    folder = folder or named_folder(spark)
     if folder is None:
         cached = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:

@@ -23,7 +23,7 @@ from nassaj.operators.tfidf import TfidfModel
 from nassaj.plans.classify import Classifier, train_text_classification
 from nassaj.plans.evaluate import evaluate_classification, evaluate_ner, evaluate_summarization
 from nassaj.sources.readers import (
-    read_any, read_inference_input, read_stopwords, read_summary_pairs, read_tagged, with_row_id,
+    read_any, read_inference_input, read_numbered, read_stopwords, read_summary_pairs, read_tagged, with_row_id,
 )
 from nassaj.sources.writers import save_csv, save_predictions
 
@@ -78,6 +78,11 @@ def _with_id(df: DataFrame, id_col: str) -> DataFrame:
     return df if id_col in df.columns else with_row_id(df, id_col)
 
 
+def _read_with_id(spark: SparkSession, path: str, id_col: str, options: Mapping | None) -> DataFrame:
+    df = read_any(spark, path, **(options or {}))
+    return df if id_col in df.columns else read_numbered(spark, path, id_col, **(options or {}))
+
+
 def train_classifier(
     spark: SparkSession,
     data_path: str,
@@ -95,7 +100,7 @@ def train_classifier(
     Rows without an id are numbered by file name and place, so that the split is the same however the
     files are read.
     """
-    df = _with_id(read_any(spark, data_path, **(reader_options or {})), id_col)
+    df = _read_with_id(spark, data_path, id_col, reader_options)
     text = text_column or ("cleaned_text" if "cleaned_text" in df.columns else "text")
     return train_text_classification(
         df, model_type, text, label_column, id_col, output_dir=output_dir,
@@ -148,7 +153,10 @@ def prepare_seq2seq(
     """Padded id rows for a summarizer; ``encode`` maps text to its piece ids."""
 
     def ready(path: str) -> DataFrame:
-        df = check_pairs(_with_id(read_summary_pairs(spark, path, **(reader_options or {})), "id"))
+        df = read_summary_pairs(spark, path, **(reader_options or {}))
+        if "id" not in df.columns and path.lower().endswith(".csv"):
+            df = read_summary_pairs(spark, path, row_id="id", **(reader_options or {}))
+        df = check_pairs(_with_id(df, "id"))
         df = df.withColumns({"input_ids": encode(F.col("text")), "target_ids": encode(F.col("summary"))})
         return prepare_summary_pairs(df, **lengths).drop("target_ids")
 
@@ -240,10 +248,8 @@ def infer(
 
 def _paired(truth: DataFrame, prediction: DataFrame, id_col: str, by_position: bool, t: str, p: str,
             cast: str | None = "string") -> DataFrame:
-    if by_position:
-        truth, prediction = with_row_id(truth, "_row"), with_row_id(prediction, "_row")
-        id_col = "_row"
-    return pair(truth, prediction, id_col, t, p, cast)
+    """Rows that were read by position have their number in ``_row``."""
+    return pair(truth, prediction, "_row" if by_position else id_col, t, p, cast)
 
 
 def evaluate(
@@ -271,17 +277,19 @@ def evaluate(
     """
     _check_task(task)
     read = partial(read_any, spark, **(reader_options or {}))
+    if by_position:
+        read = partial(read_numbered, spark, name="_row", **(reader_options or {}))
     if task == "classification":
         if not prediction_path and not model_path:
             raise ValueError("Either model_path or prediction_path is required for classification.")
         truth = read(input_path)
-        label = pick_column(truth, label_column, 1)
+        label = pick_column(truth.drop("_row"), label_column, 1)
         if prediction_path:
             predicted = read(prediction_path)
-            column = pick_column(predicted, prediction_column, 1)
+            column = pick_column(predicted.drop("_row"), prediction_column, 1)
             pairs = _paired(truth, predicted, id_col, by_position, label, column)
         else:
-            text = pick_column(truth, text_column, 0)
+            text = pick_column(truth.drop("_row"), text_column, 0)
             pairs = Classifier.load(spark, model_path, model_type).predict(truth, text, output_col="_predicted").select(
                 F.col(label).cast("string").alias("truth"), F.col("_predicted").alias("prediction")
             )
@@ -291,6 +299,8 @@ def evaluate(
     if task == "ner":
         key = None if by_position else id_col
         truth, predicted = read_tagged(spark, input_path, key), read_tagged(spark, prediction_path, key)
+        if by_position:
+            truth, predicted = with_row_id(truth, "_row"), with_row_id(predicted, "_row")
         pairs = _paired(truth, predicted, id_col, by_position, "tags", "tags", None)
         return evaluate_ner(pairs, output_dir, prefix)
     truth, predicted = read(input_path), read(prediction_path)

@@ -10,7 +10,10 @@ from pyspark.sql import types as T
 
 from nassaj.functions import fixed
 from nassaj.operators.pairing import first_known
+from nassaj.sources.quoted import records
 
+#: Stands for a quoted empty value while a record is parsed.
+_EMPTY = "\0"
 FILE_TYPES = ("csv", "json", "jsonl", "txt", "parquet")
 TAGGED = T.StructType([
     T.StructField("tokens", T.ArrayType(T.StringType())),
@@ -60,23 +63,41 @@ load_text_data = read_text
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: str | T.StructType | None = None, multiline: bool = False,
-    check_quotes: bool = True, **options,
+    spark: SparkSession, path: str | list[str], schema: str | T.StructType | None = None, row_id: str | None = None, **options,
 ) -> DataFrame:
     """CSV with a header; all columns are strings unless ``schema`` says otherwise.
 
-    Large files are read in parallel pieces. Line breaks inside quotes need ``multiline``, which reads
-    each file in one task; without it a line with an open quote raises, found by a pass over the lines
-    that ``check_quotes=False`` leaves out.
+    Files are read in parallel pieces, with line breaks in quotes too (see :mod:`nassaj.sources.quoted`); the states of the
+    pieces are found when the query is built. Values are read as Spark reads CSV, by its options (``sep``,
+    ``nullValue``, ..), but that a quoted empty value is an empty text, an unquoted one null; ``encoding`` must
+    keep ASCII as single bytes. ``row_id`` adds a column that numbers the rows 0, 1, .. in the order of the files'
+    names and of their places in them.
     """
-    if check_quotes and not multiline:
-        quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-        if not spark.read.text(path).where(quotes % 2 == 1).isEmpty():
-            raise ValueError(f"{path} has a quoted line break or an open quote; pass multiline=True")
-    reader = spark.read.options(**options)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.csv(path, header=True, multiLine=multiline, quote='"', escape='"')
+    sep = options.pop("sep", options.pop("delimiter", ","))
+    encoding = options.pop("encoding", options.pop("charset", "utf-8"))
+    options = {"sep": sep, "quote": '"', "escape": '"', "emptyValue": _EMPTY, **options}
+    if schema is None:
+        names = spark.read.options(header=True, encoding=encoding, **options).csv(path).columns
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    elif isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    found = records(spark, path, sep, encoding, row_id is not None)
+    kind = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema)
+    text = F.regexp_replace("value", r"\r\z", "")
+    parsed = found.select("id", F.from_csv(text, kind, {k: str(v) for k, v in options.items()}).alias("r"))
+    values = [
+        F.when(F.col("r")[f.name] == _EMPTY, "").otherwise(F.col("r")[f.name]).alias(f.name)
+        if isinstance(f.dataType, T.StringType) and options["emptyValue"] == _EMPTY else F.col("r")[f.name].alias(f.name)
+        for f in schema
+    ]
+    return parsed.select(*([F.col("id").alias(row_id)] if row_id else []), *values)
+
+
+def read_numbered(spark: SparkSession, path: str, name: str, file_type: str | None = None, **options) -> DataFrame:
+    """:func:`read_any` with the rows numbered in the order of the files' names and of their places in them."""
+    if (file_type or _extension(path)).lower().lstrip(".") == "csv":
+        return read_csv(spark, path, row_id=name, **options)
+    return with_row_id(read_any(spark, path, file_type, **options), name)
 
 
 def read_json(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
@@ -129,7 +150,7 @@ def with_summary_columns(df: DataFrame) -> DataFrame:
 
 
 def read_summary_pairs(spark: SparkSession, path: str, **options) -> DataFrame:
-    """Text and summary pairs from CSV, JSON or JSON Lines."""
+    """Text and summary pairs from CSV, JSON or JSON Lines; ``row_id`` numbers the rows of CSV."""
     kind = _extension(path)
     if kind == "csv":
         df = read_csv(spark, path, **options)

@@ -13,12 +13,17 @@ _NESTED = (T.ArrayType, T.MapType, T.StructType)
 
 
 def save_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header in a folder; nested columns become JSON text."""
+    """CSV with a header in a folder, as :func:`~nassaj.sources.readers.read_csv` reads it back.
+
+    Nested columns become JSON text. Texts keep their white space; an empty text is quoted, a null is not.
+    """
     flat = [
         F.to_json(f.name).alias(f.name) if isinstance(f.dataType, _NESTED) else F.col(f.name)
         for f in df.schema.fields
     ]
-    df.select(*flat).write.mode(mode).csv(path, header=True, quote='"', escape='"')
+    df.select(*flat).write.mode(mode).csv(
+        path, header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
 
 
 def save_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from nassaj.operators import hooks
 from nassaj.plans import classify, jobs
 from nassaj.plans.evaluate import evaluate_classification, evaluate_ner, evaluate_summarization, print_classification
+from nassaj.sources import quoted as quoted_records
 from nassaj.sources import readers, writers
 from nassaj.streaming.preprocess import preprocess_stream, read_text_stream
 
@@ -51,10 +52,57 @@ def test_row_ids_over_many_partitions(spark, tmp_path):
 
 def test_read_csv(spark, tmp_path):
     path = write(tmp_path / "a.csv", '﻿text,label\n"a ""q""\nb",01\nc,\n')
-    df = readers.read_any(spark, path, multiline=True)
-    assert [tuple(r) for r in df.collect()] == [('a "q"\nb', "01"), ("c", None)]
-    with pytest.raises(ValueError, match="multiline"):
-        readers.read_any(spark, path)
+    assert [tuple(r) for r in readers.read_any(spark, path).collect()] == [('a "q"\nb', "01"), ("c", None)]
+    odd = write(tmp_path / "odd.csv", 'n;t\r\n\r\n1;a 5" screen\r\n2;"x\r\n;y"\r\n3;"""q"" z"\r\n4;""\r\n5;"k"l"m;n\r\n')
+    rows = readers.read_csv(spark, odd, "n int, t string", row_id="at", sep=";").collect()
+    assert sorted(map(tuple, rows)) == [
+        (0, 1, 'a 5" screen'), (1, 2, "x\r\n;y"), (2, 3, '"q" z'), (3, 4, ""), (4, 5, '"k"l"m'),
+    ]
+    (tmp_path / "latin.csv").write_bytes("t\né\n".encode("latin-1"))
+    assert [r[0] for r in readers.read_csv(spark, str(tmp_path / "latin.csv"), encoding="ISO-8859-1").collect()] == ["é"]
+    assert readers.read_csv(spark, write(tmp_path / "none.csv", "a,b\n")).collect() == []
+
+
+def test_state_of_quotes():
+    lines = ["", "a,b", '"a', 'a"', '"a"', '"a""', '"a"",', 'a,"b', 'x"y,"z', '"",""', '"""', '""",', ',"', '"a"b"c', '"a"b,"c']
+    for line in lines:
+        quoted, value = False, ""  # character by character
+        for start in (False, True):
+            quoted, fresh, i = start, not start, 0
+            while i < len(line):
+                if quoted:
+                    if line[i : i + 2] == '""':
+                        i += 1
+                    elif line[i] == '"':
+                        quoted = False
+                elif line[i] == '"' and fresh:
+                    quoted = True
+                fresh, i = not quoted and line[i] == ",", i + 1
+            assert quoted_records.ends_inside(line, start, ",") == quoted, (line, start)
+        assert value == ""
+
+
+@pytest.mark.parametrize("size", [64, 257, 1 << 20])
+def test_csv_in_many_pieces(spark, tmp_path, size):
+    import random
+
+    r = random.Random(size)
+    texts = ["plain", "", "line\nbreak", 'quo"te', '"', "\n\n", "a,b", '5" screen', "سطر\nآخر", "x" * 300 + "\n" + "y" * 300, ' " , " ']
+    rows = [(str(i), r.choice(texts), r.choice(texts)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id string, t string, u string")
+    writers.save_csv(df.coalesce(2), str(tmp_path / "c"))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        found = readers.read_csv(spark, str(tmp_path / "c"))
+        assert sorted(map(tuple, found.collect())) == sorted(rows)
+        numbered = readers.read_csv(spark, str(tmp_path / "c"), row_id="at")
+        assert [tuple(x)[1:] for x in sorted(numbered.collect())] == rows
+        assert sorted(x["at"] for x in numbered.collect()) == list(range(400))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
 def test_read_json(spark, tmp_path):

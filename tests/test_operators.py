@@ -431,9 +431,16 @@ def test_kept_tables_go_at_the_end(spark, tmp_path):
     with sizes.kept(df, str(tmp_path)) as written:
         assert written.count() == 5 and len(list(tmp_path.iterdir())) == 1
     assert not list(tmp_path.iterdir())
-    with sizes.kept(df) as cached:
-        assert cached.count() == 5 and cached.storageLevel.useMemory
-    assert not df.storageLevel.useMemory
+
+
+@pytest.mark.parametrize("named", [False, True])
+def test_kept_tables_follow_the_session(spark, tmp_path, monkeypatch, named):
+    monkeypatch.setattr(sizes, "named_folder", lambda session: str(tmp_path) if named else None)
+    df = spark.range(5)
+    with sizes.kept(df) as held:
+        assert held.count() == 5 and held.storageLevel.useMemory != named
+        assert bool(list(tmp_path.iterdir())) == named
+    assert not df.storageLevel.useMemory and not list(tmp_path.iterdir())
 
 
 def test_collect_is_bounded(spark):
