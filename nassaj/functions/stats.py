@@ -74,17 +74,16 @@ def summary(c: Column) -> Column:
     return let(sizes, counted)
 
 
-def corpus_summary(df: DataFrame, text_column: str, by: str) -> DataFrame:
-    """The statistics of every group of texts, including its distinct words.
+#: Binary logarithm of a sketch's size: estimates are within 2 % of the distinct words 19 times in 20.
+SKETCH_SIZE = 14
+_SUMS = ("n_words", "n_letters", "n_chars", "n_arabic")
 
-    Texts are read once. Words are reduced to the distinct ones of their text before the shuffle,
-    and exchanged by (group, word), so one large group is spread over all tasks; the texts' own
-    sums travel with them, added up in each task first.
-    """
+
+def _text_and_words(df: DataFrame, text_column: str, by: str) -> DataFrame:
+    """``_by, word`` and sums: one row with the text's own sums, and one without for each of its distinct words."""
     text = F.col(text_column)
     per_text = df.select(F.col(by).alias("_by"), tokenize(text).alias("words"), _letters(text).alias("letters"),
                          char_count(text).alias("chars"), arabic_char_ratio(text).alias("arabic"))
-    # One row with the text's own sums, and one without for each of its words.
     nothing = F.lit(None).cast("bigint")
     own = F.struct(
         F.lit(None).cast("string").alias("word"), F.size("words").cast("bigint").alias("n_words"),
@@ -95,12 +94,48 @@ def corpus_summary(df: DataFrame, text_column: str, by: str) -> DataFrame:
         w.alias("word"), nothing.alias("n_words"), nothing.alias("n_letters"), nothing.alias("n_chars"),
         F.lit(None).cast("double").alias("n_arabic"),
     ))
-    sums = ("n_words", "n_letters", "n_chars", "n_arabic")
-    rows = unnest(per_text, F.concat(F.array(own), words), "_by", name="w").select("_by", "w.*")
-    by_word = rows.groupBy("_by", "word").agg(F.count("n_words").alias("documents"), *[F.sum(c).alias(c) for c in sums])
-    return by_word.groupBy("_by").agg(
-        F.sum("documents").alias("documents"), F.sum("n_words").alias("words"), F.sum("n_chars").alias("chars"),
-        _ratio(F.sum("n_letters"), F.sum("n_words")).alias("avg_word_length"),
-        (F.sum("n_arabic") / F.sum("documents")).alias("avg_arabic_char_ratio"),
-        F.count("word").alias("unique_words"),
-    ).withColumn("lexical_diversity", _ratio(F.col("unique_words"), F.col("words"))).withColumnRenamed("_by", by)
+    return unnest(per_text, F.concat(F.array(own), words), "_by", name="w").select("_by", "w.*")
+
+
+def _described(sums: DataFrame, by: str, unique_words: Column) -> DataFrame:
+    return sums.select(
+        F.col("_by").alias(by), "documents", F.col("n_words").alias("words"), F.col("n_chars").alias("chars"),
+        _ratio(F.col("n_letters"), F.col("n_words")).alias("avg_word_length"),
+        (F.col("n_arabic") / F.col("documents")).alias("avg_arabic_char_ratio"),
+        unique_words.alias("unique_words"), _ratio(unique_words, F.col("n_words")).alias("lexical_diversity"),
+    )
+
+
+def corpus_summary(df: DataFrame, text_column: str, by: str) -> DataFrame:
+    """The statistics of every group of texts, including its distinct words.
+
+    Texts are read once. Words are reduced to the distinct ones of their text before the shuffle,
+    and exchanged by (group, word), so one large group is spread over all tasks; the texts' own
+    sums travel with them, added up in each task first.
+    """
+    rows = _text_and_words(df, text_column, by)
+    by_word = rows.groupBy("_by", "word").agg(F.count("n_words").alias("documents"), *[F.sum(c).alias(c) for c in _SUMS])
+    sums = by_word.groupBy("_by").agg(
+        F.sum("documents").alias("documents"), *[F.sum(c).alias(c) for c in _SUMS], F.count("word").alias("unique")
+    )
+    return _described(sums, by, F.col("unique"))
+
+
+def partial_summary(df: DataFrame, text_column: str, by: str) -> DataFrame:
+    """Statistics of one part of a corpus, such as a day's, to be kept and merged with others by :func:`merged_summary`.
+
+    Sums are exact; the distinct words are in a sketch of at most 2^``SKETCH_SIZE`` bytes, so that no word is shuffled. Groups
+    are kept in the column ``by``.
+    """
+    rows = _text_and_words(df, text_column, by)
+    return rows.groupBy(F.col("_by").alias(by)).agg(
+        F.count("n_words").alias("documents"), *[F.sum(c).alias(c) for c in _SUMS], F.hll_sketch_agg("word", SKETCH_SIZE).alias("words_sketch")
+    )
+
+
+def merged_summary(parts: DataFrame, by: str) -> DataFrame:
+    """The columns of :func:`corpus_summary` from the rows of any number of parts; ``unique_words`` is an estimate."""
+    sums = parts.groupBy(F.col(by).alias("_by")).agg(
+        F.sum("documents").alias("documents"), *[F.sum(c).alias(c) for c in _SUMS], F.hll_union_agg("words_sketch").alias("sketch")
+    )
+    return _described(sums, by, F.hll_sketch_estimate("sketch"))

@@ -2,56 +2,27 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nassaj.functions.arrays import let, ngrams, positions, unnest
+from nassaj.functions.arrays import positions, unnest
 from nassaj.functions.tokens import tokenize
 from nassaj.operators.entities import PREDICTIONS, entity_groups
-
-_HEAD = 3  # words of a phrase that are tested before the whole phrase is built
-LISTED_HEADS = 20_000
+from nassaj.operators.sieve import marked
 
 
 def _phrases(gazetteer: DataFrame, phrase_col: str, type_col: str) -> DataFrame:
-    """``phrase, length, head, entity_type``, one row per phrase."""
+    """``phrase, length, start, entity_type``, one row per phrase; ``start`` is its first token."""
     words = tokenize(F.col(phrase_col))
     parts = gazetteer.select(words.alias("words"), F.col(type_col).alias("entity_type"))
     return (
         parts.where(F.size("words") > 0)
-        .select(
-            F.array_join("words", " ").alias("phrase"),
-            F.size("words").alias("length"),
-            F.array_join(F.slice("words", 1, _HEAD), " ").alias("head"),
-            "entity_type",
-        )
-        .groupBy("phrase", "length", "head")
+        .select(F.array_join("words", " ").alias("phrase"), F.size("words").alias("length"), F.col("words")[0].alias("start"), "entity_type")
+        .groupBy("phrase", "length", "start")
         .agg(F.min("entity_type").alias("entity_type"))
     )
 
 
-def _candidates(tokens: Column, lengths: list[int], heads: set[str] | None) -> Column:
-    """``array<struct<first, length, phrase>>`` of the word runs worth looking up."""
-    size = min(lengths[0], _HEAD)
-
-    def runs(starts: Column) -> Column:
-        known = positions(F.size(starts))
-        if heads is not None:
-            known = F.filter(known, lambda i: F.get(starts, i).isin(sorted(heads)))
-        return F.flatten(F.transform(known, lambda i: F.filter(
-            F.array(*[
-                F.struct(i.alias("first"), F.lit(n).alias("length"),
-                         F.array_join(F.slice(tokens, i + 1, F.lit(n)), " ").alias("phrase"))
-                for n in lengths
-            ]),
-            lambda run: run["first"] + run["length"] <= F.size(tokens),
-        )))
-
-    return let(ngrams(tokens, size), runs)
-
-
 def gazetteer_tags(
     df: DataFrame,
     gazetteer: DataFrame,
@@ -59,38 +30,27 @@ def gazetteer_tags(
     text_col: str = "text",
     phrase_col: str = "phrase",
     type_col: str = "entity_type",
-    listed_heads: int = LISTED_HEADS,
 ) -> DataFrame:
     """``id, pos, token, tag`` of every token inside a known phrase.
 
     Where phrases overlap, a token belongs to the longest, then the earliest one;
-    the first token of its phrase is tagged B-, the others I-. Word runs are built
-    only in the lengths that the gazetteer has and, while its phrases start in at most
-    ``listed_heads`` ways, only where such a start is found: the list goes into the
-    expression. With more the tags are the same, by looking up every run. The starts
-    are found when the query is built.
+    the first token of its phrase is tagged B-, the others I-. The plan is the same for any number of phrases: tokens that
+    cannot begin one are dropped by a sieve of fixed size; the others are joined with the lengths of the phrases that begin so,
+    and the runs of these lengths with the phrases. The longest phrase is found when the query is built.
     """
     known = _phrases(gazetteer, phrase_col, type_col)
-    shapes = known.select("length", "head").distinct()
-    listed = shapes.limit(listed_heads + 1).collect()
-    complete = len(listed) <= listed_heads
-    if not complete:
-        listed = shapes.select("length").distinct().withColumn("head", F.lit("")).collect()
-    lengths: dict[int, set[int]] = defaultdict(set)
-    heads: dict[int, set[str]] = defaultdict(set)
-    for row in listed:
-        words = min(row["length"], _HEAD)
-        lengths[words].add(row["length"])
-        heads[words].add(row["head"])
-
-    none = F.array().cast("array<struct<first:int,length:int,phrase:string>>")
+    longest = known.agg(F.max("length")).first()[0] or 0
+    starts = known.groupBy("start").agg(F.collect_set("length").alias("lengths"))
     tokens = df.select(id_col, tokenize(F.col(text_col)).alias("tokens"))
-    runs = [
-        _candidates(F.col("tokens"), sorted(lengths[k]), heads[k] if complete else None)
-        for k in sorted(lengths)
-    ]
-    found = unnest(tokens, F.concat(none, *runs), id_col, name="run").select(id_col, "run.*").join(
-        known.drop("head"), ["phrase", "length"]
+    runs = F.transform(positions(F.size("tokens")), lambda i: F.struct(
+        i.alias("first"), F.get("tokens", i).alias("start"), F.slice("tokens", i + 1, F.lit(longest)).alias("run")
+    ))
+    placed = unnest(tokens, runs, id_col, name="at").select(id_col, "at.*").withColumn("_hash", F.xxhash64("start"))
+    able = marked(placed, "_hash", starts.select(F.xxhash64("start").alias("_hash")), name="_open").where("_open")
+    sized = able.select(id_col, "first", "start", "run").join(starts, "start")
+    sized = unnest(sized, F.filter("lengths", lambda n: n <= F.size("run")), id_col, "first", "run", name="length")
+    found = sized.select(id_col, "first", "length", F.array_join(F.slice("run", F.lit(1), F.col("length")), " ").alias("phrase")).join(
+        known.drop("start"), ["phrase", "length"]
     )
     covered = unnest(
         found, F.split("phrase", " "), id_col, "length", "first", "entity_type", name="token", pos="offset"

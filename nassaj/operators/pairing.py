@@ -18,21 +18,26 @@ def pair(
 ) -> DataFrame:
     """``id, truth, prediction`` for every id; both sides must hold each id once.
 
-    A missing or repeated id fails the query, whichever columns are asked for. Stacking
-    and grouping instead of joining keeps a repeated id from multiplying rows
-    before the check sees it. ``cast`` makes labels comparable when one file
+    A missing, null or repeated id fails the query, whichever columns are asked for. Stacking
+    and grouping instead of joining keeps a repeated id from multiplying rows before the check sees it; every
+    task counts its own rows of an id before they are shuffled, and fails at a null id at once, so that ids on
+    many rows never gather in one task. ``cast`` makes labels comparable when one file
     held them as numbers.
     """
     if cast:
         truth = truth.withColumn(truth_col, F.col(truth_col).cast(cast))
         prediction = prediction.withColumn(prediction_col, F.col(prediction_col).cast(cast))
-    left = truth.select(F.col(id_col).alias("id"), F.struct(F.col(truth_col).alias("v")).alias("truth"))
+
+    def named(side: str) -> Column:
+        missing = F.raise_error(F.lit(f"a row of the {side} has no id"))
+        return F.when(F.col(id_col).isNotNull(), F.col(id_col)).otherwise(missing).alias("id")
+
+    left = truth.select(named("truth"), F.struct(F.col(truth_col).alias("v")).alias("truth"))
     right = prediction.select(
-        F.col(id_col).alias("id"), F.struct(F.col(prediction_col).alias("v")).alias("prediction")
+        named("predictions"), F.struct(F.col(prediction_col).alias("v")).alias("prediction")
     )
     grouped = (
         left.unionByName(right, allowMissingColumns=True)
-        .repartition("id")
         .groupBy("id")
         .agg(
             F.count("truth").alias("n_truth"),

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from nassaj.functions.arrays import let, unnest
 from nassaj.operators.metrics import label_scores, report_rows
-from nassaj.operators.pairing import fail_unless
 
 _NO_TYPE = "_"
 _OUTSIDE = "O"
@@ -99,18 +98,21 @@ def span_rows(df: DataFrame, id_col: str = "id", tags_col: str = "tags") -> Data
     return unnest(df, entity_spans(F.col(tags_col)), id_col, name="span").select(id_col, "span.*")
 
 
-def _same_length(pairs: DataFrame) -> DataFrame:
-    agree = F.size("truth") == F.size("prediction")
+def _if_same_length(value: Column) -> Column:
+    """``value``, failing where truth and prediction differ in length.
+
+    Part of the value and no filter: a filter would be pushed to the scan and compute both sequences a second time there.
+    """
     problem = F.raise_error(F.concat(
         F.lit("tag sequences of different length at id "), F.col("id").cast("string")
     ))
-    return fail_unless(pairs, agree, problem)
+    return F.when(F.size("truth") == F.size("prediction"), value).otherwise(problem)
 
 
 def token_accuracy(pairs: DataFrame) -> DataFrame:
     """One row: the share of equal tags over all tokens."""
     equal = F.size(F.filter(F.zip_with("truth", "prediction", lambda a, b: a == b), lambda x: x))
-    checked = _same_length(pairs).select(equal.alias("hits"), F.size("truth").alias("tokens"))
+    checked = pairs.select(_if_same_length(equal).alias("hits"), F.size("truth").alias("tokens"))
     tokens = F.sum("tokens")
     return checked.agg(
         F.when(tokens > 0, F.sum("hits") / tokens).otherwise(F.lit(0.0)).alias("accuracy")
@@ -134,8 +136,8 @@ def _tallied(pairs: DataFrame, *more: Column) -> DataFrame:
     extra = F.concat(*more) if more else F.array().cast(
         "array<struct<label:string,support:int,predicted:int,correct:int>>"
     )
-    per_row = _same_length(pairs).select(
-        keys("truth").alias("t"), keys("prediction").alias("p"), extra.alias("more")
+    per_row = pairs.select(
+        _if_same_length(keys("truth")).alias("t"), keys("prediction").alias("p"), extra.alias("more")
     )
     per_row = per_row.select("t", "p", F.array_intersect("t", "p").alias("both"), "more")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from nassaj.functions import fixed
 from nassaj.functions.arrays import unnest
 from nassaj.functions.clean import CleanConfig
+from nassaj.operators.sieve import marked
 
 
 def remove_listed_tokens(
@@ -15,16 +16,17 @@ def remove_listed_tokens(
 ) -> DataFrame:
     """``df`` with listed and one-character tokens out of its token arrays, in order.
 
-    Rows stay one to one and keep all columns. Each distinct token array sends its
-    distinct tokens once; those on the list come back as a short array, and the
+    Rows stay one to one and keep all columns. Only tokens that pass a sieve of the list, of fixed size
+    however long the list is, are sent to the join with it; those found come back as a short array, and the
     row's tokens are filtered against it in place. A null array stays null.
     """
     longer = F.filter(tokens_col, lambda t: F.length(t) > 1)
     key = F.sha2(F.to_json(F.struct(F.col(tokens_col).alias("t"))), 256)
-    arrays = df.select(key.alias("_key"), F.array_distinct(longer).alias("_t")).dropDuplicates(["_key"])
     listed = stopwords.select(F.col(word_col).alias("_token")).distinct()
-    found = unnest(arrays, F.col("_t"), "_key", name="_token").join(listed, "_token", "left_semi")
-    hits = found.groupBy("_key").agg(F.collect_list("_token").alias("_listed"))
+    hashed = unnest(df.select(key.alias("_key"), F.array_distinct(longer).alias("_t")), F.col("_t"), "_key", name="_token")
+    hashed = hashed.withColumn("_hash", F.xxhash64("_token"))
+    able = marked(hashed, "_hash", listed.select(F.xxhash64("_token").alias("_hash")), name="_open").where("_open")
+    hits = able.join(listed, "_token", "left_semi").groupBy("_key").agg(F.collect_set("_token").alias("_listed"))
     none = F.coalesce("_listed", F.array().cast("array<string>"))
     return (
         df.withColumn("_key", key).join(hits, "_key", "left")

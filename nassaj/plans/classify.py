@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
 from pyspark.ml.evaluation import Evaluator
@@ -14,15 +15,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nassaj.functions import fixed
+from nassaj.operators import svc
 from nassaj.operators.metrics import classification_metrics, classification_report, confusion_counts
 from nassaj.operators.sizes import MAX_LABELS, collect_bounded, kept
 from nassaj.operators.split import stratified_folds, validation_flag
+from nassaj.operators.svc import SquaredHingeSVC
 from nassaj.operators.tfidf import TfidfModel, document_terms
 from nassaj.sources.writers import load_document, load_model, path_exists, save_document, save_model
 
 MODEL_TYPES = ("logistic_regression", "linear_svc")
 LR_ITERATIONS = 1000
 SVC_ITERATIONS = 10_000
+LOSSES = ("hinge", "squared_hinge")
 TOLERANCE = 1e-4
 
 
@@ -46,13 +50,18 @@ def estimator(
     tol: float = TOLERANCE,
     fit_intercept: bool = True,
     one_vs_rest: bool = False,
+    loss: str = "squared_hinge",
 ):
     """A linear classifier with inverse regularization ``C`` over ``rows`` rows.
 
     ``C`` weighs the summed loss against half the squared norm; Spark weighs the
-    mean loss, hence ``regParam = 1 / (C * rows)``. The SVC has hinge loss, and one
-    model per class beyond two classes.
+    mean loss, hence ``regParam = 1 / (C * rows)``. The SVC has squared hinge loss, its intercept regularised, or
+    hinge loss, its intercept free, and one model per class beyond two classes.
     """
+    if loss not in LOSSES:
+        raise ValueError(f"Unknown loss: {loss}. Choose one of {', '.join(LOSSES)}.")
+    if model_type == "linear_svc" and loss == "squared_hinge" and fit_intercept:
+        return SquaredHingeSVC(classes=classes, C=C, tol=tol, max_iter=max_iter or SVC_ITERATIONS)
     common = {
         "regParam": 1.0 / (C * rows), "tol": tol, "fitIntercept": fit_intercept,
         "standardization": False, "featuresCol": "features", "labelCol": "label",
@@ -64,31 +73,59 @@ def estimator(
     return svc if classes == 2 else OneVsRest(classifier=svc)
 
 
+def _squared_hinge_scores(
+    folded: DataFrame, classes: int, grid: list[dict], tol: float = TOLERANCE, max_iter: int | None = None
+) -> list[float]:
+    """Mean macro F1 over the folds of squared hinge candidates, all fitted in the same passes over the vectors."""
+    folds = range(fixed.GRID_FOLDS)
+    candidates = [[q for f in folds for q in svc.problems_of(classes, g["C"], f)] for g in grid]
+    weights = svc.solve(folded, [q for qs in candidates for q in qs], tol, max_iter or SVC_ITERATIONS)
+    split = np.split(weights, len(grid))
+    counts = svc.held_out_counts(folded, classes, candidates, split).collect()  # cells of bounded tables
+    table = folded.sparkSession.createDataFrame(counts, "candidate int, fold int, truth double, prediction double, n long")
+
+    def score(k: int) -> float:
+        parts = [classification_metrics(table.where(f"candidate = {k} AND fold = {f}")).first()["f1_macro"] for f in folds]
+        return sum(parts) / len(parts)
+
+    return [score(k) for k in range(len(grid))]
+
+
 def search(
     train: DataFrame, model_type: str, classes: int, rows: int, seed: int, parallelism: int = 2, **params
 ) -> tuple[PipelineModel, dict, float]:
-    """Three-fold grid search by macro F1 over C, and over the LR multi-class form.
+    """Three-fold grid search by macro F1 over C, and over the LR's multi-class form or the SVC's loss.
 
-    Returns the model refitted on all rows, its parameters and its score.
+    Returns the model refitted on all rows, its parameters and its score. Candidates with squared hinge loss are fitted
+    together, the others one by one.
     """
     fold_rows = rows - rows // fixed.GRID_FOLDS
-    forms = (False, True) if model_type == "logistic_regression" and classes > 2 else (False,)
-    grid = [
-        {"C": c, "one_vs_rest": form} for c in params.pop("grid", fixed.REGULARIZATION_GRID)
-        for form in forms
-    ]
-    stage = Pipeline(stages=[])
-    candidates = [[estimator(model_type, classes, fold_rows, **g, **params)] for g in grid]
+    if model_type == "linear_svc":
+        axis = [{"loss": x} for x in ([params.pop("loss")] if "loss" in params else LOSSES)]
+    else:
+        axis = [{"one_vs_rest": x} for x in ((False, True) if classes > 2 else (False,))]
+    grid = [{"C": c, **x} for c in params.pop("grid", fixed.REGULARIZATION_GRID) for x in axis]
+    together = [g for g in grid if g.get("loss") == "squared_hinge" and params.get("fit_intercept", True)]
+    single = [g for g in grid if g not in together]
+    scores: dict[int, float] = {}
     with kept(stratified_folds(train, "id", "label", fixed.GRID_FOLDS, seed)) as folded:
-        found = CrossValidator(
-            estimator=stage,
-            estimatorParamMaps=ParamGridBuilder().addGrid(stage.stages, candidates).build(),
-            evaluator=MacroF1(), numFolds=fixed.GRID_FOLDS, foldCol="fold", seed=seed,
-            parallelism=parallelism,
-        ).fit(folded)
-    best = max(range(len(grid)), key=lambda i: found.avgMetrics[i])
+        if together:
+            limits = {k: params[k] for k in ("tol", "max_iter") if k in params}
+            found = _squared_hinge_scores(folded, classes, together, **limits)
+            scores.update(zip(map(grid.index, together), found, strict=True))
+        if single:
+            stage = Pipeline(stages=[])
+            candidates = [[estimator(model_type, classes, fold_rows, **g, **params)] for g in single]
+            found = CrossValidator(
+                estimator=stage,
+                estimatorParamMaps=ParamGridBuilder().addGrid(stage.stages, candidates).build(),
+                evaluator=MacroF1(), numFolds=fixed.GRID_FOLDS, foldCol="fold", seed=seed,
+                parallelism=parallelism,
+            ).fit(folded)
+            scores.update(zip(map(grid.index, single), found.avgMetrics, strict=True))
+    best = max(range(len(grid)), key=lambda i: scores[i])
     refit = Pipeline(stages=[estimator(model_type, classes, rows, **grid[best], **params)])
-    return refit.fit(train), grid[best], found.avgMetrics[best]
+    return refit.fit(train), grid[best], scores[best]
 
 
 @dataclass

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from nassaj.operators import hooks
+from nassaj.operators import hooks, svc
 from nassaj.plans import classify, jobs
 from nassaj.plans.evaluate import evaluate_classification, evaluate_ner, evaluate_summarization, print_classification
 from nassaj.sources import quoted as quoted_records
@@ -214,6 +214,83 @@ def test_regularization_matches_the_summed_loss(spark):
     assert abs((p - y).sum()) < 1e-3
 
 
+def dense_squared_hinge(x, t, C):
+    """Newton with the whole Hessian."""
+    import numpy as np
+
+    x = np.hstack([x, np.ones((len(x), 1))])
+    w = np.zeros(x.shape[1])
+
+    def value(w):
+        return w @ w / 2 + C * (np.maximum(0, 1 - t * (x @ w)) ** 2).sum()
+
+    for _ in range(100):
+        short = np.maximum(0, 1 - t * (x @ w))
+        g = w - 2 * C * x.T @ (t * short)
+        active = x[short > 0]
+        s, step = np.linalg.solve(np.eye(len(w)) + 2 * C * active.T @ active, -g), 1.0
+        while value(w + step * s) > value(w) and step > 1e-12:
+            step /= 2
+        w = w + step * s
+    return w
+
+
+def svc_rows(spark, classes, n=90, d=5):
+    import numpy as np
+    from pyspark.ml.linalg import Vectors
+
+    rng = np.random.default_rng(classes)
+    centres = rng.normal(size=(classes, d)) * 2
+    y = rng.integers(0, classes, n)
+    x = centres[y] + rng.normal(size=(n, d))
+    x[rng.random((n, d)) < 0.3] = 0
+    x[0] = 0
+    make = [Vectors.dense(r) if i % 2 else Vectors.sparse(d, [(j, float(v)) for j, v in enumerate(r) if v]) for i, r in enumerate(x)]
+    rows = [(i, float(t), v, int(i % 3)) for i, (t, v) in enumerate(zip(y, make, strict=True))]
+    return spark.createDataFrame(rows, ["id", "label", "features", "fold"]).repartition(3), x, y
+
+
+@pytest.mark.parametrize("classes", [2, 3])
+def test_squared_hinge_is_at_the_optimum(spark, classes):
+    import numpy as np
+
+    df, x, y = svc_rows(spark, classes)
+    problems = [q for C in (0.1, 10.0) for f in (-1, 1) for q in svc.problems_of(classes, C, f)]
+    found = svc.solve(df, problems, 1e-10, 100)
+    for q, w in zip(problems, found, strict=True):
+        kept = np.arange(len(y)) % 3 != q.left_out
+        assert np.abs(w - dense_squared_hinge(x[kept], np.where(y[kept] == q.positive, 1.0, -1.0), q.C)).max() < 1e-6
+    model = classify.estimator("linear_svc", classes, len(y), C=10.0).fit(df)
+    margins = np.stack([np.append(r, 1) @ w for r in x for w in found[len(problems) // 2 :][: 1 if classes == 2 else classes]]).reshape(len(x), -1)
+    want = (margins[:, 0] > 0).astype(int) if classes == 2 else margins.argmax(1)
+    got = [int(r["prediction"]) for r in model.transform(df).orderBy("id").collect()]
+    assert sum(a != b for a, b in zip(got, want, strict=True)) <= 1
+    with pytest.raises(ValueError, match="Unknown loss"):
+        classify.estimator("linear_svc", classes, 9, loss="log")
+
+
+def test_grid_over_both_losses(spark, monkeypatch):
+    """Scores of the shared passes are those of fits one by one."""
+    import numpy as np
+
+    df, x, y = svc_rows(spark, 3)
+    scores = classify._squared_hinge_scores(df, 3, [{"C": 0.01}, {"C": 1.0}], tol=1e-8)
+    for C, score in zip((0.01, 1.0), scores, strict=True):
+        parts = []
+        for f in range(3):
+            out = np.arange(len(y)) % 3 == f
+            ws = [dense_squared_hinge(x[~out], np.where(y[~out] == k, 1.0, -1.0), C) for k in range(3)]
+            chosen = np.stack([np.hstack([x[out], np.ones((out.sum(), 1))]) @ w for w in ws], 1).argmax(1)
+            f1 = [2 * ((chosen == k) & (y[out] == k)).sum() / max(1, (chosen == k).sum() + (y[out] == k).sum()) for k in range(3)]
+            parts.append(np.mean(f1))
+        assert score == pytest.approx(np.mean(parts), abs=1e-9)
+    model, best, score = classify.search(df.drop("fold"), "linear_svc", 3, len(y), 42, max_iter=10, grid=(0.1, 1.0))
+    assert set(best) == {"C", "loss"} and best["loss"] in classify.LOSSES and 0 < score <= 1
+    assert model.transform(df).count() == len(y)
+    _, best, _ = classify.search(df.drop("fold"), "linear_svc", 3, len(y), 42, max_iter=10, grid=(1.0,), loss="hinge")
+    assert best == {"C": 1.0, "loss": "hinge"}
+
+
 def test_grid_search(spark, labelled):
     model, _ = classify.train_text_classification(labelled, hyperparameter_tuning=True, max_iter=3)
     assert model.best_params["C"] in (0.1, 1.0, 10.0) and 0 <= model.best_score <= 1

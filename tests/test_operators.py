@@ -1,13 +1,15 @@
 import math
 import random
 from collections import Counter, defaultdict
+from functools import partial
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from nassaj.operators import entities, extract, gazetteer, hooks, metrics, pairing, roc, rouge, sequences, sizes, spans, split, tfidf
+from nassaj.functions import stats
+from nassaj.operators import entities, extract, gazetteer, hooks, metrics, pairing, roc, rouge, sequences, sieve, sizes, spans, split, tfidf
 from nassaj.operators.entities import entity_groups
 from tests.conftest import plan_of
 
@@ -316,19 +318,60 @@ def brute_gazetteer(text, phrases):
     return {(j, words[j], ("B-" if j == -first else "I-") + kind) for j, (_, first, kind) in best.items()}
 
 
-@pytest.mark.parametrize("listed", [20_000, 0])
-def test_gazetteer(spark, listed):
+@pytest.mark.parametrize("bits", [64, 1 << 24])
+def test_gazetteer(spark, bits, monkeypatch):
+    monkeypatch.setattr(gazetteer, "marked", partial(sieve.marked, bits=bits))
     rng = random.Random(5)
     texts = [" ".join(rng.choice("abc") for _ in range(rng.randint(0, 25))) for _ in range(20)]
     phrases = [("a", "ONE"), ("a b", "TWO"), ("b c a", "THREE"), ("a b c a b", "FIVE"), ("c c", "CC"), (" ", "NONE")]
     docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
     known = spark.createDataFrame(phrases, "phrase string, entity_type string")
     got = defaultdict(set)
-    for r in gazetteer.gazetteer_tags(docs, known, listed_heads=listed).collect():
+    for r in gazetteer.gazetteer_tags(docs, known).collect():
         got[r["id"]].add((r["pos"], r["token"], r["tag"]))
     kept = [p for p in phrases if p[0].strip()]
     assert {i: got[i] for i in range(20)} == {i: brute_gazetteer(t, kept) for i, t in enumerate(texts)}
     assert gazetteer.gazetteer_tags(docs, known.limit(0)).columns == ["id", "pos", "token", "tag"]
+    assert gazetteer.gazetteer_tags(docs, known.limit(0)).collect() == []
+
+
+def test_sieve_lets_all_keys_through(spark):
+    keys = spark.range(0, 5000, 7).selectExpr("xxhash64(id) AS h")
+    rows = spark.range(5000).selectExpr("id", "xxhash64(id) AS h", "'x' AS word", "1 AS marks", "2 AS _word", "3 AS _marks")
+    for bits in (64, 1 << 10, 1 << 24):
+        told = sieve.marked(rows, "h", keys, bits)
+        assert told.columns == [*rows.columns, "open"] and told.count() == 5000
+        assert told.where("open AND id % 7 = 0").count() == 715
+        assert bits < 1 << 24 or told.where("open").count() == 715
+    assert sieve.marked(rows, "h", keys.limit(0)).where("open").count() == 0
+
+
+def test_pairing_stops_at_ids_on_many_rows(spark):
+    truth = spark.range(1_000_000).selectExpr("cast(null AS bigint) AS id", "'a' AS label")
+    with pytest.raises(Exception, match="row of the truth has no id"):
+        pairing.pair(truth, spark.range(3).selectExpr("id", "'a' AS prediction")).collect()
+    truth = spark.range(1_000_000).selectExpr("7 AS id", "'a' AS label")
+    pairs = pairing.pair(truth, spark.range(3).selectExpr("id", "'a' AS prediction"))
+    with pytest.raises(Exception, match="truth and predictions do not match at id"):
+        pairs.collect()
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_count") > plan.index("Exchange")  # counted in the tasks, then shuffled
+
+
+def test_merged_summaries(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice("xy"), " ".join(f"w{rng.randint(0, 40_000)}" for _ in range(60)), d) for d in range(4) for _ in range(400)]
+    df = spark.createDataFrame([*rows, ("z", None, 1), (None, "one two", 2)], "lang string, text string, day int")
+    parts = [stats.partial_summary(df.where(f"day = {d}"), "text", "lang") for d in range(4)]
+    merged = parts[0].unionByName(parts[1]).unionByName(parts[2].unionByName(parts[3]))
+    want = {r["lang"]: r for r in stats.corpus_summary(df, "text", "lang").collect()}
+    found = stats.merged_summary(merged, "lang").collect()
+    assert len(found) == len(want) == 4
+    for r in found:
+        w = want[r["lang"]]
+        assert [r[c] for c in ("documents", "words", "chars", "avg_word_length")] == [w[c] for c in ("documents", "words", "chars", "avg_word_length")]
+        assert abs(r["unique_words"] - w["unique_words"]) <= 0.02 * w["unique_words"]
+        assert abs(r["lexical_diversity"] - w["lexical_diversity"]) <= 0.02
 
 
 # --- summaries ------------------------------------------------------------------
@@ -424,6 +467,28 @@ def test_hook_checks_result_count(spark):
         spark.createDataFrame([("a",)], "t string").select(run(F.col("t"))).collect()
 
 
+# --- ROC ------------------------------------------------------------------------
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_roc_of_any_scores(spark, seed):
+    import random
+
+    r = random.Random(seed)
+    odd = [0.0, -0.0, 5e-324, -5e-324, 1e-300, 1.7e308, -1.7e308, float("inf"), float("-inf"), float("nan"), 1.0, 2.0, 0.5, -1.0, -2.0]
+    scores = odd + [r.choice(odd) for _ in range(20)] + [r.gauss(0, 1) for _ in range(60)] + [0.75 + r.random() * 1e-9 for _ in range(60)]
+    rows = [(r.randint(0, 1), s) for s in scores]
+    df = spark.createDataFrame(rows, "label int, score double")
+    got = sorted(((r["fpr"], r["tpr"]) for r in roc.roc_points(df).collect()))
+    key = lambda s: (s != s, 0.0 if s != s else s)
+    pos, neg = sum(y for y, _ in rows), sum(1 - y for y, _ in rows)
+    want = sorted({
+        (sum(1 - y for y, s in rows if key(s) >= key(cut)) / neg, sum(y for y, s in rows if key(s) >= key(cut)) / pos) for cut in scores
+    })
+    assert [(round(a, 12), round(b, 12)) for a, b in dict.fromkeys(got)] == [(round(a, 12), round(b, 12)) for a, b in want]
+    with pytest.raises(Exception, match="no label or no score"):
+        roc.roc_auc(df.unionByName(spark.createDataFrame([(None, 1.0)], "label int, score double"))).collect()
+
+
 # --- sizes ----------------------------------------------------------------------
 
 def test_kept_tables_go_at_the_end(spark, tmp_path):
