@@ -21,7 +21,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nassaj.llm.sieve import SIEVE_BITS, marked
+from nassaj.operators.sieve import SIEVE_BITS, marked
 from nassaj.llm.staging import stage
 
 PREFIX = 128
