@@ -3,9 +3,10 @@
 A line fails when it
 - repeats an earlier line of its text (``repeat``),
 - is a menu: every fourth word or more is a bare separator (``navigation``),
-- names a cookie, privacy or script notice, or claims rights (``boilerplate``),
+- is a notice on cookies, privacy or scripts, or a claim of rights: their phrases make up a quarter of its
+  characters or more, so that a sentence that only mentions one stays (``boilerplate``),
 - is noise: as many symbols as half its words, exclamation runs on half of them, or, from three
-  words on, more upper than lower case among at least 20 letters (``punctuation``),
+  words on, at least 10 upper-case letters, more than it has lower-case ones (``punctuation``),
 - is long, from 12 words on, and holds no sentence mark at all (``punctuation``).
 
 Lines without a word are dropped and count for nothing. A text is kept when its words number
@@ -37,6 +38,8 @@ BOILERPLATE = (
     "terms of service", "enable javascript", "javascript is disabled", "subscribe to our newsletter",
     "sign up for our newsletter", "skip to content", "powered by",
 )
+#: A line is a notice when its phrases, so many times over, are as long as the line.
+NOTICE_SHARE = 4
 REASONS = ("repeat", "navigation", "boilerplate", "punctuation")
 SCHEMA = (
     "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
@@ -77,7 +80,8 @@ def line_fault(line: str, words: list[bytes]) -> str | None:
     n = len(words)
     if 4 * sum(line.count(f" {s} ") for s in SEPARATORS) >= n:
         return "navigation"
-    if _PHRASE.search(line.lower()):
+    low = line.lower()
+    if NOTICE_SHARE * (len(low) - len(_PHRASE.sub("", low))) >= len(low):
         return "boilerplate"
     if 2 * sum(map(line.count, SYMBOLS)) >= n or 2 * line.count("!!") >= n:
         return "punctuation"

@@ -46,9 +46,10 @@ rep AS (
             list_sum(list_transform(['|', '>', '<', '/', '-', '*', '»', '›', '•', '·'],
                 lambda s: (length(line) - length(replace(line, ' ' || s || ' ', ''))) // 3))
         ) >= len(words) THEN 'navigation'
-        WHEN regexp_matches(lower(line), 'all rights reserved|cookie policy|we use cookies|accept cookies|privacy policy|'
-            || 'terms of use|terms of service|enable javascript|javascript is disabled|subscribe to our newsletter|'
-            || 'sign up for our newsletter|skip to content|powered by') THEN 'boilerplate'
+        WHEN 4 * (length(lower(line)) - length(regexp_replace(lower(line), 'all rights reserved|cookie policy|we use cookies|'
+            || 'accept cookies|privacy policy|terms of use|terms of service|enable javascript|javascript is disabled|'
+            || 'subscribe to our newsletter|sign up for our newsletter|skip to content|powered by', '', 'g'))) >= length(lower(line))
+            THEN 'boilerplate'
         WHEN 2 * length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) >= len(words) THEN 'punctuation'
         WHEN 2 * ((length(line) - length(replace(line, '!!', ''))) // 2) >= len(words) THEN 'punctuation'
         WHEN len(words) >= 3 AND length(regexp_replace(line, '[^\p{{Lu}}]', '', 'g')) >= 10

@@ -38,9 +38,10 @@ def test_line_verdicts(spark):
         (14, f"{prose}\n{prose}"),
         (15, "All rights reserved.\n" + prose),
         (16, " ".join(f"w{k}" for k in range(40))),
+        (17, "The town hall, which is powered by a small water mill below the old bridge, keeps its privacy policy in a drawer."),
     ]
     found = {r["doc_id"]: r["v"] for r in rows_of(spark, EDGES + texts).select("doc_id", lines.line_rules("text").alias("v")).collect()}
-    assert [k for k, v in found.items() if v["kept"]] == [10, 15]
+    assert [k for k, v in found.items() if v["kept"]] == [10, 15, 17]
     assert found[10]["navigation"] == 1 and "Home" not in found[10]["cleaned"] and prose in found[10]["cleaned"]
     assert found[14]["n_dup_lines"] == 1 and found[14]["base_failed"]
     assert found[15]["boilerplate"] == 1
