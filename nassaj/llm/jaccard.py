@@ -313,7 +313,8 @@ class _Join:
             F.max_by("part", F.struct("k", "part")).alias("main"), F.max("k").alias("most"), F.sum("k").alias("all")
         ).where("most < all")
         blocks = F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int")
-        return stage(part.join(main.select("shingle", "main", blocks.alias("blocks")), "shingle"), "jaccard-mixed")
+        main = stage(main.select("shingle", "main", blocks.alias("blocks")), "jaccard-main")  # written, so that a large shingle's rows can be split
+        return stage(part.join(main, "shingle"), "jaccard-mixed")
 
     def left_over(self, mixed: DataFrame) -> DataFrame:
         """Pairs across components that share a prefix shingle, smaller node first."""
