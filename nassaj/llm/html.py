@@ -14,12 +14,14 @@ weigh as text. A title (``h1``) weighs in full, linked or not.
 
 Null, empty and markup-only pages give an empty text. Elements end where HTML ends them, so an end tag
 that may be left out (of head, p, li, dd, option, table parts) is not missed; others end with their parent or the page. A stray
-``<`` is text. Pages are read whole and judged one by one.
+``<`` is text; a tag with an open quote ends at its first ``>``. Pages are read whole, in time linear in their length, and judged
+one by one.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from html import unescape
 
@@ -75,8 +77,8 @@ REMARKS = frozenset("no has with without".split())
 ARTICLE = frozenset(("article", "main"))
 CONTAINERS = frozenset("div section article main td th center fieldset details".split())
 
-_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*+)>""")
-_LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
+_TAG_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_MARK = re.compile(r"""[>"']""")
 _NAMED = re.compile(r"""\b(class|id|role|style|aria-hidden)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)", re.I)
 
@@ -86,10 +88,8 @@ def _is_aside(name: str, attributes: str, in_article: bool) -> bool:
         return True
     if not attributes or name in ("html", "body", "article", "main"):
         return False
-    rest = attributes
     for key, value in _NAMED.findall(attributes):
         value, key = value.strip("\"'").lower(), key.lower()
-        rest = rest.replace(value, "") if value else rest
         if key == "role":
             if value in ASIDE_ROLES:
                 return True
@@ -106,7 +106,35 @@ def _is_aside(name: str, attributes: str, in_article: bool) -> bool:
                     not ASIDE_NAMES.isdisjoint(words) or "header" in words and not in_article
                 ):
                     return True
-    return bool(_HIDDEN.search(re.sub(r"\"[^\"]*\"|'[^']*'", "", rest).replace("aria-hidden", "")))
+    rest = re.sub(r"\"[^\"]*\"|'[^']*'", "", _NAMED.sub(" ", attributes))
+    return bool(_HIDDEN.search(rest.replace("aria-hidden", "")))
+
+
+class _Ends:
+    """Where tags end, known for all places of a page at once, so that no tag is searched to the page's end."""
+
+    def __init__(self, html: str) -> None:
+        self.marks = [m.start() for m in _MARK.finditer(html)]
+        n = len(self.marks)
+        self.loose, self.closed = [-1] * (n + 1), [-1] * (n + 1)
+        following: dict[str, int] = {}
+        for i in range(n - 1, -1, -1):
+            mark = html[self.marks[i]]
+            if mark == ">":
+                self.loose[i] = self.closed[i] = self.marks[i]
+            else:
+                self.loose[i] = self.loose[i + 1]
+                self.closed[i] = self.closed[following[mark] + 1] if mark in following else -1
+                following[mark] = i
+
+    def bracket(self, at: int) -> int:
+        """The first ``>`` from a place on, or -1."""
+        return self.loose[bisect_left(self.marks, at)]
+
+    def tag(self, at: int) -> int:
+        """The ``>`` that ends a tag whose attributes begin at a place: outside quotes if there is one, else the first."""
+        i = bisect_left(self.marks, at)
+        return self.closed[i] if self.closed[i] >= 0 else self.loose[i]
 
 
 class _Lines:
@@ -133,7 +161,7 @@ class _Open:
 
     def __init__(self) -> None:
         self.names: list[str] = []
-        self.counts: dict[str, int] = {}
+        self.places: dict[str, list[int]] = {}
         self.homes: list[tuple[int, int]] = []  # of open containers: their place and number
         self.met = 0
         self.aside = -1  # the place of the aside being skipped
@@ -142,12 +170,14 @@ class _Open:
         if name in CONTAINERS:
             self.met += 1
             self.homes.append((len(self.names), self.met))
+        self.places.setdefault(name, []).append(len(self.names))
         self.names.append(name)
-        self.counts[name] = self.counts.get(name, 0) + 1
 
     def cut(self, size: int) -> None:
         while len(self.names) > size:
-            self.counts[self.names.pop()] -= 1
+            name = self.names.pop()
+            if name:
+                self.places[name].pop()
         while self.homes and self.homes[-1][0] >= size:
             self.homes.pop()
 
@@ -158,17 +188,16 @@ class _Open:
 
     def place(self, ends: frozenset[str], scope: frozenset[str]) -> int:
         """The innermost open element of some names inside a scope, or -1."""
-        if any(self.counts.get(name) for name in ends):
-            for k in range(len(self.names) - 1, -1, -1):
-                if self.names[k] in ends:
-                    return k
-                if self.names[k] in scope:
-                    break
-        return -1
+        at = self.last(ends)
+        return at if at >= 0 and at >= self.last(scope) else -1
+
+    def last(self, names: frozenset[str]) -> int:
+        """The innermost open element of some names, or -1."""
+        return max((self.places[name][-1] for name in names if self.places.get(name)), default=-1)
 
     def start(self, name: str) -> None:
         """End what a start tag ends."""
-        if self.counts.get("head") and name not in IN_HEAD:
+        if self.places.get("head") and name not in IN_HEAD:
             self.end("head")
         if name in SIBLINGS:
             ends, scope = SIBLINGS[name]
@@ -187,13 +216,14 @@ class _Open:
         ends = HEADINGS if name in HEADINGS else frozenset((name,))
         at = self.place(ends, frozenset(("table",)) if name in TABLE_PARTS else SCOPES)
         if name in INLINE and at > self.aside and at >= 0:  # blocks in it stay open
-            self.counts[self.names.pop(at)] -= 1
+            self.places[self.names[at]].pop()
+            self.names[at] = ""
         elif at >= 0:
             self.cut(at)
 
 
 def lines(html: str) -> list[tuple[str, int, bool, int]]:
-    out, opened = _Lines(), _Open()
+    out, opened, ends = _Lines(), _Open(), _Ends(html)
     at, end, articles, links = 0, len(html), 0, 0
     skip = ""  # the aside being skipped
     while at < end:
@@ -219,15 +249,16 @@ def lines(html: str) -> list[tuple[str, int, bool, int]]:
             close = html.find(">", lt)
             at = end if close < 0 else close + 1
             continue
-        m = _TAG.match(html, lt) or _LOOSE_TAG.match(html, lt)
+        m = _TAG_NAME.match(html, lt) if ends.bracket(lt) >= 0 else None
         if not m:
             if not skip:
                 out.home = out.home if out.parts else opened.home()
                 out.parts.append("<")
             at = lt + 1
             continue
-        closing, name, attributes = m[1], m[2].lower(), m[3]
-        at = m.end()
+        closing, name, close = m[1], m[2].lower(), ends.tag(m.end())
+        attributes = html[m.end() : close]
+        at = close + 1
         if closing:
             opened.end(name)
         else:
