@@ -3,16 +3,17 @@
 The kernel of two texts is the number of n-grams of letters, of 1 to ``MAX_N`` at a time (a blended
 spectrum), that are present in both, over the root of the product of their own numbers. Letters are
 lowered and everything else is a word border; a letter of the Latin alphabet has a code of its own and
-others share the remaining ones.
+others share the remaining 37, so letters of larger scripts meet in one code.
 
-Training takes, per language, the ``PER_LANGUAGE`` labelled rows with the smallest hash of their key, a
-bound that does not grow with the input. ``LANDMARKS`` of them, dealt evenly over the languages, are the
+Training takes, per language, the ``PER_LANGUAGE`` labelled keys with the smallest hash, a bound that does not grow
+with the input; of rows that share key and language the one whose text hashes lowest. More than ``MAX_LANGUAGES``
+languages raise. ``LANDMARKS`` of the rows, dealt evenly over the languages, are the
 Nystroem landmarks: kernel ridge regression, one language against the rest, is solved in the space
 they span. A text is scored by two matrix products, its n-gram presence with the landmarks' and
 their kernel values with the coefficients; batches hold as many texts as fit ``BATCH_CELLS``.
 
 Null texts and texts without a letter get ``und`` and score 0. Scores are a softmax over the languages.
-Unlabelled rows do not train. Without any training text every text is ``und``. Texts are read whole; ties go to the
+Rows without a label or a key do not train. Without any training text every text is ``und``. Texts are read whole; ties go to the
 language that comes first by name; repeated rows get the same answer.
 """
 
@@ -25,9 +26,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from nassaj.operators.sizes import collect_bounded
+
 MAX_N = 3
 ALPHABET = 64
 PER_LANGUAGE = 300
+MAX_LANGUAGES = 5_000
 LANDMARKS = 192
 RIDGE = 1e-2
 SHARPNESS = 8.0
@@ -135,15 +139,17 @@ def _cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"lang": df["lang"], "cells": [present(t, seen) for t in df["text"]]})
 
 
-def smallest_hashes(keyed: DataFrame, group: str, count: int) -> DataFrame:
-    """The ``count`` rows of each group with the smallest hash ``h``. Rows whose hash is far too large to be
-    among them are dropped where they are read, so a group with most of the rows gathers no more than another."""
-    sizes = keyed.groupBy(group).agg(F.count("*").alias("size"))
-    likely = keyed.join(F.broadcast(sizes), group).where(
+def smallest_hashes(keyed: DataFrame, group: str, count: int, max_groups: int = MAX_LANGUAGES) -> DataFrame:
+    """The ``count`` different rows of each group with the smallest hash ``h`` of their key. Rows whose hash is far too
+    large to be among them are dropped where they are read, and equal rows met in a task are one, so a group or a key
+    with most of the rows gathers no more than another."""
+    sizes = collect_bounded(keyed.groupBy(group).agg(F.approx_count_distinct("h").alias("size")), f"values of {group}", max_groups)
+    table = keyed.sparkSession.createDataFrame(sizes, keyed.select(group, F.lit(0).cast("long").alias("size")).schema)
+    likely = keyed.join(F.broadcast(table), group).where(
         (F.col("size") <= 2 * count) | (F.col("h").cast("double") / 2.0**63 < 4.0 * count / F.col("size") - 1)
-    )
-    nth = F.row_number().over(Window.partitionBy(group).orderBy("h", "key"))
-    return likely.withColumn("nth", nth).where(F.col("nth") <= count).drop("nth", "size")
+    ).drop("size").distinct()
+    nth = F.row_number().over(Window.partitionBy(group).orderBy("h", *[c for c in keyed.columns if c not in (group, "h")]))
+    return likely.withColumn("nth", nth).where(F.col("nth") <= count).drop("nth")
 
 
 def fit(docs: DataFrame, key: str, text: str, lang: str, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS):
@@ -152,7 +158,8 @@ def fit(docs: DataFrame, key: str, text: str, lang: str, per_language: int = PER
     rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     keyed = rows.select("key", "lang", F.xxhash64(F.col("key").cast("string")).alias("h"))
     chosen = smallest_hashes(keyed, "lang", per_language)
-    sample = rows.join(F.broadcast(chosen.select("key", "lang").distinct()), ["key", "lang"], "left_semi")
+    sample = rows.join(F.broadcast(chosen.select("key", "lang")), ["key", "lang"], "left_semi")
+    sample = sample.groupBy("key", "lang").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
     found = sample.select("lang", "text").mapInPandas(_cells, "lang string, cells array<int>").collect()
     kept = sorted(((r["lang"], r["cells"]) for r in found if r["cells"]), key=lambda x: (x[0], len(x[1]), x[1][:50]))
     model = Model([np.array(c) for _, c in kept], [x for x, _ in kept], landmarks) if kept else None

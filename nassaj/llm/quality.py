@@ -184,6 +184,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, sam
     keyed = known.select("key", "label", F.xxhash64(F.col("key").cast("string")).alias("h"), F.lit(0).alias("all"))
     chosen = smallest_hashes(keyed, "all", sample).select("key", "label")
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(chosen), "key")
+    rows = rows.groupBy("key", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
     found = rows.select("label", "text").mapInPandas(_measured, "label double, x array<double>").collect()
     found.sort(key=lambda r: (r["label"], r["x"]))
     model = Model(np.array([r["x"] for r in found]), np.array([r["label"] for r in found])) if found else None
