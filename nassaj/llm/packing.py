@@ -18,6 +18,7 @@ is a queue of its own. Repeated rows are packed as often as they come. No table,
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -29,8 +30,11 @@ from pyspark.sql import types as T
 
 from nassaj.llm import bpe
 from nassaj.llm.staging import stage
+from nassaj.operators.sizes import collect_bounded
 
 LENGTH = 2048
+MAX_SOURCES = 5_000
+CACHED_COUNTS = 2_000_000
 WINDOW_TOKENS = 64 * LENGTH
 PIECES = (
     "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, source string"
@@ -72,13 +76,13 @@ class Mixture:
     def spent(self, w: int) -> list[int]:
         """Tokens that each queue has given to the first ``w`` windows."""
         if w not in self.cache:
-            if len(self.cache) > 4096:
+            if len(self.cache) * len(self.names) > CACHED_COUNTS:
                 self.cache.clear()
             at = Fraction(w * self.window)
             if at >= self.total:
                 self.cache[w] = list(self.totals)
             else:
-                k = max(i for i, b in enumerate(self.breaks[:-1]) if b <= at)
+                k = bisect_right(self.breaks, at) - 1
                 more = at - self.breaks[k]
                 self.cache[w] = [int(e + r * more) for e, r in zip(self.earned[k], self.rates[k], strict=True)]
         return self.cache[w]
@@ -156,12 +160,14 @@ def _place(mixture: Mixture, length: int):
 def pack(
     docs: DataFrame, path: str, key: str = "doc_id", source: str = "source", text: str = "text",
     weights: dict | None = None, length: int = LENGTH, window_tokens: int = WINDOW_TOKENS, end_id: int = 1,
+    max_sources: int = MAX_SOURCES,
 ) -> DataFrame:
     """One row per piece: the key, where the piece starts in its document and its length, the CRC-32
     of its ids, the document's tokens, sequence and offset, and the source.
 
     The ids are written once to the shared folder; sums over the written parts, one row for each
-    source and part, give each part its place in the queues.
+    source and part, give each part its place in the queues. Every task knows all queues, so more than
+    ``max_sources`` of them raise.
     """
     # Keys go through Python as text: numbers with nulls among them would lose digits there.
     rows = docs.select(
@@ -174,7 +180,8 @@ def pack(
     ])
     ids = stage(rows.mapInPandas(_encode(path, end_id, key), ids_schema), "packing-ids")
     sums = stage(ids.groupBy("source", "part").agg(F.sum("n").alias("tokens")), "packing-sums")
-    totals = {r["source"]: r["tokens"] for r in sums.groupBy("source").agg(F.sum("tokens").alias("tokens")).collect()}
+    per_source = sums.groupBy("source").agg(F.sum("tokens").alias("tokens"))
+    totals = {r["source"]: r["tokens"] for r in collect_bounded(per_source, "sources", max_sources)}
     mixture = Mixture(totals, weights, window_tokens)
     earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = sums.select(
