@@ -84,6 +84,33 @@ def test_mixture_places_every_token_once(seed):
                 assert abs(spent - window * n / len(out)) <= 1
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_mixture_by_deficits_kept_step_by_step(seed):
+    import random
+    from fractions import Fraction
+
+    r = random.Random(seed)
+    totals = {f"s{k}": r.randrange(1, 900) for k in range(r.randrange(1, 7))}
+    weights = {s: r.randrange(1, 20) for s in totals} if seed % 2 else None
+    m, share = packing.Mixture(totals, weights, 64), {s: Fraction((weights or totals)[s]) for s in totals}
+    left, deficit, spent = {s: Fraction(n) for s, n in totals.items()}, dict.fromkeys(totals, Fraction(0)), dict.fromkeys(totals, 0)
+    for w in range(1, sum(totals.values()) // 64 + 3):
+        room = Fraction(64)
+        while room and any(left.values()):
+            active = [s for s in totals if left[s]]
+            whole = sum(share[s] for s in active)
+            step = min(room, *(left[s] * whole / share[s] for s in active))
+            for s in active:
+                left[s] -= step * share[s] / whole
+                deficit[s] += step * share[s] / whole
+            room -= step
+        for s in totals:
+            spent[s] += int(deficit[s])
+            deficit[s] -= int(deficit[s])
+        assert m.spent(w) == [spent[s] for s in m.names]
+    assert spent == totals
+
+
 def test_weights_steer_the_mixture():
     m = packing.Mixture({"a": 1000, "b": 1000}, {"a": 3, "b": 1}, 100)
     assert m.spent(4) == [300, 100] and m.spent(13) == [975, 325] and m.spent(20) == [1000, 1000]

@@ -104,7 +104,84 @@ def test_hash_sample_is_the_smallest(spark):
         assert sorted((r["h"], r["key"]) for r in got if r["g"] == g) == want
 
 
+def test_repeated_keys_train_once(spark):
+    rows = spark.range(40_000).selectExpr("if(id < 39000, 7, id) AS key", "if(id < 39500, 'hot', 'cold') AS g")
+    keyed = rows.withColumn("h", F.xxhash64("key"))
+    got = langid.smallest_hashes(keyed, "g", 100)
+    for g in ("hot", "cold"):
+        want = sorted((r["h"], r["key"]) for r in keyed.where(F.col("g") == g).distinct().collect())[:100]
+        assert sorted((r["h"], r["key"]) for r in got.where(F.col("g") == g).collect()) == want
+    with pytest.raises(ValueError, match="more than 1 "):
+        langid.smallest_hashes(keyed, "g", 100, max_groups=1)
+    docs = language_rows(spark)
+    again = docs.union(docs.where("doc_id < 60")).union(docs.where("doc_id < 30"))
+    first, second = (langid.fit(d, "doc_id", "text", "lang", 15, 12).value for d in (docs, again))
+    assert first.languages == second.languages and (first.coefficients == second.coefficients).all()
+    labels = docs.selectExpr("doc_id", "int(doc_id % 3 > 0) AS quality")
+    first = quality.fit(docs, labels, "doc_id", "text", "quality").value
+    second = quality.fit(again, labels.union(labels), "doc_id", "text", "quality").value
+    assert all((a == b).all() for a, b in zip(first.tables, second.tables, strict=True))
+
+
+@pytest.mark.parametrize("landmarks", [60, 20])
+def test_ridge_by_a_dense_solution(landmarks):
+    import random
+
+    import numpy as np
+
+    r, seen = random.Random(3), np.zeros(langid.CELLS, bool)
+    langs = [lang for lang in sorted(WORDS) for _ in range(30)]
+    texts = [langid.present(" ".join(r.choices(WORDS[lang].split(), k=6)) + " " + "".join(r.choices("bcdfgh", k=9)), seen) for lang in langs]
+    model = langid.Model(texts, langs, landmarks)
+
+    def kernel(a, b):
+        return np.array([[len(np.intersect1d(x, y)) / (len(x) * len(y)) ** 0.5 for y in b] for x in a])
+
+    n = len(set(langs))
+    marks = [i for k in range(30) for i in range(k, len(texts), 30)][: landmarks]
+    assert n * 30 == len(texts)
+    to_marks, between = kernel(texts, [texts[i] for i in marks]), kernel([texts[i] for i in marks], [texts[i] for i in marks])
+    target = np.array([[1.0 if x == lang else -1.0 for lang in model.languages] for x in langs])
+    inner = to_marks.T @ to_marks + langid.RIDGE * len(texts) * between
+    want = to_marks @ np.linalg.lstsq(inner, to_marks.T @ target, rcond=None)[0]
+    assert np.abs(model.kernel(texts) @ model.coefficients - want).max() < 2e-3
+
+
 # --- quality ----------------------------------------------------------------------
+def test_trees_by_brute_force():
+    import itertools
+
+    import numpy as np
+
+    def explained(g, h, parts):
+        return sum(g[p].sum() ** 2 / (h[p].sum() + 1) for p in parts)
+
+    def leaves(g, h, parts):
+        out = np.zeros(g.shape)
+        for p in parts:
+            out[p] = g[p].sum() / (h[p].sum() + 1)
+        return out
+
+    r = np.random.default_rng(1)
+    for _ in range(30):
+        g, h = r.normal(size=9), r.uniform(0.1, 1, 9)
+        cuts = []
+        for _ in range(2):  # the best further cut, if it explains more than none
+            options = [cuts, *(sorted((*cuts, c)) for c in range(1, 9) if c not in cuts)]
+            cuts = max(options, key=lambda o: explained(g, h, [slice(a, b) for a, b in itertools.pairwise((0, *o, 9))]))
+        assert np.allclose(quality._tree(g, h), leaves(g, h, [slice(a, b) for a, b in itertools.pairwise((0, *cuts, 9))]))
+        g, h = r.normal(size=(5, 4)), r.uniform(0.1, 1, (5, 4))
+        trees = []
+        for flip in (False, True):
+            n, m = (4, 5) if flip else (5, 4)
+            for a, b, c in itertools.product(range(1, n), range(1, m), range(1, m)):
+                cells = [(slice(0, a), slice(0, b)), (slice(0, a), slice(b, m)), (slice(a, n), slice(0, c)), (slice(a, n), slice(c, m))]
+                trees.append([x[::-1] for x in cells] if flip else cells)
+        best = max(trees, key=lambda t: explained(g, h, t))
+        gain, out = quality._pair_tree(g, h)
+        assert np.allclose(out, leaves(g, h, best)) and np.isclose(gain, explained(g, h, best) - g.sum() ** 2 / (h.sum() + 1))
+
+
 def test_quality_is_learned(spark):
     import random
 
@@ -153,6 +230,33 @@ def test_main_text(spark):
     assert found == {k: want for k, (_, want) in pages.items()}
 
 
+def test_regions_by_brute_force():
+    import random
+
+    r = random.Random(6)
+    for _ in range(500):
+        lengths, window, surge = [r.choice((0, 0, 0, 5, 30, 90)) for _ in range(r.randrange(25))], r.randrange(1, 5), r.choice((0, 20, 80))
+        sums, at, want = [sum(lengths[i : i + window]) for i in range(len(lengths))], 0, []
+        while at < len(lengths):
+            stop = at
+            while lengths[at] and stop < len(lengths) and sums[stop]:
+                stop += 1
+            if stop > at and max(sums[at:stop]) > surge:
+                want.append((at, stop))
+            at = max(stop, at + 1)
+        assert html.regions(lengths, window, surge) == want
+
+
+@pytest.mark.parametrize("page, ends", [
+    ("<p title='\">y " * 50_000, "y"), ("<a\"" * 100_000, "<a\""), ("<a" * 250_000, "<a"), ("<p " + "class=a " * 100_000 + ">x", "x"),
+    ("<li><table>" + "<x>" * 50_000 + "</li>" * 50_000 + "y", "y"), ("<span class=ad>" + "<span>" * 50_000 + "</span>" * 50_000, ""),
+])
+def test_odd_pages_take_linear_time(page, ends):
+    start = time.monotonic()
+    assert html.main_text(page).endswith(ends)
+    assert time.monotonic() - start < 10
+
+
 def test_regions():
     assert html.regions([0, 100, 0, 50, 0, 0, 0, 10, 0], 3, 80) == [(1, 4)]
     assert html.regions([5, 5], 3, 0) == [(0, 2)] and html.regions([], 3, 0) == [] and html.regions([0, 0], 3, 0) == []
