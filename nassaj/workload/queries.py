@@ -235,11 +235,15 @@ def _seq2seq_pairs(spark, sf):
     return with_summary_columns(pairs)
 
 
+def word_lengths(c: Column) -> Column:
+    """Stand-in piece ids: the length of every word."""
+    return F.transform(tokens.tokenize(c), lambda t: F.length(t))
+
+
 def _seq2seq_ids(mask: bool) -> Query:
     def run(spark, sf):
-        length = lambda c: F.transform(tokens.tokenize(F.col(c)), lambda t: F.length(t))
         df = views.turn_pairs(spark, sf).select(
-            "id", length("truth").alias("input_ids"), length("prediction").alias("target_ids")
+            "id", word_lengths(F.col("truth")).alias("input_ids"), word_lengths(F.col("prediction")).alias("target_ids")
         )
         out = sequences.prepare_summary_pairs(df, mask_pad=mask)
         return out.select("id", *[
@@ -370,7 +374,7 @@ def _paired_tables(spark, sf):
     return pairing.pair(labels, guess, "doc_id", "quality", "guess", "string").select("id", "truth", "prediction")
 
 
-def _stated_classifier(spark, docs) -> classify.Classifier:
+def stated_classifier(spark, docs) -> classify.Classifier:
     """A model with stated coefficients over the corpus' own TF-IDF weights."""
     fitted = tfidf.TfidfModel.fit(docs, "text")
     weights = [((7 * len(t) + ord(t[0])) % 11 - 5) / 2 for t in fitted.terms]
@@ -383,12 +387,12 @@ def _stated_classifier(spark, docs) -> classify.Classifier:
 
 def _stated_predictions(spark, sf):
     docs = views.documents(spark, sf)
-    out = _stated_classifier(spark, docs).predict(docs, "text", return_proba=True)
+    out = stated_classifier(spark, docs).predict(docs, "text", return_proba=True)
     return out.select("doc_id", "prediction", F.round(F.col("probabilities")["1"], 6).alias("probability"))
 
 
 def _stated_report(spark, sf):
-    model = _stated_classifier(spark, views.documents(spark, sf))
+    model = stated_classifier(spark, views.documents(spark, sf))
     pairs = model.predict(views.labelled(spark, sf), "text").select(F.col("label").alias("truth"), "prediction")
     report = metrics.classification_report(metrics.confusion_counts(pairs))
     return _rounded(report, "precision", "recall", "f1")

@@ -96,15 +96,20 @@ def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.withColumn("prediction", F.transform("truth", guess))
 
 
-def subword_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``id, word_ids, tags``: a piece per five letters, special pieces at both ends."""
+def word_ids(tokens: Column) -> Column:
+    """The word of every piece: a piece per five letters, special pieces at both ends."""
     edge = F.array(F.lit(None).cast("int"))
     repeated = F.flatten(F.transform(
-        "tokens",
+        tokens,
         lambda t, i: F.array_repeat(i, F.floor(F.length(t) / PIECE).cast("int") + 1),
     ))
+    return F.concat(edge, repeated, edge)
+
+
+def subword_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``id, word_ids, tags``."""
     return tagged(spark, sf_dir).select(
-        "id", F.concat(edge, repeated, edge).alias("word_ids"), F.col("truth").alias("tags")
+        "id", word_ids(F.col("tokens")).alias("word_ids"), F.col("truth").alias("tags")
     )
 
 
