@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from nassaj.llm import bpe, html, jaccard, langid, lines, nra, packing, pii, quality, refine, sharding, vafile, whitening
-from nassaj.llm.staging import small_batches
+from nassaj.llm.staging import new_path, small_batches
 
 #: Of the registered query alone; who pseudonymises data keeps a key of their own.
 SHOWN_KEY = "shown"
@@ -63,9 +63,11 @@ def op5_string_kernels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_shard_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The shard of every document, of 64."""
-    docs = _table(spark, sf_dir, "documents", "doc_id")
-    return sharding.place(docs, "doc_id", [f"shard-{k:02d}" for k in range(64)])
+    """Every document written to its shard, of 64; where each one lies, as read from the shards."""
+    docs = _table(spark, sf_dir, "documents", "*")
+    placed, path = sharding.place(docs, "doc_id", [f"shard-{k:02d}" for k in range(64)]), new_path(spark, "shards")
+    sharding.write(placed, path)
+    return spark.read.schema(placed.schema).parquet(path).select("doc_id", "slot", "shard")
 
 
 def op7_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,10 +13,12 @@ empty strings. Other columns are kept as they are; a column named like a result
 
 from __future__ import annotations
 
+from functools import reduce
 from hashlib import md5
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SLOTS = 65_537
 FILE_BYTES = 128 << 20
@@ -83,18 +85,29 @@ def place(
     return rows.join(F.broadcast(lookup(df.sparkSession, shards, slots, weights)), "slot").select(*kept, "slot", "shard")
 
 
+def _bytes(df: DataFrame) -> Column:
+    """About what a row takes: its values as text, nested ones as JSON."""
+    texts = [
+        F.to_json(f.name) if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) else F.col(f.name).cast("string")
+        for f in df.schema
+    ]
+    return reduce(Column.__add__, [F.coalesce(F.octet_length(t), F.lit(0)).cast("bigint") for t in texts])
+
+
 def write(placed: DataFrame, path: str, files_per_shard: int | None = None, file_bytes: int = FILE_BYTES) -> None:
     """Write placed rows as one folder per shard, ``files_per_shard`` files at most in each.
 
-    If not given, a shard has a file for every ``file_bytes`` of its rows as JSON, which reads ``placed`` once more.
-    Rows are dealt in turn, so a hot key is spread over the files of its shard.
+    If not given, a shard has a file for every ``file_bytes`` of its rows as text, which reads ``placed`` once more.
+    Rows are dealt by a hash of all their columns, so a hot key is spread over the files of its shard, and a task that
+    is run again deals as before. Rows that are equal in every column lie in one file.
     """
     part, files, many = "_part_of_shard", "_files_of_shard", []
-    rows = placed.withColumn(files, F.lit(files_per_shard))
+    rows = placed.withColumn(files, F.lit(files_per_shard).cast("bigint"))
     if not files_per_shard:
-        size = F.sum(F.octet_length(F.to_json(F.struct(*placed.columns))))
+        size = F.sum(_bytes(placed))
         counts = placed.groupBy("shard").agg(F.greatest(F.lit(1), F.ceil(size / file_bytes)).cast("bigint").alias(files)).collect()
         many = [max(1, sum(r[files] for r in counts))]  # a row per shard
         rows = placed.join(F.broadcast(placed.sparkSession.createDataFrame(counts, f"shard string, {files} bigint")), "shard")
-    rows = rows.withColumn(part, F.monotonically_increasing_id() % F.col(files))
+    whole = [F.to_json(f.name) if "map<" in f.dataType.simpleString() else F.col(f.name) for f in placed.schema]
+    rows = rows.withColumn(part, F.pmod(F.xxhash64(*whole), F.col(files)))
     rows.repartition(*many, "shard", part).drop(part, files).write.partitionBy("shard").parquet(path)

@@ -1,13 +1,13 @@
 """Tables written once to the shared folder and read again.
 
 The folder is the one that ``spark.checkpoint.dir`` names, so every executor reads the same
-files and a lost executor costs no recomputation. A local session that names none gets a
-temporary folder. An application's tables lie in one folder below it, removed at exit.
+files and a lost executor costs no recomputation. A local session that names none takes the
+temporary folder. An application's tables lie in one folder below it, removed when its JVM ends, whether or
+not the session was stopped before.
 """
 
 from __future__ import annotations
 
-import atexit
 import tempfile
 import uuid
 
@@ -22,31 +22,37 @@ def shared_folder(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if "" not in _homes:
-        _homes[""] = tempfile.mkdtemp(prefix="run-")
-    return _homes[""]
+    return tempfile.gettempdir()
 
 
 def _home(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _homes:
         _homes[app] = f"{shared_folder(spark).rstrip('/')}/staged-{app}-{uuid.uuid4().hex[:8]}"
-        atexit.register(drop, spark, _homes[app])
+        path, system = _at(spark, _homes[app])
+        system.mkdirs(path)
+        system.deleteOnExit(path)
     return _homes[app]
 
 
+def _at(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def drop(spark: SparkSession, folder: str) -> None:
-    """Remove a staged folder; a session that has ended leaves it to the owner of the shared folder."""
-    sc = spark.sparkContext
-    if sc._jsc is None or sc._jsc.sc().isStopped():
-        return
-    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    path, system = _at(spark, folder)
+    system.delete(path, True)
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the application's folder that nothing lies at."""
+    return f"{_home(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` and return the written table."""
-    path = f"{_home(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     staged = df.sparkSession.read.schema(df.schema).parquet(path)
     staged.staged_path = path

@@ -8,7 +8,8 @@ nothing can. The result is certain and exact.
 
 Vectors that are equal after rounding share one entry of the file, with the k + 1 smallest ids, all
 that a top-k with ties to smaller ids can need: a vector that many rows hold costs no more than one.
-Queries go through in blocks of about ``QUERY_BLOCK``, each against all entries.
+Queries are scanned in blocks of about ``QUERY_BLOCK``, each against all entries, many blocks in a job; what
+follows takes all queries together.
 
 A vector that is null or empty, or holds a null or non-finite component, takes no part, neither as
 query nor as candidate. Rows that repeat an id count once, with the smallest vector. A query sees the
@@ -18,7 +19,9 @@ them. A score beyond the range of long is null, in its right place.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -28,6 +31,8 @@ from pyspark.sql import functions as F
 from nassaj.llm.staging import stage
 
 QUERY_BLOCK = 1024
+#: Blocks of queries that one job scans for; each is a broadcast of its own.
+BLOCKS_A_JOB = 16
 CELLS = 256
 #: Vectors, smallest hashes first, whose quantiles cut the cells. Every vector is filed and bounded.
 EDGE_SAMPLE = 4096
@@ -116,29 +121,46 @@ def _ranked(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _block(spark, file: DataFrame, cells: DataFrame, bounds: tuple, rows: list, k: int, wide: bool) -> DataFrame:
-    ids, q = np.array([r["id"] for r in rows], np.int64), np.array([r["vector"] for r in rows], float)
-    sent = spark.sparkContext.broadcast((ids, q))
-    found = stage(
-        cells.mapInPandas(_scan(*bounds, sent, k), "query_id bigint, entry bigint, top double, bottom double"), "va-scan"
-    )
+def _scanned(cells: DataFrame, asking: DataFrame, bounds: tuple, k: int) -> DataFrame:
+    """What the scan leaves of every query's entries; a job takes ``BLOCKS_A_JOB`` blocks of queries."""
+    spark, blocks = cells.sparkSession, max(1, -(-asking.count() // QUERY_BLOCK))
+    numbered = asking.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
+    written = []
+    for first in range(0, blocks, BLOCKS_A_JOB):
+        rows = defaultdict(list)
+        for r in numbered.where(F.col("block").between(first, first + BLOCKS_A_JOB - 1)).collect():
+            rows[r["block"]].append(r)
+        scans = []
+        for block in rows.values():
+            queries = np.array([r["id"] for r in block], np.int64), np.array([r["vector"] for r in block], float)
+            scan = _scan(*bounds, spark.sparkContext.broadcast(queries), k)
+            scans.append(cells.mapInPandas(scan, "query_id bigint, entry bigint, top double, bottom double"))
+        if scans:
+            written.append(stage(reduce(DataFrame.unionAll, scans), "va-scan").staged_path)
+    return spark.read.parquet(*written)
+
+
+def _searched(file: DataFrame, cells: DataFrame, asking: DataFrame, bounds: tuple, k: int, wide: bool) -> DataFrame:
+    """The results of all queries of one dimension. A task sends no more than it needs of a query's ranked rows."""
+    found = _scanned(cells, asking, bounds, k)
     by_bottom = Window.partitionBy("query_id").orderBy(F.desc("bottom"))
     floors = (
         found.withColumn("nth", F.row_number().over(by_bottom)).where(F.col("nth") <= k + 1)
         .groupBy("query_id").agg(F.min("bottom").alias("floor"), F.count("*").alias("n"))
     )
-    open_ = found.join(floors, "query_id").where((F.col("n") <= k) | (F.col("top") >= F.col("floor")))
+    reaching = found.join(floors, "query_id").where((F.col("n") <= k) | (F.col("top") >= F.col("floor")))
+    open_ = stage(reaching.select("query_id", "entry", "top"), "va-open")
     by_top = Window.partitionBy("query_id").orderBy(F.desc("top"), "entry")
-    ordered = stage(open_.select("query_id", "entry", "top", F.row_number().over(by_top).alias("place")), "va-open")
-    vectors = spark.createDataFrame([(r["id"], r["vector"]) for r in rows], "query_id bigint, q array<bigint>")
+    first = open_.withColumn("place", F.row_number().over(by_top)).where(F.col("place") <= FIRST_READ * (k + 1))
+    first = stage(first.select("query_id", "entry"), "va-first")
+    vectors = asking.select(F.col("id").alias("query_id"), F.col("vector").alias("q"))
 
     def read(some: DataFrame) -> DataFrame:
-        return _exact(some.join(file, "entry").join(F.broadcast(vectors), "query_id"), wide)
+        return _exact(some.join(file, "entry").join(vectors, "query_id"), wide)
 
-    first = FIRST_READ * (k + 1)
-    begun = stage(_ranked(read(ordered.where(F.col("place") <= first)), k).drop("rank"), "va-begun")
+    begun = stage(_ranked(read(first), k).drop("rank"), "va-begun")
     kth = begun.groupBy("query_id").agg(F.min("score").alias("kth"), F.count("*").alias("n"))
-    left = ordered.where(F.col("place") > first).join(kth, "query_id", "left")
+    left = open_.join(first, ["query_id", "entry"], "left_anti").join(kth, "query_id", "left")
     left = left.where((F.coalesce("n", F.lit(0)) < k) | (F.col("top") >= F.col("kth").cast("double")))
     everything = begun.unionByName(read(left.select("query_id", "entry")))
     return stage(_ranked(everything, k), "va-result")
@@ -160,11 +182,7 @@ def top_k(
         wide = float(np.abs(bounds).max()) ** 2 * dim >= 2.0**62
         cells = stage(file.select("entry", "vector").mapInPandas(_file_cells(bounds[1]), "entry bigint, cells binary"), "va-cells")
         own = asking.where(F.size("vector") == dim)
-        blocks = -(-own.count() // QUERY_BLOCK)
-        for b in range(blocks):
-            asked = own.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).collect()
-            if asked:
-                results.append(_block(spark, file, cells, bounds, asked, k, wide))
+        results.append(_searched(file, cells, own, bounds, k, wide))
     columns = ["query_id bigint", "rank int", "id bigint", "score bigint"]
     if not results:
         return spark.createDataFrame([], ", ".join(columns)).withColumnRenamed("id", id)
