@@ -31,7 +31,11 @@ def _load_once(key: str, factory: ModelFactory) -> Callable[[list], list]:
 def batch_model(
     factory: ModelFactory, return_type: str, batch_size: int = fixed.BATCH_SIZE
 ) -> Callable[[Column], Column]:
-    """A column function that runs the model over Arrow batches of ``batch_size`` rows."""
+    """A column function that runs the model over ``batch_size`` rows at a time.
+
+    Results are sent on after every call of the model, so that a worker holds those of one call, however
+    many rows an Arrow batch of texts has.
+    """
     if batch_size < 1:
         raise ValueError("batch_size must be positive")
     key = uuid.uuid4().hex
@@ -40,14 +44,12 @@ def batch_model(
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = _load_once(key, factory)
         for texts in batches:
-            results: list = []
             for i in range(0, len(texts), batch_size):
                 part = list(texts.iloc[i : i + batch_size])
                 out = list(model(part))
                 if len(out) != len(part):
                     raise ValueError(f"model returned {len(out)} results for {len(part)} texts")
-                results.extend(out)
-            yield pd.Series(results, dtype=object)
+                yield pd.Series(out, dtype=object)
 
     return predict
 

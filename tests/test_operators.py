@@ -3,6 +3,7 @@ import random
 from collections import Counter, defaultdict
 from functools import partial
 
+import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -461,6 +462,12 @@ def test_hook_results_ignore_batching(spark):
         hooks.batch_model(lambda: None, "string", 0)
 
 
+def test_hook_sends_results_after_every_call(spark):
+    run = hooks.batch_model(lambda: lambda ts: [t + "!" for t in ts], "string", 3)
+    sent = [list(s) for s in run.func(iter([pd.Series(list("abcdefg")), pd.Series(["h"])]))]
+    assert sent == [["a!", "b!", "c!"], ["d!", "e!", "f!"], ["g!"], ["h!"]]
+
+
 def test_hook_checks_result_count(spark):
     run = hooks.summarizer(lambda: lambda ts: [])
     with pytest.raises(Exception, match="0 results for 1 texts"):
