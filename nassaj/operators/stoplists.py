@@ -10,19 +10,27 @@ from nassaj.functions.arrays import unnest
 from nassaj.functions.clean import CleanConfig
 from nassaj.operators.sieve import marked
 
+#: Lists up to this length go to the tasks as a part of the plan.
+MAX_INLINE = 10_000
+
 
 def remove_listed_tokens(
-    df: DataFrame, stopwords: DataFrame, tokens_col: str = "tokens", word_col: str = "word"
+    df: DataFrame, stopwords: DataFrame, tokens_col: str = "tokens", word_col: str = "word", max_inline: int = MAX_INLINE
 ) -> DataFrame:
     """``df`` with listed and one-character tokens out of its token arrays, in order.
 
-    Rows stay one to one and keep all columns. Only tokens that pass a sieve of the list, of fixed size
+    Rows stay one to one and keep all columns. The list is counted when the query is built. One of at most ``max_inline``
+    words is looked up where the rows are, in one narrow pass. Of a longer one no task holds all: only tokens that pass a sieve of the list, of fixed size
     however long the list is, are sent to the join with it; those found come back as a short array, and the
     row's tokens are filtered against it in place. A null array stays null.
     """
     longer = F.filter(tokens_col, lambda t: F.length(t) > 1)
+    listed = stopwords.select(F.col(word_col).alias("_token")).where(F.col("_token").isNotNull()).distinct()
+    few = [r["_token"] for r in listed.limit(max_inline + 1).collect()]
+    if len(few) <= max_inline:
+        kept = F.filter(longer, lambda t: ~t.isin(few)) if few else longer
+        return df.withColumn(tokens_col, kept).select(*df.columns)
     key = F.sha2(F.to_json(F.struct(F.col(tokens_col).alias("t"))), 256)
-    listed = stopwords.select(F.col(word_col).alias("_token")).distinct()
     hashed = unnest(df.select(key.alias("_key"), F.array_distinct(longer).alias("_t")), F.col("_t"), "_key", name="_token")
     hashed = hashed.withColumn("_hash", F.xxhash64("_token"))
     able = marked(hashed, "_hash", listed.select(F.xxhash64("_token").alias("_hash")), name="_open").where("_open")

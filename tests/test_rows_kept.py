@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from nassaj.operators import metrics, pairing, roc, sequences, spans, split
@@ -180,3 +181,16 @@ def test_ner_scores_come_from_one_tally(spark):
     assert {k: got[k] for k in ("precision", "recall", "f1")} == spans.ner_metrics(pairs).first().asDict()
     assert {k: v["support"] for k, v in got["per_entity"].items() if k in "AB"} == {"A": 1, "B": 1}
     assert json.dumps(got)
+
+
+def test_a_short_stopword_list_is_looked_up_in_place_and_a_long_one_joined(spark):
+    rows = [(1, ["aa", "bb", "c", "aa"]), (2, ["bb", None]), (3, None), (4, []), (4, ["cc", "dd"])]
+    df = spark.createDataFrame(rows, "id long, tokens array<string>")
+    words = spark.createDataFrame([("aa",), ("dd",), ("aa",), (None,)], "word string")
+    short, long = remove_listed_tokens(df, words), remove_listed_tokens(df, words, max_inline=1)
+    assert "Exchange" not in plan_of(short) and "Join" in plan_of(long)
+    assert sorted(map(str, short.collect())) == sorted(map(str, long.collect())) == sorted(map(str, [
+        Row(id=1, tokens=["bb"]), Row(id=2, tokens=["bb"]), Row(id=3, tokens=None), Row(id=4, tokens=[]), Row(id=4, tokens=["cc"]),
+    ]))
+    none = remove_listed_tokens(df, words.limit(0))
+    assert none.where("id = 1").first()["tokens"] == ["aa", "bb", "aa"]
