@@ -31,7 +31,8 @@ def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
     """Number rows 0, 1, .. in the order of their files' names and of their places in them.
 
     For tables read from files. The numbers do not depend on how the files are split. A first pass
-    counts the rows of each block that a task reads at once; one row per block is all that is put in order.
+    counts the rows of each block that a task reads at once; one row per block is all that is put in order and sent to all
+    tasks, so that the rows themselves stay where they are.
     """
     placed = df.select(
         "*", F.monotonically_increasing_id().alias("_at"), F.input_file_name().alias("_file"),
@@ -41,7 +42,7 @@ def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
     blocks = placed.groupBy(*at).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
     earlier = Window.orderBy(*at).rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.select(*at, (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
-    return placed.join(starts, at).withColumn(name, F.col("_at") + F.col("_shift")).select(name, *df.columns)
+    return placed.join(F.broadcast(starts), at).withColumn(name, F.col("_at") + F.col("_shift")).select(name, *df.columns)
 
 
 def read_text(

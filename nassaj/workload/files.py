@@ -63,7 +63,7 @@ def _json_round_trip(spark, sf):
 
 def _save_tagged(spark, sf, path: str, tags: str) -> None:
     """``id, tokens, tags`` as JSON Lines, in the order of the ids."""
-    rows = views.tagged(spark, sf).orderBy("id")
+    rows = views.tagged(spark, sf, ordered=True)
     writers.save_json(rows.select("id", "tokens", F.col(tags).alias("tags")), path)
 
 
