@@ -20,7 +20,7 @@ from nassaj.operators.metrics import classification_metrics, classification_repo
 from nassaj.operators.sizes import MAX_LABELS, collect_bounded, kept
 from nassaj.operators.split import stratified_folds, validation_flag
 from nassaj.operators.svc import SquaredHingeSVC
-from nassaj.operators.tfidf import TfidfModel, document_terms
+from nassaj.operators.tfidf import TfidfModel
 from nassaj.sources.writers import load_document, load_model, path_exists, save_document, save_model
 
 MODEL_TYPES = ("logistic_regression", "linear_svc")
@@ -238,7 +238,7 @@ def train_text_classification(
 
     Returns the classifier and the per-class validation report. ``params`` go to
     :func:`estimator`. Rows without a label fail; an empty corpus, a single class or
-    more than ``max_labels`` raises. Texts are split into terms once and vectors made
+    more than ``max_labels`` raises. Texts are read once and vectors made
     once; both are kept meanwhile in ``staging`` (see :func:`~nassaj.operators.sizes.kept`).
     """
     check_training_input(df, text_col, label_col, model_type)
@@ -246,7 +246,7 @@ def train_text_classification(
     label = F.col(label_col).cast("string")
     given = df.select(
         F.col(id_col).alias("id"),
-        document_terms(F.col(text_col).cast("string"), ngram_range).alias("terms"),
+        F.col(text_col).cast("string").alias("text"),
         F.when(label.isNotNull(), label).otherwise(
             F.raise_error(F.lit("a training row has no label"))
         ).alias("label_text"),
@@ -264,9 +264,9 @@ def train_text_classification(
         )
         train, held_out = split.where(~F.col("is_validation")), split.where("is_validation")
 
-        tfidf = TfidfModel.fit(train, "terms", max_features, ngram_range)
+        tfidf = TfidfModel.fit(train, "text", max_features, ngram_range)
         best_params, best_score = None, None
-        with kept(tfidf.features(train, "terms").select("id", "label", "features"), folder=staging) as vectors:
+        with kept(tfidf.features(train, "text").select("id", "label", "features"), folder=staging) as vectors:
             rows = vectors.count()
             if hyperparameter_tuning:
                 model, best_params, best_score = search(vectors, model_type, len(labels), rows, seed, **params)
@@ -274,7 +274,7 @@ def train_text_classification(
                 model = Pipeline(stages=[estimator(model_type, len(labels), rows, **params)]).fit(vectors)
 
         fitted = Classifier(model_type, labels, tfidf, model, best_params=best_params, best_score=best_score)
-        predicted = fitted.predict(held_out, "terms").select(
+        predicted = fitted.predict(held_out, "text").select(
             F.col("label_text").alias("truth"), "prediction"
         )
         counts = collect_bounded(confusion_counts(predicted), "confusion cells", max_labels**2)
