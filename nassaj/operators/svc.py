@@ -24,6 +24,8 @@ from pyspark.ml.wrapper import JavaParams, _py2java
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nassaj.operators.sizes import kept
+
 #: Numbers of all weights that are sent together; more problems go one group after the other.
 WEIGHTS = 1 << 24
 CG_STEPS = 50
@@ -54,12 +56,28 @@ def _plain(vectors: DataFrame) -> DataFrame:
 class _Rows:
     """A batch as flat arrays."""
 
-    def __init__(self, batch: pa.RecordBatch) -> None:
-        self.label, self.fold = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        lengths = batch.column(2).value_lengths().to_numpy(zero_copy_only=False)
+    #: What a packed batch holds, each as the bytes of an array.
+    PARTS = {"label": np.float64, "fold": np.int32, "lengths": np.int64, "indices": np.int32, "values": np.float64}
+
+    def __init__(self, label, fold, lengths, indices, values) -> None:
+        self.label, self.fold, self.indices, self.values = label, fold, indices, values
         self.row = np.repeat(np.arange(len(lengths)), lengths)
-        self.indices = batch.column(2).flatten().to_numpy(zero_copy_only=False)
-        self.values = batch.column(3).flatten().to_numpy(zero_copy_only=False)
+
+    @staticmethod
+    def parts(batch: pa.RecordBatch) -> list[np.ndarray]:
+        label, fold, indices, values = batch.columns
+        flat = [label, fold, indices.value_lengths(), indices.flatten(), values.flatten()]
+        return [x.to_numpy(zero_copy_only=False).astype(kind) for x, kind in zip(flat, _Rows.PARTS.values(), strict=True)]
+
+    @classmethod
+    def of(cls, batch: pa.RecordBatch) -> _Rows:
+        return cls(*cls.parts(batch))
+
+    @classmethod
+    def packed(cls, batches: Iterator[pa.RecordBatch]) -> Iterator[_Rows]:
+        for batch in batches:
+            for row in zip(*batch.columns, strict=True):
+                yield cls(*(np.frombuffer(x.as_buffer(), kind) for x, kind in zip(row, cls.PARTS.values(), strict=True)))
 
     def times(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, self.values * w[self.indices], len(self.label)) + w[-1]
@@ -75,6 +93,12 @@ class _Rows:
         return sign, np.where(self.fold == problem.left_out, 0.0, short)
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per batch."""
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in _Rows.parts(batch)], list(_Rows.PARTS))
+
+
 def _add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     sums: dict[int, np.ndarray] = {}
     for df in batches:
@@ -85,7 +109,7 @@ def _add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 class _Passes:
-    """Sums over all rows, for some of the problems."""
+    """Sums over all packed rows, for some of the problems."""
 
     def __init__(self, rows: DataFrame, size: int, problems: list[Problem]) -> None:
         self.rows, self.size, self.problems = rows, size, problems
@@ -96,8 +120,7 @@ class _Passes:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             totals = np.zeros((len(wanted), width))
-            for batch in batches:
-                rows = _Rows(batch)
+            for rows in _Rows.packed(batches):
                 for k, problem in enumerate(wanted):
                     totals[k] += of(rows, problem, sent.value[k], size)
             lists = pa.array(totals.tolist(), pa.list_(pa.float64()))
@@ -190,10 +213,11 @@ def solve(vectors: DataFrame, problems: list[Problem], tol: float, max_iter: int
     first = vectors.select("features").first()
     if first is None:
         raise ValueError("no rows to learn from")
-    size, rows = first["features"].size, _plain(vectors)
+    size, packed = first["features"].size, _plain(vectors).mapInArrow(_pack, ", ".join(f"{k} binary" for k in _Rows.PARTS))
     most = max(1, WEIGHTS // (size + 1))
     groups = [problems[i : i + most] for i in range(0, len(problems), most)]
-    return np.concatenate([_solve(_Passes(rows, size, group), tol, max_iter) for group in groups])
+    with kept(packed) as rows:  # a pass reads arrays, and no vector is taken apart again
+        return np.concatenate([_solve(_Passes(rows, size, group), tol, max_iter) for group in groups])
 
 
 def held_out_counts(vectors: DataFrame, classes: int, candidates: list[list[Problem]], weights: list[np.ndarray]) -> DataFrame:
@@ -210,7 +234,7 @@ def held_out_counts(vectors: DataFrame, classes: int, candidates: list[list[Prob
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[tuple, int] = {}
         for batch in batches:
-            rows = _Rows(batch)
+            rows = _Rows.of(batch)
             for c, folds in enumerate(sent.value):
                 for fold, ws in folds.items():
                     margins = np.stack([rows.times(w) for w in ws], 1)
