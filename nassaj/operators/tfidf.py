@@ -9,7 +9,8 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.ml.linalg import VectorUDT
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -184,6 +185,18 @@ def weights_by_join(
     return raw.select(id_col, "term", (F.col("w") / norm).alias("weight"))
 
 
+def sparse_vector(size: int, indices: Column, values: Column) -> Column:
+    """An ML vector from its indices and values.
+
+    No function makes one from arrays, but JSON is parsed into any type by its storage form.
+    """
+    stored = F.struct(
+        F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"), indices.alias("indices"), values.alias("values")
+    )
+    text = F.to_json(F.struct(stored.alias("v")))
+    return F.from_json(text, T.StructType([T.StructField("v", VectorUDT())]))["v"]
+
+
 def _log(n: np.ndarray) -> np.ndarray:
     """1 + ln n; few counts differ."""
     different, which = np.unique(n, return_inverse=True)
@@ -211,6 +224,7 @@ class TfidfModel:
     terms: list[str]
     idf: list[float]
     ngram_range: tuple[int, int] = fixed.NGRAM_RANGE
+    _vectorizer: CountVectorizerModel | None = field(default=None, repr=False, compare=False)
     _sent: Broadcast | None = field(default=None, repr=False, compare=False)
 
     @classmethod
@@ -299,6 +313,35 @@ class TfidfModel:
         kind = T.StructType([df.select(id_col).schema[0], T.StructField("term", T.StringType()), T.StructField("weight", T.DoubleType())])
         return df.select(id_col, text.alias("_text")).mapInArrow(run, kind)
 
+    def _counts(self, df: DataFrame, text_col: str) -> DataFrame:
+        if self._vectorizer is None:
+            self._vectorizer = CountVectorizerModel.from_vocabulary(
+                self.terms, inputCol="_terms", outputCol="_tf"
+            )
+        scale = ElementwiseProduct(
+            scalingVec=Vectors.dense(self.idf), inputCol="_tf", outputCol="_tf_idf"
+        )
+        terms = df.withColumn("_terms", _terms_of(df, text_col, self.ngram_range))
+        return scale.transform(self._vectorizer.transform(terms)).drop("_terms")
+
+    def _row_weights(self, df: DataFrame, text_col: str) -> DataFrame:
+        """:meth:`raw_weights` on the JVM, within the row."""
+        counted = self._counts(df, text_col).withColumns({
+            "_tf": F.unwrap_udt("_tf"), "_tf_idf": F.unwrap_udt("_tf_idf"),
+        })
+        weight = F.zip_with(
+            "_tf.values", "_tf_idf.values", lambda tf, scaled: (F.log(tf) + 1.0) * (scaled / tf)
+        )
+        return counted.withColumns({
+            "indices": F.col("_tf.indices"), "weights": weight,
+        }).drop("_tf", "_tf_idf")
+
     def features(self, df: DataFrame, text_col: str, output_col: str = "features") -> DataFrame:
-        """Add the weights as a sparse ML vector."""
+        """Add the weights as a sparse ML vector, made on the JVM: a saved model is applied without Python."""
+        vector = sparse_vector(self.size, F.col("indices"), F.col("weights"))
+        raw = self._row_weights(df, text_col).withColumn("_raw", vector).drop("indices", "weights")
+        return Normalizer(p=2.0, inputCol="_raw", outputCol=output_col).transform(raw).drop("_raw")
+
+    def features_in_batches(self, df: DataFrame, text_col: str, output_col: str = "features") -> DataFrame:
+        """:meth:`features` in Arrow batches, for training."""
         return df.withColumn(output_col, self._weighted(df, text_col, True, True))

@@ -266,7 +266,7 @@ def train_text_classification(
 
         tfidf = TfidfModel.fit(train, "text", max_features, ngram_range)
         best_params, best_score = None, None
-        with kept(tfidf.features(train, "text").select("id", "label", "features"), folder=staging) as vectors:
+        with kept(tfidf.features_in_batches(train, "text").select("id", "label", "features"), folder=staging) as vectors:
             rows = vectors.count()
             if hyperparameter_tuning:
                 model, best_params, best_score = search(vectors, model_type, len(labels), rows, seed, **params)

@@ -73,7 +73,7 @@ def test_rows_of_weights_need_no_generator(spark):
     model = tfidf.TfidfModel(["some", "some text"], [1.0, 2.0])
     plan = plan_of(model.weights_long(docs, "id", "text"))
     assert "Generate" not in plan and "Join" not in plan
-    assert "from_json" not in plan_of(model.features(docs, "text"))
+    assert "from_json" not in plan_of(model.features_in_batches(docs, "text"))
 
 
 def test_packed_rows_are_the_rows():
