@@ -5,10 +5,18 @@ The tables hold no Arabic text, so ``documents`` is respelled letter by letter.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from nassaj.functions.arrays import let
+from nassaj.functions.blocks import blocks, list_lengths
+from nassaj.operators.entities import PREDICTIONS
 from nassaj.operators.sizes import spread
 
 # --- fixed values: the respelling of Latin letters, digits and marks ------------
@@ -113,30 +121,44 @@ def subword_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _pieces(tokens: pa.Array, tags: pa.Array) -> pa.Array:
+    """Pieces of some texts: the bytes of all their tokens, cut at every fifth letter of a token."""
+    lengths, words = list_lengths(tokens), tokens.flatten()
+    starts = np.append(0, np.cumsum(lengths))
+    data = np.frombuffer(b"" if not len(words) else pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), "")[0].as_buffer(), np.uint8)
+    letters = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))  # where each begins, and the end
+    size = pc.utf8_length(words).to_numpy().astype(np.int64)
+    many = np.maximum(size - 1, 0) // PIECE + 1
+    ends = np.append(0, np.cumsum(many))
+    word = np.repeat(np.arange(len(words)), many)
+    j = np.arange(len(word)) - ends[word]
+    cuts = np.append(letters[(np.cumsum(size) - size)[word] + j * PIECE], len(data)).astype(np.int32)
+    text = pa.StringArray.from_buffers(len(word), pa.py_buffer(cuts), pa.py_buffer(data))
+    mark = pa.array(["", "##"]).take(pa.array((j > 0).astype(np.int8)))
+    start = (word - np.repeat(starts[:-1], lengths)[word]) * 1000 + j * PIECE
+    pieces = pa.StructArray.from_arrays([
+        pc.if_else(pa.array(j % 2 == 1), "O", tags.flatten().take(pa.array(word))),
+        pa.array(1.0 / (size[word] + j + 1)),
+        pc.binary_join_element_wise(mark, text, ""),
+        pa.array(start, pa.int32()),
+        pa.array(start + np.minimum(size[word] - j * PIECE, PIECE), pa.int32()),
+        pa.array(j > 0),
+    ], ["tag", "score", "word", "start", "end", "is_subword"])
+    return pa.ListArray.from_arrays(pa.array(ends[starts], pa.int32()), pieces, mask=tokens.is_null())
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for block in blocks(batch.column(1)):
+            ids, tokens, tags = batch.slice(*block).columns
+            yield pa.RecordBatch.from_arrays([ids, _pieces(tokens, tags)], ["id", "pieces"])
+
+
 def piece_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, pieces``: tokens cut into pieces; every second piece of a token is untagged."""
-
-    def pieces(token: Column, word: Column, tag: Column) -> Column:
-        last = F.floor(F.greatest(F.length(token) - 1, F.lit(0)) / PIECE).cast("int")
-
-        def piece(j: Column) -> Column:
-            text = F.substr(token, j * PIECE + 1, F.lit(PIECE))
-            start = word * 1000 + j * PIECE
-            return F.struct(
-                F.when(j % 2 == 1, F.lit("O")).otherwise(tag).alias("tag"),
-                (F.lit(1.0) / (F.length(token) + j + 1)).alias("score"),
-                F.when(j > 0, F.concat(F.lit("##"), text)).otherwise(text).alias("word"),
-                start.alias("start"),
-                (start + F.length(text)).alias("end"),
-                (j > 0).alias("is_subword"),
-            )
-
-        return F.transform(F.sequence(F.lit(0), last), piece)
-
-    placed = F.transform(
-        F.arrays_zip("tokens", "truth"), lambda x, i: pieces(x["tokens"], i, x["truth"])
-    )
-    return tagged(spark, sf_dir).select("id", F.flatten(placed).alias("pieces"))
+    df = tagged(spark, sf_dir).select("id", "tokens", "truth")
+    pieces = T.StructField("pieces", T.DataType.fromDDL(PREDICTIONS))
+    return df.mapInArrow(_cut, T.StructType([df.schema["id"], pieces]))
 
 
 def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,17 +1,21 @@
 import math
 import random
+import re
 from collections import Counter, defaultdict
 from functools import partial
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from nassaj.functions import stats
+from nassaj.functions import blocks, stats
 from nassaj.operators import entities, extract, gazetteer, hooks, metrics, pairing, roc, rouge, sequences, sieve, sizes, spans, split, tfidf
 from nassaj.operators.entities import entity_groups
+from nassaj.workload import views
 from tests.conftest import plan_of
 
 QUICK = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
@@ -301,6 +305,110 @@ def test_entity_groups(spark, strategy, expected):
     assert [(e["entity_group"], pytest.approx(e["score"]), e["word"], e["start"], e["end"]) for e in got] == expected
 
 
+def loop_groups(pieces, whole_words):
+    def cut(items, opens):
+        runs = []
+        for i, x in enumerate(items):
+            if i == 0 or opens(x, items[i - 1]):
+                runs.append([])
+            runs[-1].append(x)
+        return runs
+
+    def joined(run):
+        return " ".join(p[2] for p in run if p[2] is not None).replace(" ##", "")
+
+    def kind(tag):
+        return None if tag is None else re.sub("^[BI]-", "", tag)
+
+    def opens(cur, prev):
+        a, b = kind(cur[0]), kind(prev[0])
+        return a is not None and (cur[0].startswith("B-") or (b is not None and a != b))
+
+    if pieces is None:
+        return None
+    pieces = [p or (None,) * 6 for p in pieces]
+    if whole_words:
+        words = cut(pieces, lambda cur, prev: cur[5] is False)
+        pieces = [(w[0][0], w[0][1], joined(w), w[0][3], w[-1][4], False) for w in words]
+    out = []
+    for run in cut(pieces, opens):
+        total = 0.0
+        for p in run:
+            total = None if total is None or p[1] is None else total + p[1]
+        if kind(run[0][0]) not in (None, "O"):
+            out.append((kind(run[0][0]), None if total is None else total / len(run), joined(run), run[0][3], run[-1][4]))
+    return out
+
+
+def odd_pieces(seed, texts):
+    r = random.Random(seed)
+    tags = ["O", "O", "B-A", "I-A", "A", "B-B", "I-B", "B-B-A", "B-", "", "B-O", "b-A", None]
+
+    def maybe(v):
+        return None if r.random() < 0.1 else v
+
+    def piece():
+        values = (r.choice(tags), maybe(r.random()), r.choice(["x", "##y", "##", "a ##b", "é##", "", " ", None]),
+                  maybe(r.randint(-9, 9)), maybe(r.randint(0, 2**31 - 1)), maybe(r.random() < 0.5))
+        return maybe(values) if r.random() < 0.3 else values
+
+    return [(i, maybe([piece() for _ in range(r.choice([0, 1, 2, 5, 9, 40]))])) for i in range(texts)]
+
+
+@pytest.mark.parametrize("strategy", ["simple", "first"])
+def test_entity_groups_against_loop(spark, strategy):
+    rows = odd_pieces(7, 300) + [(300, [("A", 1e16, "x", 0, 1, False)] + [("A", 1.0, "y", 0, 1, False)] * 50)]
+    df = spark.createDataFrame(rows, f"id long, p {entities.PREDICTIONS}")
+    got = {r["id"]: r["e"] for r in df.select("id", entity_groups(F.col("p"), strategy).alias("e")).collect()}
+    assert len(got) == len(rows)
+    for i, pieces in rows:
+        want = loop_groups(pieces, strategy == "first")
+        assert (got[i] if got[i] is None else [tuple(e) for e in got[i]]) == want, pieces
+
+
+@pytest.mark.parametrize("strategy", ["simple", "first"])
+def test_pieces_are_grouped_in_batches(spark, strategy):
+    df = spark.createDataFrame([(PIECES,)], f"p {entities.PREDICTIONS}")
+    plan = plan_of(df.select(entity_groups(F.col("p"), strategy)))
+    assert "ArrowEvalPython" in plan and "lambda" not in plan
+
+
+@pytest.mark.parametrize("whole_words", [False, True])
+def test_groups_do_not_depend_on_blocks(whole_words):
+    rows = [p and [x and dict(zip(("tag", "score", "word", "start", "end", "is_subword"), x, strict=True)) for x in p] for _, p in odd_pieces(8, 60)]
+    kind = pa.list_(pa.struct([("tag", pa.string()), ("score", pa.float64()), ("word", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("is_subword", pa.bool_())]))
+    lists = pa.array([None, None, []] + rows, kind)
+    for most in (1, 7, 1 << 20):
+        cut = list(blocks.blocks(lists, most))
+        assert [first for first, _ in cut] == [0, *np.cumsum([n for _, n in cut])[:-1]] and sum(n for _, n in cut) == len(lists)
+        assert all(n == 1 or blocks.list_lengths(lists.slice(first, n)).sum() <= most for first, n in cut)
+        parts = [entities._grouped(lists.slice(*b), whole_words) for b in cut]
+        assert pa.concat_arrays(parts).to_pylist() == entities._grouped(lists, whole_words).to_pylist()
+    assert entities._first(lists.slice(0, 0)).to_pylist() == []
+
+
+@pytest.mark.parametrize("size", [1, 300])
+def test_pieces_of_texts(spark, tmp_path, size):
+    r = random.Random(size)
+    letters = ["a", "B", "é", "9", "日", "😀", "#", " ", "  ", "\n", " 12 ", "ABCDE"]
+    texts = [(i, None if r.random() < 0.05 else "".join(r.choice(letters) for _ in range(r.randint(0, 60))), "x") for i in range(size)]
+    texts += [(None, "Ab c", "x"), (1, "", "x"), (1, "é" * 1001 + " 7", "x")]
+    spark.createDataFrame(texts, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    tags = {(r["id"], " ".join(r["tokens"] or [])): r["truth"] for r in views.tagged(spark, str(tmp_path)).collect()}
+    want = []
+    for i, text, _ in texts:
+        pieces = None if text is None else []
+        for k, token in enumerate([] if text is None else text.split(" ")):
+            for j in range(max(len(token) - 1, 0) // 5 + 1):
+                part, tag, start = token[5 * j : 5 * j + 5], tags[i, text][k], k * 1000 + 5 * j
+                pieces.append(("O" if j % 2 else tag, 1.0 / (len(token) + j + 1), "##" * (j > 0) + part, start, start + len(part), j > 0))
+        want.append((i, pieces))
+    found = views.piece_predictions(spark, str(tmp_path))
+    assert "MapInArrow" in plan_of(found)
+    got = [(r["id"], r["pieces"] if r["pieces"] is None else [tuple(p) for p in r["pieces"]]) for r in found.collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
 def test_entity_strategy_is_checked():
     with pytest.raises(ValueError, match="max"):
         entity_groups(None, "max")
