@@ -2,94 +2,68 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from nassaj.functions.blocks import blocks, list_lengths
+from nassaj.functions.arrays import let, positions
 
 STRATEGIES = ("none", "simple", "first")
 OUTSIDE = "O"
 PREDICTIONS = (
     "array<struct<tag:string,score:double,word:string,start:int,end:int,is_subword:boolean>>"
 )
-GROUPS = "array<struct<entity_group:string,score:double,word:string,start:int,end:int>>"
-
-
-def _joined(words: pa.Array, sizes: np.ndarray) -> pa.Array:
-    """Each ``sizes`` neighbouring words with spaces between; continuation pieces are attached, nulls left out."""
-    if words.null_count:
-        of = np.repeat(np.arange(len(sizes)), sizes)[words.is_valid().to_numpy(zero_copy_only=False)]
-        words, sizes = words.drop_null(), np.bincount(of, minlength=len(sizes))
-    ends = pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
-    return pc.replace_substring(pc.binary_join(pa.ListArray.from_arrays(ends, words), " "), " ##", "")
-
-
-def _sizes(starts: np.ndarray, total: int) -> np.ndarray:
-    return np.diff(np.append(starts, total))
-
-
-def _kinds(tags: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """The number of every tag's type, -1 for null; whether it is a ``B-`` tag; the types."""
-    coded = tags.dictionary_encode()
-    code = coded.indices.fill_null(-1).to_numpy()
-    kinds = pc.replace_substring_regex(coded.dictionary, "^[BI]-", "").dictionary_encode()
-    opens = pc.starts_with(coded.dictionary, "B-").to_numpy(zero_copy_only=False)
-    numbers = np.append(kinds.indices.to_numpy(), -1).astype(np.int64)
-    return numbers[code], np.append(opens, False).astype(bool)[code], kinds.dictionary
-
-
-def _grouped(predictions: pa.Array, whole_words: bool) -> pa.Array:
-    """The groups of some texts. A null cuts nothing and groups of type null are left out."""
-    lengths, pieces = list_lengths(predictions), predictions.flatten()
-    part = dict(zip(pieces.type.names, pieces.flatten(), strict=True))
-    kind, opens, kinds = _kinds(part["tag"])
-    first = np.zeros(len(pieces), bool)  # of its text
-    first[(np.cumsum(lengths) - lengths)[lengths > 0]] = True
-
-    # A word, by its first piece, has the tag and score of that piece.
-    word = np.arange(len(pieces))
-    if whole_words:
-        word = np.flatnonzero(first | ~part["is_subword"].fill_null(True).to_numpy(zero_copy_only=False))
-    in_word = _sizes(word, len(pieces))
-    kind, first, score = kind[word], first[word], part["score"].take(pa.array(word))
-    known = kind >= 0
-    new = first.copy()
-    new[1:] |= known[1:] & (opens[word][1:] | (known[:-1] & (kind[1:] != kind[:-1])))
-
-    run = np.flatnonzero(new)  # by its first word
-    in_run = _sizes(run, len(word))
-    outside = pc.index(kinds, OUTSIDE).as_py()
-    named = known[run] & ((kind[run] != outside) | (outside < 0))
-    inside = np.repeat(named, in_run)
-    run, in_run, score = run[named], in_run[named], score.filter(pa.array(inside))
-    of = np.repeat(np.arange(len(run)), in_run)
-    no_score = np.bincount(of[score.is_null().to_numpy(zero_copy_only=False)], minlength=len(run)) > 0
-    total = np.bincount(of, score.fill_null(0.0).to_numpy(), len(run))  # added up one after the other
-    words = part["word"].filter(pa.array(np.repeat(inside, in_word)))
-    if whole_words:
-        words = _joined(words, in_word[inside])
-    last = run + in_run - 1
-    groups = pa.StructArray.from_arrays([
-        kinds.take(pa.array(kind[run])),
-        pa.array(total / in_run, mask=no_score),
-        _joined(words, in_run),
-        part["start"].take(pa.array(word[run])),
-        part["end"].take(pa.array(word[last] + in_word[last] - 1)),
-    ], ["entity_group", "score", "word", "start", "end"])
-    text = np.repeat(np.arange(len(lengths)), lengths)[word[run]]
-    ends = pa.array(np.append(0, np.cumsum(np.bincount(text, minlength=len(lengths)))), pa.int32())
-    return pa.ListArray.from_arrays(ends, groups, mask=predictions.is_null())
-
-
-def _simple(predictions: pa.Array) -> pa.Array:
-    return pa.concat_arrays([_grouped(predictions.slice(*block), False) for block in blocks(predictions)])
-
-
-def _first(predictions: pa.Array) -> pa.Array:
-    return pa.concat_arrays([_grouped(predictions.slice(*block), True) for block in blocks(predictions)])
+
+
+def _kind(tag: Column) -> Column:
+    return F.regexp_replace(tag, "^[BI]-", "")
+
+
+def _joined(run: Column) -> Column:
+    """Words with spaces between; continuation pieces are attached."""
+    return F.replace(F.array_join(F.transform(run, lambda p: p["word"]), " "), F.lit(" ##"), F.lit(""))
+
+
+def _runs(pieces: Column, starts: Callable[[Column], Column], whole_words: bool) -> Column:
+    """The groups of words that begin at ``starts``; a word has the tag and score of its first piece.
+
+    Where neither a word nor the one before it is tagged, types are not compared, and words are joined
+    in the groups that stay only.
+    """
+
+    def grouped(p: Column, tags: Column, s: Column) -> Column:
+        def tag(k: Column) -> Column:
+            return F.get(tags, F.get(s, k))
+
+        def opens(at: Column, k: Column) -> Column:
+            cur, prev = F.get(tags, at), tag(k - 1)
+            return (k == 0) | (((cur != OUTSIDE) | (prev != OUTSIDE)) & (
+                F.startswith(cur, F.lit("B-")) | (_kind(cur) != _kind(prev))
+            ))
+
+        def begin(k: Column) -> Column:
+            return F.coalesce(F.get(s, k), F.size(p))
+
+        def words(k: Column, n: Column) -> Column:
+            if not whole_words:
+                return _joined(F.slice(p, begin(k) + 1, n))
+            cut = F.transform(F.slice(s, k + 1, n), lambda at, i: _joined(F.slice(p, at + 1, begin(k + i + 1) - at)))
+            return F.replace(F.array_join(cut, " "), F.lit(" ##"), F.lit(""))
+
+        def group(k: Column, end: Column) -> Column:
+            total = F.aggregate(F.slice(s, k + 1, end - k), F.lit(0.0), lambda acc, at: acc + F.get(p, at)["score"])
+            named = F.struct(
+                _kind(tag(k)).alias("entity_group"), (total / (end - k)).alias("score"), words(k, end - k).alias("word"),
+                F.get(p, begin(k))["start"].alias("start"), F.get(p, begin(end) - 1)["end"].alias("end"),
+            )
+            return F.when(_kind(tag(k)) != OUTSIDE, named)
+
+        bounds = F.filter(F.transform(s, lambda at, k: F.when(opens(at, k), k)), lambda k: k.isNotNull())
+        found = let(bounds, lambda b: F.transform(b, lambda k, j: group(k, F.coalesce(F.get(b, j + 1), F.size(s)))))
+        return F.filter(found, lambda e: e.isNotNull())
+
+    return let(pieces, lambda p: let(p["tag"], lambda tags: let(starts(p), lambda s: grouped(p, tags, s))))
 
 
 def entity_groups(predictions: Column, strategy: str = "simple") -> Column:
@@ -98,16 +72,18 @@ def entity_groups(predictions: Column, strategy: str = "simple") -> Column:
     ``simple`` joins neighbouring pieces of one type, ``first`` joins pieces to words
     before, ``none`` keeps pieces apart. A ``B-`` tag always opens a new entity, and a
     bare tag continues one of its own type. Untagged pieces end an entity and are
-    left out. Pieces are grouped in Arrow batches, those of many texts at once. As with all Python functions, Spark
-    4.1 does not accept an argument whose lambdas use variables of lambdas around them, unless it was computed before (kept,
-    cached).
+    left out.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"Unknown aggregation strategy: {strategy}")
-    if strategy != "none":
-        return F.arrow_udf(_first if strategy == "first" else _simple, GROUPS)(predictions)
-    named = F.transform(predictions, lambda p: F.struct(
-        p["tag"].alias("entity_group"), p["score"].alias("score"), p["word"].alias("word"),
-        p["start"].alias("start"), p["end"].alias("end"),
-    ))
-    return F.filter(named, lambda e: e["entity_group"] != OUTSIDE)
+    if strategy == "none":
+        named = F.transform(predictions, lambda p: F.struct(
+            p["tag"].alias("entity_group"), p["score"].alias("score"), p["word"].alias("word"),
+            p["start"].alias("start"), p["end"].alias("end"),
+        ))
+        return F.filter(named, lambda e: e["entity_group"] != OUTSIDE)
+    if strategy == "simple":
+        return _runs(predictions, lambda p: positions(F.size(p)), False)
+    return _runs(predictions, lambda p: let(p["is_subword"], lambda sub: F.filter(
+        positions(F.size(sub)), lambda i: (i == 0) | ~F.get(sub, i)
+    )), True)
